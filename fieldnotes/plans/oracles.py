@@ -38,7 +38,8 @@ _LINEITEM_CELLS = _union(
     for c in ("l_extendedprice", "l_discount", "l_tax"))
 
 
-def _pearson(cells: str, label_mean: str) -> str:
+def _pearson_cte(cells: str, label_mean: str) -> str:
+    """CTEs ending in ``sc(feature, score)`` with unrounded scores."""
     return f"""
 , cells AS ({cells})
 , ybar AS (SELECT {label_mean} AS yb)
@@ -48,8 +49,13 @@ def _pearson(cells: str, label_mean: str) -> str:
         FROM cells WHERE label_count IS NOT NULL GROUP BY feature)
 , m AS (SELECT feature, sxx / n - (sx / n) * (sx / n) AS vx, syy / n - yb * yb AS vy,
           sxy / n - (sx / n) * yb AS cov FROM s, ybar)
-SELECT feature, round(CASE WHEN vx > 0 AND vy > 0 THEN abs(cov / (sqrt(vx) * sqrt(vy)))
-                          ELSE 0 END, 6) AS score FROM m"""
+, sc AS (SELECT feature, CASE WHEN vx > 0 AND vy > 0 THEN abs(cov / (sqrt(vx) * sqrt(vy)))
+                              ELSE 0 END AS score FROM m)
+"""
+
+
+def _pearson(cells: str, label_mean: str) -> str:
+    return _pearson_cte(cells, label_mean) + "SELECT feature, round(score, 6) AS score FROM sc"
 
 
 def _pairwise(cells: str) -> str:
@@ -192,3 +198,83 @@ FROM k WHERE k > 0""",
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders
 WHERE {_u('o_orderkey')} < 0.01""",
 }
+
+
+_OBS_CONT_CELLS = _union(
+    f"SELECT '{c}' AS feature, {c} AS value, label_count FROM obs WHERE {c} IS NOT NULL"
+    for c in ("f_day", "f_hour", "f_effort"))
+
+_TUNING = r"^(?:maxDepth=(\d+),accr=(\d+\.\d+))"
+
+ORACLES.update({
+    "fill_missing": OBS_CTE + """
+, mk AS (SELECT f_kind AS mode FROM (SELECT f_kind, count(*) AS n FROM obs
+         WHERE f_kind IS NOT NULL GROUP BY f_kind) x ORDER BY n DESC, f_kind LIMIT 1)
+SELECT event_id,
+  round(coalesce(f_day, (SELECT avg(f_day) FROM obs)), 6) AS f_day,
+  round(coalesce(f_hour, (SELECT avg(f_hour) FROM obs)), 6) AS f_hour,
+  round(coalesce(f_effort, (SELECT avg(f_effort) FROM obs)), 6) AS f_effort,
+  coalesce(f_kind, (SELECT mode FROM mk)) AS f_kind
+FROM obs""",
+
+    "candidate_features": OBS_CTE + _pearson_cte(
+        _OBS_CONT_CELLS, "(SELECT avg(label_count) FROM obs)") + """
+SELECT feature, CAST(rank AS INTEGER) AS rank, round(score, 6) AS score FROM (
+  SELECT *, row_number() OVER (ORDER BY score DESC, feature) AS rank FROM sc WHERE score > 0) r
+WHERE rank <= 2""",
+
+    "accuracy_of_rule": OBS_CTE + f"""
+SELECT CASE WHEN u < 0.7 THEN 'train' ELSE 'holdout' END AS part, count(*) AS n,
+  CAST(sum(hit) AS BIGINT) AS n_correct, round(avg(CAST(hit AS DOUBLE)), 6) AS accuracy
+FROM (SELECT {_u('event_id')} AS u,
+        CASE WHEN (CASE WHEN label_count > 0 THEN 1 ELSE 0 END)
+                = (CASE WHEN coalesce(f_effort, -1.0) > 25 THEN 1 ELSE 0 END) THEN 1 ELSE 0 END AS hit
+      FROM obs WHERE label_count IS NOT NULL) x
+GROUP BY 1""",
+
+    "best_trial": OBS_CTE + """
+, g AS (SELECT f_hour AS h,
+          CAST(sum(CASE WHEN label_count = 0 THEN 1 ELSE 0 END) AS BIGINT) AS neg,
+          CAST(sum(CASE WHEN label_count > 0 THEN 1 ELSE 0 END) AS BIGINT) AS pos
+        FROM obs WHERE label_count IS NOT NULL AND f_hour IS NOT NULL GROUP BY f_hour)
+, c AS (SELECT h,
+          coalesce(sum(neg) OVER (ORDER BY h ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+            AS neg_below,
+          sum(pos) OVER () - coalesce(sum(pos) OVER (ORDER BY h ROWS BETWEEN UNBOUNDED PRECEDING
+            AND 1 PRECEDING), 0) AS pos_above,
+          sum(neg + pos) OVER () AS total,
+          row_number() OVER (ORDER BY h) AS trial
+        FROM g)
+, t AS (SELECT 'stump:f_hour' AS search, CAST(trial AS INTEGER) AS trial,
+          'f_hour>=' || CAST(h AS VARCHAR) AS params,
+          CAST(neg_below + pos_above AS DOUBLE) / CAST(total AS DOUBLE) AS accuracy FROM c)
+SELECT search, trial, params, round(accuracy, 6) AS accuracy FROM t
+ORDER BY accuracy DESC, trial LIMIT 1""",
+
+    "id_order_check": OBS_CTE + """
+, a AS (SELECT row_number() OVER (ORDER BY event_id) - 1 AS position, sampling_id AS in_id FROM obs)
+, b AS (SELECT row_number() OVER (ORDER BY event_id) - 1 AS position, sampling_id AS out_id
+        FROM obs WHERE label_count IS NOT NULL)
+, j AS (SELECT * FROM a FULL OUTER JOIN b USING (position))
+SELECT 'n_input' AS metric, count(in_id) AS n FROM j
+UNION ALL SELECT 'n_output', count(out_id) FROM j
+UNION ALL SELECT 'n_mismatch', CAST(sum(CASE WHEN in_id IS DISTINCT FROM out_id THEN 1 ELSE 0 END)
+                                    AS BIGINT) FROM j
+UNION ALL SELECT 'n_missing', count(*) FROM (SELECT in_id FROM a EXCEPT ALL SELECT out_id FROM b) m
+UNION ALL SELECT 'n_extra', count(*) FROM (SELECT out_id FROM b EXCEPT ALL SELECT in_id FROM a) e""",
+
+    "tuning_curve": f"""
+WITH l AS (SELECT (CASE WHEN event_type = 'error' THEN 'candidate=' ELSE 'maxDepth=' END)
+    || CAST(user_id % 12 + 1 AS VARCHAR) || ',accr=0.'
+    || lpad(CAST(event_id % 10000 AS VARCHAR), 4, '0') AS line FROM events)
+SELECT round(CAST(regexp_extract(line, '{_TUNING}', 1) AS DOUBLE), 6) AS x,
+       round(CAST(regexp_extract(line, '{_TUNING}', 2) AS DOUBLE), 6) AS y
+FROM l WHERE regexp_matches(line, '{_TUNING}')""",
+
+    "clean_names": """
+SELECT event_id AS "EVENT_ID", value AS "VALUE", value AS "VALUE1", user_id AS "VALUE2",
+       event_type AS "EVENT_TYPE" FROM events""",
+
+    "prediction_sink": OBS_CTE + """
+SELECT sampling_id AS "SAMPLING_EVENT_ID" FROM obs""",
+})

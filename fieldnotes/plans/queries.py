@@ -209,3 +209,189 @@ QUERIES: dict[str, Query] = {
     "oversample_copies": oversample_copies,
     "sample_rows": sample_rows,
 }
+
+
+# -- vectors, candidates, trials, checks -----------------------------------
+
+from fieldnotes.operators import checks, forest, search, vectors  # noqa: E402
+from fieldnotes.spec import clean_names as _clean  # noqa: E402
+
+
+def fill_missing(spark, sf):
+    o = obs(spark, sf)
+    feats = ["f_day", "f_hour", "f_effort", "f_kind"]
+    filled = vectors.fill_missing(o, OBS_SPEC, features=feats)
+    return filled.select("event_id", r6("f_day").alias("f_day"), r6("f_hour").alias("f_hour"),
+                         r6("f_effort").alias("f_effort"), "f_kind")
+
+
+def candidate_features(spark, sf):
+    cells = P.numeric_cells(obs(spark, sf), OBS_SPEC)
+    scores = measures.pearson_scores(cells, OBS_SPEC.label)
+    top = search.candidates(scores, threshold=0.0, k=2)
+    return top.select("feature", "rank", r6("score").alias("score"))
+
+
+def accuracy_of_rule(spark, sf):
+    o = balance.hash_split(obs(spark, sf), "event_id")
+    lab = o.filter(F.col("label_count").isNotNull())
+    pred = F.when(F.coalesce(F.col("f_effort"), F.lit(-1.0)) > 25, 1).otherwise(0)
+    hit = (binary_label("label_count").cast("int") == pred).cast("long")
+    return lab.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum(hit).alias("n_correct"),
+                                   r6(F.avg(hit.cast("double"))).alias("accuracy"))
+
+
+def best_trial(spark, sf):
+    trials = search.threshold_trials(obs(spark, sf), "f_hour")
+    best = search.best_trial(trials)
+    return best.select("search", "trial", "params", r6("accuracy").alias("accuracy"))
+
+
+def id_order_check(spark, sf):
+    o = obs(spark, sf)
+    outputs = o.filter(F.col("label_count").isNotNull())
+    return checks.id_order_check(o.select("event_id", "sampling_id"),
+                                 outputs.select("event_id", "sampling_id"), "sampling_id",
+                                 input_order=["event_id"], output_order=["event_id"])
+
+
+TUNING_PATTERN = r"maxDepth=(\d+),accr=(\d+\.\d+)"
+
+
+def tuning_curve(spark, sf):
+    ev = table(spark, sf, "events")
+    head = F.when(F.col("event_type") == "error", "candidate=").otherwise("maxDepth=")
+    lines = ev.select(F.concat(
+        head, (F.col("user_id") % 12 + 1).cast("string"), F.lit(",accr=0."),
+        F.lpad((F.col("event_id") % 10000).cast("string"), 4, "0")).alias("value"))
+    curve = checks.extract_curve(lines, TUNING_PATTERN)
+    return curve.select(r6("x").alias("x"), r6("y").alias("y"))
+
+
+def clean_names(spark, sf):
+    ev = table(spark, sf, "events")
+    messy = ev.select(F.col("event_id").alias("event id"), F.col("value").alias("value"),
+                      F.col("value").alias("value"), F.col("user_id").alias("value1"),
+                      F.col("event_type").alias("event type"))
+    return messy.toDF(*_clean(messy.columns))
+
+
+# -- forests: training, scoring, selection (rows-only checks) -------------
+
+SMALL_FOREST = forest.ForestParams(num_trees=10, max_depth=5, max_bins=32, seed=7)
+OBS_FEATURES = ["f_day", "f_hour", "f_effort", "f_kind"]
+
+
+def _obs_train_test(spark, sf):
+    o = obs(spark, sf)
+    tagged = balance.hash_split(o, "event_id", salt="split")
+    train = balance.undersample(tagged.filter(F.col("part") == "train").drop("part"),
+                                key="event_id")
+    test = tagged.filter(F.col("part") == "holdout").drop("part")
+    return o, train, test
+
+
+def _fit_obs(spark, sf, features=OBS_FEATURES):
+    o, train, test = _obs_train_test(spark, sf)
+    model = forest.train(train, OBS_SPEC, features, SMALL_FOREST)
+    return o, train, test, model
+
+
+def forest_predict(spark, sf):
+    o, _, _, model = _fit_obs(spark, sf)
+    return forest.score(model, o, "sampling_id")
+
+
+def forest_accuracy(spark, sf):
+    from fieldnotes.plans.fixtures import DOCS_SPEC, docs
+    rows = []
+    o, train, test, model = _fit_obs(spark, sf)
+    balanced = balance.undersample(test, key="event_id")
+    rows.append(("obs", "balanced", forest.trial(model, balanced, OBS_SPEC)))
+    rows.append(("obs", "natural", forest.trial(model, test, OBS_SPEC)))
+    d = balance.hash_split(docs(spark, sf), "doc_id", salt="split")
+    d_train = balance.undersample(d.filter(F.col("part") == "train"), key="doc_id",
+                                  label_count=DOCS_SPEC.label)
+    d_test = d.filter(F.col("part") == "holdout")
+    d_model = forest.train(d_train, DOCS_SPEC, ["n_chars", "lang", "source"], SMALL_FOREST)
+    rows.append(("docs", "balanced",
+                 forest.trial(d_model, balance.undersample(d_test, key="doc_id",
+                                                           label_count=DOCS_SPEC.label),
+                              DOCS_SPEC)))
+    rows.append(("docs", "natural", forest.trial(d_model, d_test, DOCS_SPEC)))
+    return spark.createDataFrame(rows, "dataset string, holdout string, accuracy double")
+
+
+def model_roundtrip(spark, sf):
+    from fieldnotes.session import scratch_path
+    from fieldnotes.sources import model_store
+    o, _, _, model = _fit_obs(spark, sf)
+    path = scratch_path(spark, "model")
+    model_store.save(spark, path, model, OBS_SPEC, OBS_FEATURES)
+    loaded = model_store.load(spark, path)
+    before = forest.score(model, o, "sampling_id", out="prediction")
+    after = forest.score(loaded.pipeline, o, "sampling_id", out="reloaded")
+    return before.join(after, "sampling_id").withColumn(
+        "same", (F.col("prediction") == F.col("reloaded")).cast("int"))
+
+
+def _search_data(spark, sf, candidates):
+    _, train, test = _obs_train_test(spark, sf)
+    return search.prepare(train, test, OBS_SPEC, candidates)
+
+
+def prefix_selection(spark, sf):
+    o = obs(spark, sf)
+    scores = measures.pearson_scores(P.numeric_cells(o, OBS_SPEC), OBS_SPEC.label)
+    ranking = [r["feature"] for r in
+               search.candidates(scores, threshold=0.0).orderBy("rank").collect()]
+    data = _search_data(spark, sf, ranking)
+    chosen, acc, trials = search.prefix_selection(data, ranking, SMALL_FOREST, parallelism=4)
+    trials.append(("prefix:best", 0, search.report_params(OBS_SPEC, chosen, SMALL_FOREST), acc))
+    data.release()
+    return search.trials_frame(spark, trials)
+
+
+def greedy_selection(spark, sf):
+    data = _search_data(spark, sf, OBS_FEATURES)
+    chosen, acc, trials = search.greedy_selection(data, OBS_FEATURES, SMALL_FOREST,
+                                                  parallelism=4)
+    trials.append(("greedy:best", 0, search.report_params(OBS_SPEC, chosen, SMALL_FOREST), acc))
+    data.release()
+    return search.trials_frame(spark, trials)
+
+
+def tune_depth(spark, sf):
+    data = _search_data(spark, sf, OBS_FEATURES)
+    best, acc, trials, tuned = search.tune(data, OBS_FEATURES, SMALL_FOREST, "maxDepth", 1, 5,
+                                           parallelism=4)
+    trials.append(("maxDepth:best", 0, search.report_params(OBS_SPEC, OBS_FEATURES, tuned), acc))
+    data.release()
+    return search.trials_frame(spark, trials)
+
+
+def prediction_sink(spark, sf):
+    from fieldnotes.session import scratch_path
+    from fieldnotes.sources import sink
+    o, _, _, model = _fit_obs(spark, sf)
+    path = scratch_path(spark, "predictions")
+    sink.write_predictions(forest.score(model, o, "sampling_id"), path, "sampling_id")
+    return sink.read_predictions(spark, path).select(sink.ID_HEADER)
+
+
+QUERIES.update({
+    "fill_missing": fill_missing,
+    "candidate_features": candidate_features,
+    "accuracy_of_rule": accuracy_of_rule,
+    "best_trial": best_trial,
+    "id_order_check": id_order_check,
+    "tuning_curve": tuning_curve,
+    "clean_names": clean_names,
+    "forest_predict": forest_predict,
+    "forest_accuracy": forest_accuracy,
+    "model_roundtrip": model_roundtrip,
+    "prefix_selection": prefix_selection,
+    "greedy_selection": greedy_selection,
+    "tune_depth": tune_depth,
+    "prediction_sink": prediction_sink,
+})
