@@ -1,0 +1 @@
+"""spark-submit entry points: train, predict, sample, check_ids."""

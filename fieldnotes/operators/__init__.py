@@ -1,0 +1,2 @@
+"""Operators on DataFrames: parse, measures, balance, vectors, forest,
+search, checks."""

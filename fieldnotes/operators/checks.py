@@ -38,6 +38,21 @@ def with_position(df: DataFrame, order_by: list | None = None,
             .drop("__pid", "__mid", "__off"))
 
 
+def _positioned(df: DataFrame, id_col: str, alias: str, order: list | None) -> DataFrame:
+    order = list(order or [])
+    keep = [F.col(id_col).alias(alias)] + [F.col(c) for c in order if c != id_col]
+    by = [alias if c == id_col else c for c in order]
+    return with_position(df.select(*keep), by or None).select("position", alias)
+
+
+def file_order(df: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Columns that order rows as in their files: file name, then scan
+    position (part files are read in size order, not name order)."""
+    tagged = (df.withColumn("__file", F.input_file_name())
+              .withColumn("__row", F.monotonically_increasing_id()))
+    return tagged, ["__file", "__row"]
+
+
 def id_order_check(inputs: DataFrame, outputs: DataFrame, id_col: str,
                    input_order: list | None = None,
                    output_order: list | None = None) -> DataFrame:
@@ -47,8 +62,8 @@ def id_order_check(inputs: DataFrame, outputs: DataFrame, id_col: str,
     (positions whose ids differ, or present on one side only),
     ``n_missing`` (input ids not in the output) and ``n_extra``.
     """
-    a = with_position(inputs.select(F.col(id_col).alias("in_id")), input_order)
-    b = with_position(outputs.select(F.col(id_col).alias("out_id")), output_order)
+    a = _positioned(inputs, id_col, "in_id", input_order)
+    b = _positioned(outputs, id_col, "out_id", output_order)
     joined = a.join(b, "position", "full_outer")
     differs = ~F.col("in_id").eqNullSafe(F.col("out_id"))
     by_position = joined.agg(

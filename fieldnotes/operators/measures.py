@@ -15,21 +15,27 @@ from pyspark.sql import functions as F
 
 from fieldnotes.functions.cells import finite_or_zero
 
-_V = F.col("value")
-_Y = F.col("label_count")
+
+
+def _v() -> Column:
+    return F.col("value")
+
+
+def _y() -> Column:
+    return F.col("label_count")
 
 
 def feature_means(cells: DataFrame) -> DataFrame:
     """``feature, n, mean`` over non-missing cells (zeros included)."""
     return (cells.groupBy("feature")
-            .agg(F.count(_V).alias("n"), F.avg(_V).alias("mean")))
+            .agg(F.count(_v()).alias("n"), F.avg(_v()).alias("mean")))
 
 
 def label_mean(cells: DataFrame, label: str) -> Column:
     """Mean of the label over rows with a label, as a scalar subquery on
     the label feature's own cells (computed once, then a literal)."""
     return (cells.filter(F.col("feature") == label)
-            .agg(F.avg(_V)).scalar())
+            .agg(F.avg(_v())).scalar())
 
 
 def pearson_scores(cells: DataFrame, label: str, pairwise: bool = False,
@@ -44,20 +50,20 @@ def pearson_scores(cells: DataFrame, label: str, pairwise: bool = False,
     correlation over the same rows (``corr``). The two agree when nothing
     is missing.
     """
-    c = cells.filter(_Y.isNotNull())
+    c = cells.filter(_y().isNotNull())
     if pairwise:
         scored = c.groupBy("feature").agg(
-            F.abs(finite_or_zero(F.corr(_V, _Y))).alias("score"))
+            F.abs(finite_or_zero(F.corr(_v(), _y()))).alias("score"))
         return scored.filter(F.col("feature") != label)
     if ybar is None:
         ybar = label_mean(c, label)
     ybar = ybar if isinstance(ybar, Column) else F.lit(float(ybar))
     sums = c.filter(F.col("feature") != label).groupBy("feature").agg(
-        F.count(_V).alias("n"),
-        F.sum(_V).alias("sx"),
-        F.sum(_V * _V).alias("sxx"),
-        F.sum(_Y * _Y).alias("syy"),
-        F.sum(_V * _Y).alias("sxy"))
+        F.count(_v()).alias("n"),
+        F.sum(_v()).alias("sx"),
+        F.sum(_v() * _v()).alias("sxx"),
+        F.sum(_y() * _y()).alias("syy"),
+        F.sum(_v() * _y()).alias("sxy"))
     n = F.col("n").cast("double")
     xbar = F.col("sx") / n
     sd_x = F.sqrt(F.col("sxx") / n - xbar * xbar)
@@ -73,10 +79,10 @@ def chi_squared_scores(cat_cells: DataFrame) -> DataFrame:
 
     NULL when one label class has no rows (the statistic is 0/0 then).
     """
-    c = cat_cells.filter(_Y.isNotNull())
+    c = cat_cells.filter(_y().isNotNull())
     table = c.groupBy("feature", "category").agg(
-        F.sum((_Y == 0).cast("long")).alias("n0"),
-        F.sum((_Y != 0).cast("long")).alias("n1"))
+        F.sum((_y() == 0).cast("long")).alias("n0"),
+        F.sum((_y() != 0).cast("long")).alias("n1"))
     w = Window.partitionBy("feature")
     table = (table.withColumn("t0", F.sum("n0").over(w).cast("double"))
              .withColumn("t1", F.sum("n1").over(w).cast("double")))

@@ -1,0 +1,2 @@
+"""Query plans over the test tables: fixtures, registered queries and
+their oracle SQL."""

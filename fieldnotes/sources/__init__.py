@@ -1,0 +1,2 @@
+"""Sources and sinks: delimited observation files, the model folder, the
+prediction file."""

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from fieldnotes.functions.hashing import uniform
 from fieldnotes.spec import FeatureSpec
 
-# Reader value for "no text at all" when empty cells must stay apart from
-# absent ones; a control character that never occurs in the files.
-_NEVER = "\u0001"
 
 
 def read_header(spark: SparkSession, path: str, sep: str = ",") -> list[str]:
@@ -32,22 +31,37 @@ def read_observations(spark: SparkSession, path: str | list[str], spec: FeatureS
     ``split`` would; short rows get NULL for their absent tail.
     ``partitions`` repartitions the scan (round robin) when the input is a
     few unsplittable files.
+
+    ``keep_empty=True`` keeps an empty cell inside a row as empty text
+    (the CSV reader makes it NULL, like an absent cell): lines are read as
+    text and split on the separator; trailing empty cells count as absent.
     """
-    reader = (spark.read.schema(spec.raw_schema())
-              .option("header", True)
-              .option("sep", sep)
-              .option("mode", "PERMISSIVE")
-              .option("enforceSchema", True))
-    if not quoting:
-        reader = reader.option("quote", "")
     if keep_empty:
-        reader = reader.option("nullValue", _NEVER)
-    df = reader.csv(path)
+        df = _read_split_lines(spark, path, spec, sep)
+    else:
+        reader = (spark.read.schema(spec.raw_schema())
+                  .option("header", True)
+                  .option("sep", sep)
+                  .option("mode", "PERMISSIVE")
+                  .option("enforceSchema", True))
+        if not quoting:
+            reader = reader.option("quote", "")
+        df = reader.csv(path)
     if partitions:
         df = df.repartition(partitions)
     return df
 
 
+def _read_split_lines(spark: SparkSession, path, spec: FeatureSpec, sep: str) -> DataFrame:
+    header = read_header(spark, path if isinstance(path, str) else path[0], sep)
+    head_text = sep.join(header)
+    lines = spark.read.text(path).filter(F.col("value") != F.lit(head_text))
+    trimmed = F.regexp_replace("value", f"({re.escape(sep)})+$", "")
+    cells = F.split(trimmed, re.escape(sep), -1)
+    return lines.select(*[F.try_element_at(cells, F.lit(i + 1)).alias(c)
+                          for i, c in enumerate(spec.columns)])
+
+
 def sample_file(spark: SparkSession, path: str, out: str, key: str | None = None,
                 rate: float = 0.01, seed: int = 17, sep: str = ",",
                 compression: str = "bzip2") -> dict[str, int]:

@@ -197,3 +197,24 @@ def checklist_spec(header: list[str], features=CHECKLIST_DEFAULT_FEATURES,
         excluded=tuple(c for c in excluded if c in present),
         features=tuple(c for c in features if c in present),
     )
+
+
+def spec_for_header(spec: FeatureSpec, header: list[str]) -> FeatureSpec:
+    """The same roles on a file with this header.
+
+    Roles naming absent columns are dropped; an absent label is appended
+    as a last column (an unlabeled file: it then reads as absent).
+    """
+    roles = {spec.label, spec.key, *spec.id_cols, *spec.discrete, *spec.carry} - {None}
+    raw = [str(h) for h in header]
+    cleaned = list(clean_names(header))
+    # the spec may name columns as the file does, or in cleaned form
+    names = raw if len(roles & set(raw)) >= len(roles & set(cleaned)) else cleaned
+    if spec.label not in names:
+        names.append(spec.label)
+    present = set(names)
+    keep = lambda cols: tuple(c for c in cols if c in present)
+    return replace(spec, columns=tuple(names), carry=keep(spec.carry),
+                   id_cols=keep(spec.id_cols), discrete=keep(spec.discrete),
+                   excluded=keep(spec.excluded), features=keep(spec.features),
+                   key=spec.key if spec.key in present else None)
