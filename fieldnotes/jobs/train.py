@@ -77,7 +77,8 @@ def run(spark, args) -> dict:
     params = forest.ForestParams(num_trees=args.num_trees, max_depth=args.max_depth,
                                  max_bins=args.max_bins, seed=args.seed)
     features = list(spec.predictors)
-    model = forest.train(train, spec, features, params)
+    model = forest.train(train, spec, features, params,
+                         keep="none" if args.keep != "none" else "persist")
     acc = forest.trial(model, test, spec)
     acc_natural = forest.trial(model, test_part, spec)
     text = search.report_params(spec, features, params)

@@ -10,15 +10,16 @@ Two ways to draw:
 * ``method='random'``: Spark's seeded samplers (``randomSplit``,
   ``sampleBy``, ``sample``) -- per-row Bernoulli / Poisson draws.
 
-Class sizes enter the plan as one scalar subquery over a two-number
-aggregate, so no row goes to the driver and the plan stays lazy; only the
-``random`` method collects those two numbers, because its samplers take
-literal fractions.
+Balancing needs the two class sizes first: one aggregate job (partial
+counts per task, two numbers to the driver), then the sampling pass with
+the fractions as literals -- a flat filter (or explode) that stays in
+whole-stage code generation, with no shuffle.
 """
 
 from __future__ import annotations
 
 import logging
+import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,14 +43,6 @@ def class_counts(df: DataFrame, label_count: str = "label_count") -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n")))
 
 
-def _class_sizes(df: DataFrame, label_count: str) -> Column:
-    """Struct ``(n0, n1)`` of double class sizes as a scalar subquery."""
-    y = _y(label_count)
-    return df.agg(F.struct(
-        F.sum((y == 0).cast("long")).cast("double").alias("n0"),
-        F.sum((y > 0).cast("long")).cast("double").alias("n1"))).scalar()
-
-
 def hash_split(df: DataFrame, key: str, weights=(0.7, 0.3),
                names=("train", "holdout"), salt: str | None = None,
                part_col: str = "part") -> DataFrame:
@@ -89,23 +82,19 @@ def undersample(df: DataFrame, key: str | None = None, label_count: str = "label
     """
     y = _y(label_count)
     labelled = df.filter(y.isNotNull())
+    n0, n1 = class_sizes(labelled, label_count)
+    if n0 == 0 or n1 == 0:
+        log.warning("undersample: one class is empty; rows returned unchanged")
+        return labelled
+    # the larger class is kept at rate small / large; ties keep everything
+    majority_is_neg = n1 < n0
+    rate = n1 / n0 if majority_is_neg else n0 / n1
     if method == "random":
-        n0, n1 = _collect_sizes(labelled, label_count)
-        if n0 == 0 or n1 == 0:
-            log.warning("undersample: one class is empty; rows returned unchanged")
-            return labelled
-        ratio = n1 / n0
-        fractions = {0: ratio, 1: 1.0} if ratio < 1 else {0: 1.0, 1: 1.0 / ratio}
+        fractions = {0: rate, 1: 1.0} if majority_is_neg else {0: 1.0, 1: rate}
         return (labelled.withColumn("__cls", (y > 0).cast("int"))
                 .sampleBy("__cls", fractions, seed).drop("__cls"))
-    sizes = _class_sizes(labelled, label_count)
-    n0, n1 = sizes["n0"], sizes["n1"]
-    u = uniform(key, salt)
-    pos, neg = y > 0, y == 0
-    keep = (F.when((n0 == 0) | (n1 == 0), F.lit(True))
-            .when(n1 < n0, pos | (u < n1 / n0))
-            .otherwise(neg | (u < n0 / n1)))
-    return labelled.filter(keep)
+    minority = (y > 0) if majority_is_neg else (y == 0)
+    return labelled.filter(minority | (uniform(key, salt) < F.lit(rate)))
 
 
 def oversample(df: DataFrame, key: str | None = None, label_count: str = "label_count",
@@ -120,26 +109,18 @@ def oversample(df: DataFrame, key: str | None = None, label_count: str = "label_
     """
     y = _y(label_count)
     labelled = df.filter(y.isNotNull())
+    n0, n1 = class_sizes(labelled, label_count)
+    if n0 == 0 or n1 == 0:
+        log.warning("oversample: one class is empty; rows returned unchanged")
+        return labelled.withColumn(copy_col, F.lit(0))
+    minority = (y > 0) if n0 > n1 else (y == 0)
+    r = max(n0, n1) / min(n0, n1)
     if method == "random":
-        n0, n1 = _collect_sizes(labelled, label_count)
-        if n0 == 0 or n1 == 0:
-            log.warning("oversample: one class is empty; rows returned unchanged")
-            return labelled
-        minority = (y > 0) if n0 > n1 else (y == 0)
-        r = max(n0, n1) / min(n0, n1)
         return labelled.filter(~minority).unionByName(
             labelled.filter(minority).sample(True, r, seed))
-    sizes = _class_sizes(labelled, label_count)
-    n0, n1 = sizes["n0"], sizes["n1"]
-    u = uniform(key, salt)
-
-    def copies(r: Column) -> Column:
-        whole = F.floor(r)
-        return whole + F.when(u < r - whole, 1).otherwise(0)
-
-    k = (F.when((n0 == 0) | (n1 == 0), F.lit(1))
-         .when(n0 > n1, F.when(y > 0, copies(n0 / n1)).otherwise(1))
-         .otherwise(F.when(y == 0, copies(n1 / n0)).otherwise(1)))
+    whole = math.floor(r)
+    extra = F.when(uniform(key, salt) < F.lit(r - whole), 1).otherwise(0)
+    k = F.when(minority, F.lit(whole) + extra).otherwise(F.lit(1))
     return (labelled.withColumn("__k", k.cast("int"))
             .filter(F.col("__k") > 0)
             .withColumn(copy_col, F.explode(F.sequence(F.lit(0), F.col("__k") - 1)))
@@ -151,7 +132,8 @@ def hash_sample(df: DataFrame, key: str, rate: float, salt: str | None = None) -
     return df.filter(uniform(key, salt) < F.lit(float(rate)))
 
 
-def _collect_sizes(labelled: DataFrame, label_count: str) -> tuple[float, float]:
+def class_sizes(labelled: DataFrame, label_count: str = "label_count") -> tuple[float, float]:
+    """(negatives, positives) among labelled rows: one aggregate job."""
     y = _y(label_count)
     row = labelled.agg(F.sum((y == 0).cast("long")).alias("n0"),
                        F.sum((y > 0).cast("long")).alias("n1")).first()

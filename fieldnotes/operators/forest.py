@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from dataclasses import asdict, dataclass, replace
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.sql import DataFrame
@@ -55,9 +56,22 @@ def forest_pipeline(spec: FeatureSpec, features=None, params: ForestParams = For
 
 
 def train(df: DataFrame, spec: FeatureSpec, features=None,
-          params: ForestParams = ForestParams(), replace=None) -> PipelineModel:
-    """Fit on labelled rows (rows with a missing label are left out)."""
-    return forest_pipeline(spec, features, params, replace).fit(with_binary_label(df, spec))
+          params: ForestParams = ForestParams(), replace=None,
+          keep: str = "persist") -> PipelineModel:
+    """Fit on labelled rows (rows with a missing label are left out).
+
+    The fit reads its input several times (indexer, split candidates,
+    bagging), so the input is persisted (memory and disk) for the fit and
+    released after; ``keep='none'`` when the caller keeps it already.
+    """
+    labelled = with_binary_label(df, spec)
+    if keep == "persist":
+        labelled = labelled.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return forest_pipeline(spec, features, params, replace).fit(labelled)
+    finally:
+        if keep == "persist":
+            labelled.unpersist()
 
 
 def accuracy(predictions: DataFrame, label: str = "label",

@@ -32,8 +32,9 @@ def feature_means(cells: DataFrame) -> DataFrame:
 
 
 def label_mean(cells: DataFrame, label: str) -> Column:
-    """Mean of the label over rows with a label, as a scalar subquery on
-    the label feature's own cells (computed once, then a literal)."""
+    """Mean of the label over labelled rows, as a scalar subquery on the
+    label feature's own cells (a separate pass; ``pearson_scores`` takes
+    it from its own aggregate instead)."""
     return (cells.filter(F.col("feature") == label)
             .agg(F.avg(_v())).scalar())
 
@@ -49,26 +50,35 @@ def pearson_scores(cells: DataFrame, label: str, pairwise: bool = False,
     ``sy = sqrt(Syy/n - ybar^2)``. ``pairwise=True`` is the textbook
     correlation over the same rows (``corr``). The two agree when nothing
     is missing.
+
+    One pass: the cells include the label's own cells, so the same
+    per-feature aggregate gives the label mean (its row: ``sx / n``). It
+    is spread to the other rows by a window over that aggregate, which has
+    one row per feature -- bounded by the schema width, not the data.
     """
     c = cells.filter(_y().isNotNull())
     if pairwise:
         scored = c.groupBy("feature").agg(
             F.abs(finite_or_zero(F.corr(_v(), _y()))).alias("score"))
         return scored.filter(F.col("feature") != label)
-    if ybar is None:
-        ybar = label_mean(c, label)
-    ybar = ybar if isinstance(ybar, Column) else F.lit(float(ybar))
-    sums = c.filter(F.col("feature") != label).groupBy("feature").agg(
+    sums = c.groupBy("feature").agg(
         F.count(_v()).alias("n"),
         F.sum(_v()).alias("sx"),
         F.sum(_v() * _v()).alias("sxx"),
         F.sum(_y() * _y()).alias("syy"),
         F.sum(_v() * _y()).alias("sxy"))
     n = F.col("n").cast("double")
+    if ybar is None:
+        own = F.when(F.col("feature") == label, F.col("sx") / n)
+        ybar = F.max(own).over(Window.partitionBy())
+    elif not isinstance(ybar, Column):
+        ybar = F.lit(float(ybar))
+    sums = sums.withColumn("__ybar", ybar).filter(F.col("feature") != label)
+    yb = F.col("__ybar")
     xbar = F.col("sx") / n
     sd_x = F.sqrt(F.col("sxx") / n - xbar * xbar)
-    sd_y = F.sqrt(F.col("syy") / n - ybar * ybar)
-    cov = F.col("sxy") / n - xbar * ybar
+    sd_y = F.sqrt(F.col("syy") / n - yb * yb)
+    cov = F.col("sxy") / n - xbar * yb
     r = F.try_divide(cov, sd_x * sd_y)
     return sums.select("feature", F.abs(finite_or_zero(r)).alias("score"))
 
