@@ -83,6 +83,66 @@ def pearson_scores(cells: DataFrame, label: str, pairwise: bool = False,
     return sums.select("feature", F.abs(finite_or_zero(r)).alias("score"))
 
 
+ROW_MARKER = "__row"
+
+
+def _row_totals(sums: DataFrame, cols: list[str]) -> DataFrame:
+    """Copy the marker row's aggregates to every feature row (window over
+    the aggregate: one row per feature)."""
+    every = Window.partitionBy()
+    for c in cols:
+        sums = sums.withColumn(f"all_{c}", F.max(
+            F.when(F.col("feature") == ROW_MARKER, F.col(c))).over(every))
+    return sums.filter(F.col("feature") != ROW_MARKER)
+
+
+def feature_means_sparse(cells: DataFrame) -> DataFrame:
+    """``feature, n, mean`` from sparse cells (see ``parse.sparse_cells``):
+    ``n = rows - missing``, ``mean = sum / n`` -- the same numbers as
+    ``feature_means`` on zero-filled cells, without the zeros."""
+    sums = cells.groupBy("feature").agg(
+        F.count(F.lit(1)).alias("cells"),
+        F.sum(_v().isNull().cast("long")).alias("missing"),
+        F.sum(_v()).alias("sx"))
+    sums = _row_totals(sums, ["cells"])
+    n = F.col("all_cells") - F.col("missing")
+    return sums.select("feature", n.alias("n"),
+                       F.when(n > 0, F.coalesce(F.col("sx"), F.lit(0.0)) / n).alias("mean"))
+
+
+def pearson_scores_sparse(cells: DataFrame, label: str) -> DataFrame:
+    """``pearson_scores`` (default definition) from sparse cells.
+
+    Over labelled rows, with N rows, y the label, m_f the rows where f is
+    missing: ``n = N - m_f``; Sx, Sxx, Sxy from stored cells (zeros add
+    nothing); ``Syy = sum(y^2) - sum over missing cells of y^2``;
+    ``ybar = sum(y) / N``. One aggregate by feature, then a window over
+    its (one row per feature) result.
+    """
+    c = cells.filter(_y().isNotNull())
+    miss = _v().isNull()
+    sums = c.groupBy("feature").agg(
+        F.count(F.lit(1)).alias("cells"),
+        F.sum(miss.cast("long")).alias("missing"),
+        F.coalesce(F.sum(_v()), F.lit(0.0)).alias("sx"),
+        F.coalesce(F.sum(_v() * _v()), F.lit(0.0)).alias("sxx"),
+        F.coalesce(F.sum(_v() * _y()), F.lit(0.0)).alias("sxy"),
+        F.coalesce(F.sum(F.when(miss, _y() * _y())), F.lit(0.0)).alias("syy_missing"),
+        F.sum(_y()).alias("y1"),
+        F.sum(_y() * _y()).alias("y2"))
+    sums = _row_totals(sums, ["cells", "y1", "y2"]).filter(F.col("feature") != label)
+    big_n = F.col("all_cells").cast("double")
+    n = (F.col("all_cells") - F.col("missing")).cast("double")
+    yb = F.col("all_y1") / big_n
+    syy = F.col("all_y2") - F.col("syy_missing")
+    xbar = F.col("sx") / n
+    sd_x = F.sqrt(F.col("sxx") / n - xbar * xbar)
+    sd_y = F.sqrt(syy / n - yb * yb)
+    cov = F.col("sxy") / n - xbar * yb
+    r = F.try_divide(cov, sd_x * sd_y)
+    return sums.select("feature", F.abs(finite_or_zero(r)).alias("score"))
+
+
 def chi_squared_scores(cat_cells: DataFrame) -> DataFrame:
     """``feature, score``: chi-squared statistic of the category x
     (label = 0 / label > 0) table of each discrete feature.

@@ -278,3 +278,8 @@ SELECT event_id AS "EVENT_ID", value AS "VALUE", value AS "VALUE1", user_id AS "
     "prediction_sink": OBS_CTE + """
 SELECT sampling_id AS "SAMPLING_EVENT_ID" FROM obs""",
 })
+
+# the sparse plans compute the same measures
+ORACLES["feature_means_sparse"] = ORACLES["feature_means"]
+ORACLES["pearson_scores_sparse"] = ORACLES["pearson_scores"]
+ORACLES["pearson_scores_lineitem_sparse"] = ORACLES["pearson_scores_lineitem"]

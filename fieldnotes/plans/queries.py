@@ -379,7 +379,27 @@ def prediction_sink(spark, sf):
     return sink.read_predictions(spark, path).select(sink.ID_HEADER)
 
 
+def feature_means_sparse(spark, sf):
+    cells = P.sparse_cells(obs(spark, sf), features=P.numeric_features(OBS_SPEC))
+    m = measures.feature_means_sparse(cells)
+    return m.select("feature", "n", r6("mean").alias("mean"))
+
+
+def pearson_scores_sparse(spark, sf):
+    cells = P.sparse_cells(obs(spark, sf), OBS_SPEC)
+    return _scores(measures.pearson_scores_sparse(cells, OBS_SPEC.label))
+
+
+def pearson_scores_lineitem_sparse(spark, sf):
+    cells = P.sparse_cells(table(spark, sf, "lineitem"), features=LINEITEM_NUMERIC,
+                           label="l_quantity")
+    return _scores(measures.pearson_scores_sparse(cells, "l_quantity"))
+
+
 QUERIES.update({
+    "feature_means_sparse": feature_means_sparse,
+    "pearson_scores_sparse": pearson_scores_sparse,
+    "pearson_scores_lineitem_sparse": pearson_scores_lineitem_sparse,
     "fill_missing": fill_missing,
     "candidate_features": candidate_features,
     "accuracy_of_rule": accuracy_of_rule,

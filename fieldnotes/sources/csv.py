@@ -71,6 +71,10 @@ def sample_file(spark: SparkSession, path: str, out: str, key: str | None = None
     Spark's seeded per-partition sampler. Counts of processed and sampled
     records come from one pass, by ``Observation`` metrics on the write.
     """
+    # Observation metrics run in a child session (same context): once a
+    # session has observed metrics, forests fitted in it capture a
+    # non-serializable observation manager and cannot score.
+    spark = spark.newSession()
     header = read_header(spark, path, sep)
     df = (spark.read.option("header", True).option("sep", sep).option("quote", "")
           .schema(", ".join(f"`{c}` string" for c in header)).csv(path))
