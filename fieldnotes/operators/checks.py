@@ -38,6 +38,37 @@ def with_position(df: DataFrame, order_by: list | None = None,
             .drop("__pid", "__mid", "__off"))
 
 
+def prefix_sums(df: DataFrame, order_by: list[str], cols: list[str],
+                keep: str = "checkpoint") -> DataFrame:
+    """Running totals in a global order without a single-task window.
+
+    Adds ``position`` (0-based), and per column ``c``: ``c_before`` (sum
+    over all earlier rows) and ``c_total``. The rows are range-partitioned
+    by the order, kept (so both uses see one partitioning), totalled per
+    partition (one row per partition: offsets, broadcast), and summed
+    within each partition. ``order_by`` should be unique per row.
+    """
+    tagged = materialize(df.orderBy(*order_by)
+                         .withColumn("__pid", F.spark_partition_id()), keep)
+    sizes = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"),
+                                        *[F.sum(c).alias(f"__s_{c}") for c in cols])
+    earlier = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.partitionBy()
+    offsets = sizes.select(
+        "__pid", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__off_n"),
+        *[F.coalesce(F.sum(f"__s_{c}").over(earlier), F.lit(0)).alias(f"__off_{c}")
+          for c in cols],
+        *[F.sum(f"__s_{c}").over(every).alias(f"{c}_total") for c in cols])
+    inner = Window.partitionBy("__pid").orderBy(*order_by)
+    inner_before = inner.rowsBetween(Window.unboundedPreceding, -1)
+    out = tagged.join(F.broadcast(offsets), "__pid").withColumn(
+        "position", (F.col("__off_n") + F.row_number().over(inner) - 1).cast("long"))
+    for c in cols:
+        out = out.withColumn(f"{c}_before", F.col(f"__off_{c}")
+                             + F.coalesce(F.sum(c).over(inner_before), F.lit(0)))
+    return out.drop("__pid", "__off_n", *[f"__off_{c}" for c in cols])
+
+
 def _positioned(df: DataFrame, id_col: str, alias: str, order: list | None) -> DataFrame:
     order = list(order or [])
     keep = [F.col(id_col).alias(alias)] + [F.col(c) for c in order if c != id_col]

@@ -204,23 +204,19 @@ def threshold_trials(df: DataFrame, feature: str, label_count: str = "label_coun
     trial per distinct value ``t`` (ascending), with their accuracy.
 
     Built from grouped counts, not from a pass per rule: one aggregate by
-    value, then running sums over that small table (its size is the
-    number of distinct values of the feature).
+    value, then distributed running sums over it (``checks.prefix_sums``),
+    so a feature with many distinct values is not ranked in one task.
     """
-    from pyspark.sql import Window
+    from fieldnotes.operators.checks import prefix_sums
     y, x = F.col(label_count), F.col(feature)
     g = (df.filter(y.isNotNull() & x.isNotNull())
          .groupBy(x.alias("t"))
          .agg(F.sum((y == 0).cast("long")).alias("neg"),
               F.sum((y > 0).cast("long")).alias("pos")))
-    order = Window.orderBy("t")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    every = Window.partitionBy()
-    neg_below = F.coalesce(F.sum("neg").over(before), F.lit(0))
-    pos_above = F.sum("pos").over(every) - F.coalesce(F.sum("pos").over(before), F.lit(0))
-    total = F.sum(F.col("neg") + F.col("pos")).over(every)
-    return g.select(
+    p = prefix_sums(g, ["t"], ["neg", "pos"])
+    right = F.col("neg_before") + (F.col("pos_total") - F.col("pos_before"))
+    return p.select(
         F.lit(search or f"stump:{feature}").alias("search"),
-        F.row_number().over(order).cast("int").alias("trial"),
+        (F.col("position") + 1).cast("int").alias("trial"),
         F.concat(F.lit(f"{feature}>="), F.col("t").cast("string")).alias("params"),
-        ((neg_below + pos_above) / total).alias("accuracy"))
+        (right / (F.col("neg_total") + F.col("pos_total"))).alias("accuracy"))

@@ -38,3 +38,17 @@ def test_extract_curve(spark):
 def test_clean_names():
     assert clean_names(["a b", "X", "x", "X1", "NLCD2006_FS", "nlcd2006 fs"]) == [
         "A_B", "X", "X1", "X2", "NLCD2006_FS", "NLCD2006_FS1"]
+
+
+def test_prefix_sums_match_cumulative(spark):
+    import random
+    rnd = random.Random(3)
+    rows = [(i, rnd.randint(0, 9)) for i in range(500)]
+    df = spark.createDataFrame(rows, "t int, v int").repartition(6)
+    got = {r["t"]: (r["position"], r["v_before"], r["v_total"])
+           for r in checks.prefix_sums(df, ["t"], ["v"]).collect()}
+    run = 0
+    total = sum(v for _, v in rows)
+    for i, (t, v) in enumerate(rows):
+        assert got[t] == (i, run, total)
+        run += v
