@@ -283,3 +283,33 @@ SELECT sampling_id AS "SAMPLING_EVENT_ID" FROM obs""",
 ORACLES["feature_means_sparse"] = ORACLES["feature_means"]
 ORACLES["pearson_scores_sparse"] = ORACLES["pearson_scores"]
 ORACLES["pearson_scores_lineitem_sparse"] = ORACLES["pearson_scores_lineitem"]
+
+_DOCS = """WITH d AS (
+  SELECT documents.doc_id, CAST(n_chars AS DOUBLE) AS n_chars, lang, source,
+         CAST(quality AS DOUBLE) AS label_count
+  FROM documents JOIN labels ON documents.doc_id = labels.doc_id)
+"""
+
+
+def _chi_multi(features, src: str) -> str:
+    cells = _union(f"SELECT '{c}' AS feature, {c} AS category, label_count FROM {src}"
+                   f" WHERE {c} IS NOT NULL" for c in features)
+    return f"""
+, c AS ({cells})
+, t AS (SELECT feature, category,
+          CAST(sum(CASE WHEN label_count = 0 THEN 1 ELSE 0 END) AS DOUBLE) AS n0,
+          CAST(sum(CASE WHEN label_count <> 0 THEN 1 ELSE 0 END) AS DOUBLE) AS n1
+        FROM c WHERE label_count IS NOT NULL GROUP BY feature, category)
+, w AS (SELECT *, sum(n0) OVER (PARTITION BY feature) AS t0,
+          sum(n1) OVER (PARTITION BY feature) AS t1 FROM t)
+, e AS (SELECT *, (n0 + n1) / (t0 + t1) * t0 AS e0, (n0 + n1) / (t0 + t1) * t1 AS e1 FROM w)
+SELECT feature,
+  round(CASE WHEN min(t0) > 0 AND min(t1) > 0
+             THEN sum((n0 - e0) * (n0 - e0) / e0 + (n1 - e1) * (n1 - e1) / e1) END, 6) AS score
+FROM e GROUP BY feature"""
+
+
+ORACLES["chi_squared_docs"] = _DOCS + _chi_multi(("lang", "source"), "d")
+ORACLES["pearson_scores_docs"] = _DOCS + _pearson(
+    "SELECT 'n_chars' AS feature, n_chars AS value, label_count FROM d WHERE n_chars IS NOT NULL",
+    "(SELECT avg(label_count) FROM d)")

@@ -13,8 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldnotes.functions.cells import binary_label
-from fieldnotes.operators import balance, measures, parse as P
-from fieldnotes.plans.fixtures import OBS_SPEC, obs, table
+from fieldnotes.operators import balance, checks, forest, measures, search, vectors
+from fieldnotes.operators import parse as P
+from fieldnotes.plans.fixtures import DOCS_SPEC, OBS_SPEC, docs, obs, table
+from fieldnotes.spec import clean_names as _clean
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -213,9 +215,6 @@ QUERIES: dict[str, Query] = {
 
 # -- vectors, candidates, trials, checks -----------------------------------
 
-from fieldnotes.operators import checks, forest, search, vectors  # noqa: E402
-from fieldnotes.spec import clean_names as _clean  # noqa: E402
-
 
 def fill_missing(spark, sf):
     o = obs(spark, sf)
@@ -303,7 +302,6 @@ def forest_predict(spark, sf):
 
 
 def forest_accuracy(spark, sf):
-    from fieldnotes.plans.fixtures import DOCS_SPEC, docs
     rows = []
     o, train, test, model = _fit_obs(spark, sf)
     balanced = balance.undersample(test, key="event_id")
@@ -379,6 +377,16 @@ def prediction_sink(spark, sf):
     return sink.read_predictions(spark, path).select(sink.ID_HEADER)
 
 
+def chi_squared_docs(spark, sf):
+    cells = P.category_cells(docs(spark, sf), DOCS_SPEC)
+    return _scores(measures.chi_squared_scores(cells))
+
+
+def pearson_scores_docs(spark, sf):
+    cells = P.numeric_cells(docs(spark, sf), DOCS_SPEC)
+    return _scores(measures.pearson_scores(cells, DOCS_SPEC.label))
+
+
 def feature_means_sparse(spark, sf):
     cells = P.sparse_cells(obs(spark, sf), features=P.numeric_features(OBS_SPEC))
     m = measures.feature_means_sparse(cells)
@@ -397,6 +405,8 @@ def pearson_scores_lineitem_sparse(spark, sf):
 
 
 QUERIES.update({
+    "chi_squared_docs": chi_squared_docs,
+    "pearson_scores_docs": pearson_scores_docs,
     "feature_means_sparse": feature_means_sparse,
     "pearson_scores_sparse": pearson_scores_sparse,
     "pearson_scores_lineitem_sparse": pearson_scores_lineitem_sparse,
