@@ -154,14 +154,27 @@ def category_values(wide: DataFrame, features: list[str]) -> DataFrame:
     return category_cells(wide, features=features).distinct()
 
 
-def category_codes(values: DataFrame) -> DataFrame:
+def category_codes(values: DataFrame, method: str = "window") -> DataFrame:
     """Dense codes 0..k-1 per feature, in alphabetical order of the name.
 
-    The window holds one feature's distinct names: its size is the
-    dictionary size, not the row count.
+    ``window``: a window partitioned by feature; it holds one feature's
+    distinct names, so its size is the dictionary size, not the row count.
+    ``sorted``: for very large dictionaries -- a global sort by (feature,
+    name) gives distributed positions (``checks.with_position``), and each
+    feature's first position (one row per feature, broadcast) is
+    subtracted; no task holds a whole dictionary.
     """
-    w = Window.partitionBy("feature").orderBy("category")
-    return values.withColumn("code", (F.row_number().over(w) - 1).cast("int"))
+    if method == "window":
+        w = Window.partitionBy("feature").orderBy("category")
+        return values.withColumn("code", (F.row_number().over(w) - 1).cast("int"))
+    if method != "sorted":
+        raise ValueError("method must be 'window' or 'sorted'")
+    from fieldnotes.operators.checks import with_position
+    pos = with_position(values.select("feature", "category"), ["feature", "category"])
+    starts = pos.groupBy("feature").agg(F.min("position").alias("__start"))
+    return (pos.join(F.broadcast(starts), "feature")
+            .select("feature", "category",
+                    (F.col("position") - F.col("__start")).cast("int").alias("code")))
 
 
 def encode_categories(wide: DataFrame, dictionary: DataFrame, features: list[str],

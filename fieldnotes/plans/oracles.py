@@ -313,3 +313,4 @@ ORACLES["chi_squared_docs"] = _DOCS + _chi_multi(("lang", "source"), "d")
 ORACLES["pearson_scores_docs"] = _DOCS + _pearson(
     "SELECT 'n_chars' AS feature, n_chars AS value, label_count FROM d WHERE n_chars IS NOT NULL",
     "(SELECT avg(label_count) FROM d)")
+ORACLES["category_codes_sorted"] = ORACLES["category_codes"]

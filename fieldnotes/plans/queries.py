@@ -76,6 +76,10 @@ def category_codes(spark, sf):
     return P.category_codes(_category_values(spark, sf))
 
 
+def category_codes_sorted(spark, sf):
+    return P.category_codes(_category_values(spark, sf), method="sorted")
+
+
 def encode_categories(spark, sf):
     o = obs(spark, sf)
     dictionary = P.category_codes(P.category_values(o, ["f_kind"]))
@@ -194,6 +198,7 @@ QUERIES: dict[str, Query] = {
     "unpivot_zero_fill": unpivot_zero_fill,
     "category_values": category_values,
     "category_codes": category_codes,
+    "category_codes_sorted": category_codes_sorted,
     "encode_categories": encode_categories,
     "feature_means": feature_means,
     "feature_means_lineitem": feature_means_lineitem,
