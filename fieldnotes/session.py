@@ -63,3 +63,12 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/fieldnotes/{name}-{uuid.uuid4().hex}"
+
+
+def stage_parquet(df, name: str):
+    """Write a frame as parquet under the shared folder and read it back:
+    lineage cut, and later column-sliced reads decode only their columns
+    (a CSV source would be re-read whole by every slice)."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

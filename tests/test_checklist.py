@@ -69,3 +69,26 @@ def test_run_by_argument_count_and_pruned_scan(spark, tmp):
     read = {c.split("#")[0] for c in scan[:scan.index("]")].split(",")}
     assert read == {"SAMPLING_EVENT_ID", *CHECKLIST_DEFAULT_FEATURES}
     assert "Exchange" not in plan
+
+
+def test_rank_job_on_checklist(spark, tmp):
+    from fieldnotes.jobs import rank
+    src, _ = _checklist_csv(spark, tmp)
+    out = os.path.join(tmp, "scores")
+    assert rank.main(["--input", src, "--output", out]) == 0
+    scores = spark.read.parquet(out)
+    by = {(r["measure"], r["feature"]): (r["score"], r["rank"]) for r in scores.collect()}
+    n_cont = len(CHECKLIST_DEFAULT_FEATURES) + 10      # + SPECIES_i
+    assert sum(1 for m, _ in by if m == "pearson") == n_cont
+    assert sum(1 for m, _ in by if m == "mean") == n_cont + 1   # the label has a mean
+    ranks = sorted(r for (m, _), (_, r) in by.items() if m == "pearson")
+    assert ranks == list(range(1, n_cont + 1))
+    # same scores as the zero-filled plan on the same table
+    spec = checklist_spec(read_header(spark, src))
+    wide = parse(read_observations(spark, src, spec), spec)
+    from fieldnotes.operators import measures
+    from fieldnotes.operators.parse import numeric_cells
+    zf = {r["feature"]: r["score"] for r in
+          measures.pearson_scores(numeric_cells(wide, spec), spec.label).collect()}
+    for f, s in zf.items():
+        assert abs(by[("pearson", f)][0] - s) < 1e-9
