@@ -57,8 +57,13 @@ def load_spec(spark, args) -> FeatureSpec:
 
 def run(spark, args) -> dict:
     spec = load_spec(spark, args)
-    wide = parse(read_observations(spark, args.input, spec, args.partitions), spec)
+    features = list(spec.predictors)
     key = spec.key
+    # only the key, the label and the model's inputs are parsed, split and
+    # kept (the scan then decodes just these columns)
+    needed = [c for c in dict.fromkeys([key, spec.label, *features]) if c is not None]
+    wide = parse(read_observations(spark, args.input, spec, args.partitions),
+                 spec).select(*needed)
     if args.method == "hash" and key is None:
         raise SystemExit("hash split needs a key column in the spec (or use --method random)")
     if args.method == "hash":
@@ -76,7 +81,6 @@ def run(spark, args) -> dict:
         args.keep)
     params = forest.ForestParams(num_trees=args.num_trees, max_depth=args.max_depth,
                                  max_bins=args.max_bins, seed=args.seed)
-    features = list(spec.predictors)
     model = forest.train(train, spec, features, params,
                          keep="none" if args.keep != "none" else "persist")
     acc = forest.trial(model, test, spec)
