@@ -26,8 +26,12 @@ def _bad(kind: str, name: str, text: Column, on_error: str) -> Column:
     raise ValueError(f"on_error must be one of {ON_ERROR}")
 
 
-def _nan_to_null(x: Column) -> Column:
-    return F.when(~F.isnan(x), x)
+def _numeric_text(token: str) -> bool:
+    try:
+        float(token)
+        return True
+    except ValueError:
+        return False
 
 
 def numeric_cell(name: str, missing_token: str = "?", null_token: str = "X",
@@ -36,19 +40,32 @@ def numeric_cell(name: str, missing_token: str = "?", null_token: str = "X",
     """Continuous cell: ``?`` -> NULL, ``X`` -> ``null_token_value``,
     absent (short row) -> 0.0, else the number.
 
-    The reader's NULL (absent tail of a short row) is turned into 0 before
-    the missing token is looked at. An empty cell inside a row also reads
-    as 0.0, or is an error with ``strict_empty`` (the reader must then keep
-    empty text apart from NULL, see ``sources.csv.read_observations``).
+    The reader's NULL (absent tail of a short row) is 0. An empty cell
+    inside a row also reads as 0.0, or is an error with ``strict_empty``
+    (the reader must then keep empty text apart from NULL, see
+    ``sources.csv.read_observations``).
+
+    The common case -- a number -- is decided first by one ``try_cast``
+    (``nanvl`` maps a text NaN to NULL); the token and empty tests run only
+    for cells that do not parse. Tokens that are themselves numbers are
+    tested first instead, so they keep their meaning.
     """
     c = F.col(name)
     parsed = c.try_cast("double")
+    nothing = F.lit(None).cast("double")
     empty = _bad("empty", name, c, "raise") if strict_empty else F.lit(0.0)
-    return (F.when(c.isNull(), F.lit(0.0))
-            .when(F.trim(c) == "", empty)
-            .when(c == missing_token, F.lit(None).cast("double"))
-            .when(c == null_token, F.lit(float(null_token_value)))
-            .when(parsed.isNotNull(), _nan_to_null(parsed))
+    number = F.nanvl(parsed, nothing)
+    tokens = [(missing_token, nothing), (null_token, F.lit(float(null_token_value)))]
+    if any(_numeric_text(t) for t, _ in tokens):
+        expr = F.when(c.isNull(), F.lit(0.0))
+        for tok, val in tokens:
+            expr = expr.when(c == tok, val)
+        expr = expr.when(parsed.isNotNull(), number)
+    else:
+        expr = F.when(parsed.isNotNull(), number).when(c.isNull(), F.lit(0.0))
+        for tok, val in tokens:
+            expr = expr.when(c == tok, val)
+    return (expr.when(F.trim(c) == "", empty)
             .otherwise(_bad("numeric", name, c, on_error)))
 
 
