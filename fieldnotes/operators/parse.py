@@ -13,10 +13,13 @@ before the only shuffle.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldnotes.functions.cells import category_cell, id_cell, numeric_cell
+from fieldnotes.functions.cells import (category_cell_sql, id_cell_sql, numeric_cell_sql,
+                                        quote_ident, sql_str)
 from fieldnotes.spec import FeatureSpec
 
 
@@ -32,16 +35,37 @@ SLICE_WIDTH = 40
 def unpivot_sliced(base: DataFrame, ids: list[str], feats: list[str], name: str,
                    value: str, keep=None, width: int = SLICE_WIDTH) -> DataFrame:
     """``unpivot`` in column groups of ``width``, united; ``keep`` is a
-    row filter applied to each group's output."""
-    parts = []
-    for i in range(0, len(feats), max(1, width)):
-        group = feats[i:i + width]
-        part = base.select(*ids, *group).unpivot(ids, group, name, value)
-        parts.append(part.filter(keep) if keep is not None else part)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    row filter on the result (pushed into every group by Catalyst).
+
+    Several groups are written as one SQL statement (``UNION ALL`` of
+    ``UNPIVOT`` branches over a temporary view), so the whole union is
+    parsed and analysed once; chained ``unionByName`` calls re-analyse the
+    growing plan each time, which costs minutes at 1,657 columns.
+    """
+    step = max(1, width)
+    groups = [feats[i:i + step] for i in range(0, len(feats), step)]
+    if len(groups) == 1:
+        out = base.select(*ids, *feats).unpivot(ids, feats, name, value)
+    else:
+        spark = base.sparkSession
+        view = f"__unpivot_{uuid.uuid4().hex}"
+        base.createOrReplaceTempView(view)
+        q = quote_ident
+        id_sql = "".join(f"{q(i)}, " for i in ids)
+        branches = [
+            f"SELECT {id_sql}{q(name)}, {q(value)} FROM "
+            f"(SELECT {id_sql}{', '.join(map(q, g))} FROM {view}) "
+            f"UNPIVOT INCLUDE NULLS ({q(value)} FOR {q(name)} IN ({', '.join(map(q, g))}))"
+            for g in groups]
+        try:
+            out = spark.sql(" UNION ALL ".join(branches))
+        finally:
+            spark.catalog.dropTempView(view)
+    return out.filter(keep) if keep is not None else out
+
+
+def _double_casts(feats: list[str]) -> list[str]:
+    return [f"CAST({quote_ident(c)} AS DOUBLE) AS {quote_ident(c)}" for c in feats]
 
 
 def id_output_name(spec: FeatureSpec, c: str) -> str:
@@ -51,22 +75,26 @@ def id_output_name(spec: FeatureSpec, c: str) -> str:
 
 def parse(raw: DataFrame, spec: FeatureSpec, on_error: str = "raise",
           strict_empty: bool = False) -> DataFrame:
-    """Typed wide form of a raw text table, in file column order."""
-    exprs = [F.col(c) for c in spec.carry]
+    """Typed wide form of a raw text table, in file column order.
+
+    One ``selectExpr`` of SQL texts: the projection of any width is built
+    and parsed in the JVM with one call.
+    """
+    q = quote_ident
+    exprs = [q(c) for c in spec.carry]
     if spec.key is not None:
-        exprs.append(F.col(spec.key).alias(spec.key))
+        exprs.append(q(spec.key))
     for c in spec.columns:
         if spec.is_excluded(c) or spec.is_carried(c):
             continue
         if spec.is_id(c):
-            exprs.append(id_cell(c, spec.missing_token, on_error).alias(id_output_name(spec, c)))
+            exprs.append(f"{id_cell_sql(c, spec.missing_token, on_error)} AS "
+                         f"{q(id_output_name(spec, c))}")
         elif spec.is_discrete(c):
-            exprs.append(category_cell(c, spec.missing_token).alias(c))
+            exprs.append(f"{category_cell_sql(c, spec.missing_token)} AS {q(c)}")
         elif spec.is_continuous(c):
-            exprs.append(numeric_cell(c, spec.missing_token, spec.null_token,
-                                      spec.null_token_value, on_error,
-                                      strict_empty).alias(c))
-    return raw.select(*exprs)
+            exprs.append(f"{numeric_cell_sql(c, spec.missing_token, spec.null_token, spec.null_token_value, on_error, strict_empty)} AS {q(c)}")  # noqa: E501
+    return raw.selectExpr(*exprs)
 
 
 def bad_cell_counts(raw: DataFrame, spec: FeatureSpec) -> DataFrame:
@@ -78,13 +106,14 @@ def bad_cell_counts(raw: DataFrame, spec: FeatureSpec) -> DataFrame:
     tolerant = {}
     for c in spec.columns:
         if spec.is_id(c):
-            tolerant[c] = id_cell(c, spec.missing_token, "null")
+            tolerant[c] = id_cell_sql(c, spec.missing_token, "null")
         elif spec.is_continuous(c):
-            tolerant[c] = numeric_cell(c, spec.missing_token, spec.null_token,
-                                       spec.null_token_value, "null")
-    sums = [F.sum((e.isNull() & (F.col(c) != spec.missing_token)).cast("long")).alias(c)
-            for c, e in tolerant.items()]
-    return raw.agg(*sums)
+            tolerant[c] = numeric_cell_sql(c, spec.missing_token, spec.null_token,
+                                           spec.null_token_value, "null")
+    miss = sql_str(spec.missing_token)
+    sums = [f"sum(CAST(({e}) IS NULL AND {quote_ident(c)} <> {miss} AS BIGINT)) AS "
+            f"{quote_ident(c)}" for c, e in tolerant.items()]
+    return raw.selectExpr(*sums)
 
 
 def numeric_features(spec: FeatureSpec, include_label: bool = True,
@@ -117,13 +146,14 @@ def numeric_cells(wide: DataFrame, spec: FeatureSpec | None = None, row_id: str
     lab = label if label is not None else (spec.label if spec is not None else None)
     with_label = with_label and lab is not None
     ids = [row_id] if row_id else []
+    casts = _double_casts(feats)
     if with_label:
         # the label is kept under an internal name, as it is a feature too
-        base = wide.select(*ids, F.col(lab).cast("double").alias("__y"),
-                           *[F.col(c).cast("double").alias(c) for c in feats])
+        base = wide.selectExpr(*map(quote_ident, ids),
+                               f"CAST({quote_ident(lab)} AS DOUBLE) AS __y", *casts)
         ids = ids + ["__y"]
     else:
-        base = wide.select(*ids, *[F.col(c).cast("double").alias(c) for c in feats])
+        base = wide.selectExpr(*map(quote_ident, ids), *casts)
     return (unpivot_sliced(base, ids, feats, "feature", "value", F.col("value").isNotNull())
             .select(*([row_id] if row_id else []), "feature", "value",
                     *([F.col("__y").alias("label_count")] if with_label else [])))
@@ -137,10 +167,11 @@ def category_cells(wide: DataFrame, spec: FeatureSpec | None = None,
     feats = features if features is not None else list(spec.discrete_features)
     lab = label if label is not None else (spec.label if spec is not None else None)
     ids = [row_id] if row_id else []
-    cols = list(ids)
+    cols = [quote_ident(i) for i in ids]
     if lab:
-        cols.append(F.col(lab).cast("double").alias("__y"))
-    base = wide.select(*cols, *[F.col(c).cast("string").alias(c) for c in feats])
+        cols.append(f"CAST({quote_ident(lab)} AS DOUBLE) AS __y")
+    base = wide.selectExpr(*cols, *[f"CAST({quote_ident(c)} AS STRING) AS {quote_ident(c)}"
+                                    for c in feats])
     keep = ids + (["__y"] if lab else [])
     return (unpivot_sliced(base, keep, feats, "feature", "category",
                            F.col("category").isNotNull())
@@ -218,11 +249,11 @@ def sparse_cells(wide: DataFrame, spec: FeatureSpec | None = None,
     feats = features if features is not None else numeric_features(spec)
     lab = label if label is not None else (spec.label if spec is not None else None)
     keep = []
-    cols = [F.lit(1.0).alias(ROW_MARKER)] + [F.col(c).cast("double").alias(c) for c in feats]
+    cols = [f"CAST(1.0 AS DOUBLE) AS {ROW_MARKER}"] + _double_casts(feats)
     if lab is not None:
-        cols.insert(0, F.col(lab).cast("double").alias("__y"))
+        cols.insert(0, f"CAST({quote_ident(lab)} AS DOUBLE) AS __y")
         keep = ["__y"]
-    base = wide.select(*cols)
+    base = wide.selectExpr(*cols)
     out = unpivot_sliced(base, keep, [ROW_MARKER] + feats, "feature", "value",
                          F.col("value").isNull() | (F.col("value") != 0))
     return out.select("feature", "value",

@@ -5,6 +5,7 @@ import os
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import functions as F
 
 from fieldnotes.functions.cells import binary_label
 from fieldnotes.operators.parse import (bad_cell_counts, category_codes, category_values,
@@ -126,3 +127,17 @@ def test_spec_roles():
     with pytest.raises(ValueError):
         FeatureSpec(columns=("a",), label="b")
     assert FeatureSpec.from_json(SPEC.to_json()) == SPEC
+
+
+def test_sliced_unpivot_equals_single(spark):
+    from fieldnotes.operators.parse import unpivot_sliced
+    from fieldnotes.plans.fixtures import obs
+    from tests.conftest import SF_SMALL
+    o = obs(spark, SF_SMALL).withColumnRenamed("f_effort", "f effort")
+    feats = ["f_day", "f_hour", "f effort", "label_count"]
+    keep = F.col("value").isNull() | (F.col("value") != 0)
+    one = unpivot_sliced(o, ["event_id"], feats, "feature", "value", keep, width=100)
+    many = unpivot_sliced(o, ["event_id"], feats, "feature", "value", keep, width=1)
+    assert many.columns == one.columns
+    assert one.count() == many.count() > 0
+    assert one.exceptAll(many).count() == 0 and many.exceptAll(one).count() == 0
