@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -21,11 +20,12 @@ DEFAULT_CONF = {
 
 def get_spark(app: str = "fieldnotes", master: str | None = None,
               shuffle_partitions: int | None = None,
-              conf: dict[str, str] | None = None) -> SparkSession:
+              conf: dict[str, str] | None = None, scratch: str | None = None) -> SparkSession:
     """Build (or reuse) a session with the library's defaults.
 
     ``master`` is left to ``spark-submit`` unless given (tests pass
-    ``local[*]``). ``shuffle_partitions`` is the job's parallelism knob.
+    ``local[*]``). ``shuffle_partitions`` is the job's parallelism knob,
+    ``scratch`` the shared folder where the cluster names none.
     """
     builder = SparkSession.builder.appName(app)
     if master:
@@ -34,6 +34,8 @@ def get_spark(app: str = "fieldnotes", master: str | None = None,
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
         settings["spark.default.parallelism"] = str(shuffle_partitions)
+    if scratch:
+        settings["spark.checkpoint.dir"] = scratch
     settings.update(conf or {})
     for key, value in settings.items():
         builder = builder.config(key, value)
@@ -43,18 +45,13 @@ def get_spark(app: str = "fieldnotes", master: str | None = None,
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The cluster's shared folder for checkpoints and written tables.
-
-    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir).
-    Only when neither is set -- local tests -- a fresh folder is made and
-    registered, so ``DataFrame.checkpoint()`` works too.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
+    """The folder that driver and executors share, for checkpoints and
+    written tables: ``spark.checkpoint.dir``, or the context's checkpoint
+    folder. There is no machine-local fallback: without either, stop."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        base = tempfile.mkdtemp(prefix="fieldnotes-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        raise RuntimeError("no shared folder: set spark.checkpoint.dir to one that driver "
+                           "and executors can all reach (jobs: --scratch)")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")

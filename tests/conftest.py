@@ -14,11 +14,10 @@ SF_MID = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from fieldnotes.session import get_spark
-    s = get_spark("tests", master="local[4]", shuffle_partitions=8,
-                  conf={"spark.driver.memory": "4g"})
-    # tests set their own checkpoint folder only if the session has none
-    from fieldnotes.session import checkpoint_root
-    checkpoint_root(s)
+    conf = {"spark.driver.memory": "4g"}
+    # a folder of the tests' own, as no cluster names one here
+    s = get_spark("tests", master="local[4]", shuffle_partitions=8, conf=conf,
+                  scratch=tempfile.mkdtemp(prefix="fieldnotes-tests-"))
     yield s
     s.stop()
 
