@@ -2,10 +2,10 @@
 
 Every row gets a repeatable 60-bit hash of its key. For each source the
 words are summed by hash bucket; the cumulative sums give the bucket in
-which the source's budget ends; only that boundary bucket is refined, fifteen
+which the source's budget ends; only that boundary bucket is refined, twelve
 bits at a time, until the threshold is a full hash. Rows below the threshold
 are taken once more than the whole passes. No row is ever sorted, and the
-aggregates hold at most sources x 32768 rows whatever the input size.
+aggregates hold at most sources x 4096 rows whatever the input size.
 
 Only DataFrame functions are used.
 
@@ -27,7 +27,7 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST = 2
 HASH_BITS = 60
-LEVEL_BITS = 15
+LEVEL_BITS = 12
 
 
 def word_count(column: str = "text") -> Column:
