@@ -4,17 +4,60 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldnotes.llm import mixing
+from fieldnotes.llm import (langid, mixing, packing, pii, quality_rules, records, syncmers)
 from fieldnotes.llm.common import documents
 
+#: Files of public tokenizers, by name; their folder is a parameter.
+WORD_TOKENIZER = "word_bpe_49k.json"
+BYTE_TOKENIZER = "byte_bpe_50k.json"
+
+
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality_rules.classify(documents(spark, sf_dir), labels)
+
+
+def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), tokenizer_path(WORD_TOKENIZER))
+
+
+def op3_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records.round_trip(documents(spark, sf_dir), tokenizer_path(BYTE_TOKENIZER))
+
+
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return langid.identify(docs).select(
+        "doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
 
 def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(mixing.sized(documents(spark, sf_dir))).select(
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return pii.find(docs, pii.train(docs))
+
+
+def op9_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.fingerprints(documents(spark, sf_dir))
+
+
 QUERIES = {
+    "op1_quality": op1_quality,
+    "op2_pack": op2_pack,
+    "op3_records": op3_records,
+    "op4_language": op4_language,
     "op7_mix": op7_mix,
+    "op8_pii": op8_pii,
+    "op9_fingerprint": op9_fingerprint,
 }
 
 # size by words; source targets by water level; thresholds by running sums in
