@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldnotes.llm import (langid, mixing, packing, pii, quality_rules, records, syncmers)
+from fieldnotes.llm import (langid, minhash_join, mixing, packing, pii, quality_rules, records, syncmers)
 from fieldnotes.llm.common import documents
 
 #: Files of public tokenizers, by name; their folder is a parameter.
@@ -50,6 +50,10 @@ def op9_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.fingerprints(documents(spark, sf_dir))
 
 
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_join.near_duplicates(documents(spark, sf_dir), size=3, num=85, den=100)
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_pack": op2_pack,
@@ -58,6 +62,7 @@ QUERIES = {
     "op7_mix": op7_mix,
     "op8_pii": op8_pii,
     "op9_fingerprint": op9_fingerprint,
+    "op10_near_duplicates": op10_near_duplicates,
 }
 
 # size by words; source targets by water level; thresholds by running sums in
