@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldnotes.llm import (langid, minhash_join, mixing, packing, pii, quality_rules, records, syncmers)
+from fieldnotes.llm import (langid, minhash_join, mixing, packing, pii, quality_rules, records, suffix_dedup,
+                             syncmers)
 from fieldnotes.llm.common import documents
 
 #: Files of public tokenizers, by name; their folder is a parameter.
@@ -36,6 +37,10 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(documents(spark, sf_dir))
+
+
 def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(mixing.sized(documents(spark, sf_dir))).select(
         "doc_id", "size", "source_size", "target", "taken")
@@ -59,6 +64,7 @@ QUERIES = {
     "op2_pack": op2_pack,
     "op3_records": op3_records,
     "op4_language": op4_language,
+    "op5_repeats": op5_repeats,
     "op7_mix": op7_mix,
     "op8_pii": op8_pii,
     "op9_fingerprint": op9_fingerprint,
