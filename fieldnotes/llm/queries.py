@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fieldnotes.llm import (langid, minhash_join, mixing, packing, pii, quality_rules, records, suffix_dedup,
+from fieldnotes.llm import (langid, minhash_join, mixing, packing, pii, pivot_topk, quality_rules, records, suffix_dedup,
                              syncmers)
-from fieldnotes.llm.common import documents
+from fieldnotes.llm.common import documents, prepare
 
 #: Files of public tokenizers, by name; their folder is a parameter.
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -41,6 +42,12 @@ def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(documents(spark, sf_dir))
 
 
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return pivot_topk.top_k(rows, F.col("vec_id") % 20 == 0)
+
+
 def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(mixing.sized(documents(spark, sf_dir))).select(
         "doc_id", "size", "source_size", "target", "taken")
@@ -65,6 +72,7 @@ QUERIES = {
     "op3_records": op3_records,
     "op4_language": op4_language,
     "op5_repeats": op5_repeats,
+    "op6_topk": op6_topk,
     "op7_mix": op7_mix,
     "op8_pii": op8_pii,
     "op9_fingerprint": op9_fingerprint,
@@ -105,4 +113,19 @@ SELECT doc_id, size, source_size, target,
 FROM r
 """
 
-ORACLES = {"op7_mix": OP7_SQL}
+OP6_SQL = """
+WITH v AS (
+  SELECT vec_id, [floor(64 * x::DOUBLE)::BIGINT FOR x IN embedding] AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         list_sum([z[1] * z[2] FOR z IN list_zip(q.e, c.e)])::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+ORACLES = {"op6_topk": OP6_SQL, "op7_mix": OP7_SQL}
