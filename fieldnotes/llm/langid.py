@@ -35,6 +35,7 @@ EVIDENCE = 40
 BATCH = 512
 CHARS = 1 << 20
 UNKNOWN = "und"
+LEAST_SCORE = 0.5
 
 
 @cache
@@ -160,13 +161,10 @@ def train(docs: DataFrame, usable: Column | None = None, per_language: int = PER
     return Model(names, np.log(n / n.sum()), weights)
 
 
-def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with lang_pred and score appended; the text is read once.
-    Columns of ``docs`` with those names are replaced."""
+def _scored(docs: DataFrame, model: Model, kept: list[str]) -> DataFrame:
+    """The kept columns, and a struct ``_got`` of lang_pred and score."""
     small_batches(docs.sparkSession, BATCH)
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)  # languages (bounded) x 2^16 floats
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # languages (bounded) x 2^16 floats
 
     @F.pandas_udf("lang_pred string, score double")
     def scored(texts):  # Iterator[Series] -> Iterator[DataFrame]
@@ -174,10 +172,25 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
         langs, scores = shared.value.score([t if isinstance(t, str) else "" for t in texts])
         return pd.DataFrame({"lang_pred": langs, "score": scores})
 
-    got = docs.select(*[docs[c] for c in kept], scored(docs["text"].cast("string")).alias("_got"))
+    return docs.select(*[docs[c] for c in kept], scored(docs["text"].cast("string")).alias("_got"))
+
+
+def predict(docs: DataFrame, model: Model) -> DataFrame:
+    """``docs`` with lang_pred and score appended; columns of ``docs`` with
+    those names are replaced."""
+    kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    got = _scored(docs, model, kept)
     return got.select(*[got[c] for c in kept], "_got.lang_pred", "_got.score")
 
 
+def accepted(docs: DataFrame, model: Model, least: float = LEAST_SCORE) -> DataFrame:
+    """The rows of ``docs``, unchanged, whose language is known with a score
+    of at least ``least``."""
+    got = _scored(docs, model, docs.columns)
+    return got.where((F.col("_got.lang_pred") != UNKNOWN) & (F.col("_got.score") >= least)).select(
+        *[got[c] for c in docs.columns])
+
+
 def held_out(column: str = "doc_id") -> Column:
     return key_crc(column) % 4 == 2
 

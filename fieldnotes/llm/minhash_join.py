@@ -318,3 +318,17 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
     mine = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return got.select("doc_id", "n_shingles", mine.alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def keep_one(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """The rows of ``docs``, unchanged, of which one stays for each group of
+    near duplicates: the one with the smallest doc_id. Where rows repeat that
+    doc_id, one stays for each different text."""
+    kept = stage(near_duplicates(docs, size, num, den).where("kept")
+                 .groupBy(F.col("doc_id").alias("_kept")).agg(F.count(F.lit(1)).alias("_n")), "kept")
+    rows = docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept["_kept"]), "left_semi")
+    if kept.where("_n > 1 AND _kept IS NOT NULL").isEmpty():
+        return rows
+    alone = docs.join(kept.where("_n = 1 OR _kept IS NULL"), docs["doc_id"].cast("long").eqNullSafe(F.col("_kept")), "left_semi")
+    again = docs.join(kept.where("_n > 1 AND _kept IS NOT NULL"), docs["doc_id"].cast("long") == F.col("_kept"), "left_semi")
+    return alone.unionByName(again.dropDuplicates(["doc_id", "text"]))
