@@ -4,7 +4,8 @@
         --output predictions/ [--id-column NAME]
 
 Prints the metrics of ``checks.id_order_check`` and exits 1 on any
-mismatch (positions follow the scan order of each input).
+mismatch. Positions follow file names, then the lines of each file, on both
+sides.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ import sys
 
 from pyspark.sql import functions as F
 
-from fieldnotes.operators.checks import file_order, id_order_check
+from fieldnotes.operators.checks import compare_positions, file_positions
 from fieldnotes.session import get_spark
 from fieldnotes.sources.csv import read_header
 
@@ -32,11 +33,12 @@ def main(argv=None):
     p.add_argument("--output", required=True)
     p.add_argument("--id-column", default=None, help="default: first column of the input")
     p.add_argument("--master", default=None)
+    p.add_argument("--scratch", default=None, help="shared folder, where spark.checkpoint.dir is unset")
     args = p.parse_args(argv)
-    spark = get_spark("check_ids", master=args.master)
-    inputs, in_order = file_order(_ids(spark, args.input, args.id_column))
-    outputs, out_order = file_order(_ids(spark, args.output, None))
-    result = id_order_check(inputs, outputs, "id", in_order, out_order)
+    spark = get_spark("check_ids", master=args.master, scratch=args.scratch)
+    result = compare_positions(
+        file_positions(_ids(spark, args.input, args.id_column)).withColumnRenamed("id", "in_id"),
+        file_positions(_ids(spark, args.output, None)).withColumnRenamed("id", "out_id"))
     metrics = {r["metric"]: r["n"] for r in result.collect()}
     for k in ("n_input", "n_output", "n_mismatch", "n_missing", "n_extra"):
         print(f"{k}={metrics.get(k)}")

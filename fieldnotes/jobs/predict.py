@@ -3,9 +3,10 @@
     spark-submit -m fieldnotes.jobs.predict --input unlabeled.csv.bz2
         --output predictions/ --model out/ [--partitions 60] [--single-file]
 
-One scan, one transform, no shuffle: the dictionary, the missing-value
-fill and the forest are stages of the saved pipeline. Output rows keep
-input order (part files in partition order).
+One scan and one transform: the dictionary, the missing-value fill and the
+forest are stages of the saved pipeline. Output rows keep input order, over
+several files too (by name): ``id, prediction`` is sorted by place in the
+input. ``--partitions`` sets the shuffle's, so it never moves rows.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ import argparse
 import sys
 
 from fieldnotes.operators import forest
+from fieldnotes.operators.checks import FILE_ORDER
 from fieldnotes.operators.parse import parse
 from fieldnotes.session import get_spark
 from fieldnotes.sources import model_store, sink
@@ -29,6 +31,7 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--partitions", type=int, default=None)
     p.add_argument("--single-file", action="store_true")
     p.add_argument("--master", default=None)
+    p.add_argument("--scratch", default=None, help="shared folder, where spark.checkpoint.dir is unset")
     return p
 
 
@@ -37,14 +40,15 @@ def run(spark, args):
     spec = spec_for_header(stored.spec, read_header(spark, args.input))
     if spec.key is None:
         raise SystemExit(f"input has no key column {stored.spec.key!r}")
-    wide = parse(read_observations(spark, args.input, spec, args.partitions), spec)
-    preds = forest.score(stored.pipeline, wide, spec.key)
+    raw = read_observations(spark, args.input, spec, ordered=True)
+    preds = forest.score(stored.pipeline, parse(raw, spec, keep=FILE_ORDER), spec.key, keep=FILE_ORDER)
     sink.write_predictions(preds, args.output, spec.key, single_file=args.single_file)
 
 
 def main(argv=None):
     args = build_parser().parse_args(argv)
-    spark = get_spark("predict", master=args.master, shuffle_partitions=args.partitions)
+    spark = get_spark("predict", master=args.master, shuffle_partitions=args.partitions,
+                      scratch=args.scratch)
     run(spark, args)
     return 0
 

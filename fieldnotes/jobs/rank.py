@@ -20,30 +20,33 @@ from pyspark.sql import functions as F
 
 from fieldnotes.jobs.train import load_spec
 from fieldnotes.operators import measures
-from fieldnotes.operators.parse import category_cells, numeric_features, parse, sparse_cells
-from fieldnotes.session import get_spark, stage_parquet
+from fieldnotes.operators.parse import (category_cells, numeric_cells, numeric_features,
+                                        parse, sparse_cells)
+from fieldnotes.session import get_spark, staged
 from fieldnotes.sources.csv import read_observations
 from fieldnotes.spec import FeatureSpec
 
 
-def feature_ranking(wide: DataFrame, spec: FeatureSpec, pairwise: bool = False) -> DataFrame:
-    """``measure, feature, score, rank`` for every feature of the spec."""
+def feature_ranking(wide: DataFrame, spec: FeatureSpec, pairwise: bool = False,
+                    features=None) -> DataFrame:
+    """``measure, feature, score, rank`` for every column of the spec that can
+    be a feature, or for those of ``features``. The spec's own chosen set
+    doesn't matter: ranking is what it is chosen from."""
     label = spec.label
-    feats = numeric_features(spec)
-    parts = []
-    cont = sparse_cells(wide, spec, features=feats)
-    means = measures.feature_means_sparse(cont.drop("label_count"))
-    parts.append(means.select(F.lit("mean").alias("measure"), "feature",
-                              F.col("mean").alias("score")))
+    chosen = set(features or ())
+    feats = [c for c in numeric_features(spec) if not chosen or c in chosen or c == label]
+    names = [c for c in spec.discrete_features if not chosen or c in chosen]
+    measured = measures.sparse_measures(sparse_cells(wide, spec, features=feats), feats, label)
     if pairwise:
-        from fieldnotes.operators.parse import numeric_cells
         scores = measures.pearson_scores(numeric_cells(wide, spec, features=feats), label,
-                                         pairwise=True)
+                                         pairwise=True, features=feats)
     else:
-        scores = measures.pearson_scores_sparse(cont, label)
-    parts.append(scores.select(F.lit("pearson").alias("measure"), "feature", "score"))
-    if spec.discrete_features:
-        cat = category_cells(wide, spec)
+        scores = measured.filter(F.col("feature") != label)
+    # means and Pearson scores come from one aggregate, unpivoted
+    parts = [measured.select(F.lit("mean").alias("measure"), "feature", F.col("mean").alias("score")),
+             scores.select(F.lit("pearson").alias("measure"), "feature", "score")]
+    if names:
+        cat = category_cells(wide, spec, features=names)
         parts.append(measures.chi_squared_scores(cat).select(
             F.lit("chi_squared").alias("measure"), "feature", "score"))
         parts.append(measures.feature_modes(cat).select(
@@ -69,12 +72,14 @@ def main(argv=None):
     p.add_argument("--pairwise", action="store_true")
     p.add_argument("--partitions", type=int, default=None)
     p.add_argument("--master", default=None)
+    p.add_argument("--scratch", default=None, help="shared folder, where spark.checkpoint.dir is unset")
     args = p.parse_args(argv)
-    spark = get_spark("rank", master=args.master, shuffle_partitions=args.partitions)
+    spark = get_spark("rank", master=args.master, shuffle_partitions=args.partitions,
+                      scratch=args.scratch)
     spec = load_spec(spark, args)
-    wide = stage_parquet(parse(read_observations(spark, args.input, spec, args.partitions),
-                               spec), "rank-input")
-    feature_ranking(wide, spec, args.pairwise).write.mode("overwrite").parquet(args.output)
+    wide = parse(read_observations(spark, args.input, spec, args.partitions), spec)
+    with staged(wide, "rank-input") as table:
+        feature_ranking(table, spec, args.pairwise, spec.features if args.features else None).write.mode("overwrite").parquet(args.output)
     return 0
 
 

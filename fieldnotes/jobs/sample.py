@@ -23,8 +23,9 @@ def main(argv=None):
     p.add_argument("--key", default=None, help="hash this column for a repeatable draw")
     p.add_argument("--compression", default="bzip2")
     p.add_argument("--master", default=None)
+    p.add_argument("--scratch", default=None, help="shared folder, where spark.checkpoint.dir is unset")
     args = p.parse_args(argv)
-    spark = get_spark("sample", master=args.master)
+    spark = get_spark("sample", master=args.master, scratch=args.scratch)
     counts = sample_file(spark, args.input, args.output, args.key, args.rate, args.seed,
                          compression=args.compression)
     print(f"Sampled {counts['sampled']} of {counts['processed']} records.")

@@ -4,8 +4,9 @@
         [--spec spec.json] [--partitions 60] [--num-trees 50 --max-depth 10
         --max-bins 100] [--seed 42] [--features A,B,...] [--keep persist]
 
-Plan: scan (only needed columns are decoded) -> parse -> hash split 70/30
--> undersample each part -> keep both -> fit pipeline -> holdout accuracy,
+Plan: one scan (only needed columns are decoded) -> parse -> split 70/30 ->
+staged in the shared folder for the time of the job -> one grouped count of
+the classes -> undersample each part -> fit pipeline -> holdout accuracy,
 on the balanced and on the natural holdout -> save pipeline, feature set,
 replacement map, dictionary, spec and report.
 """
@@ -20,12 +21,15 @@ from pyspark.sql import functions as F
 
 from fieldnotes.operators import balance, forest, search
 from fieldnotes.operators.parse import parse
-from fieldnotes.session import get_spark
+from fieldnotes.session import get_spark, staged
 from fieldnotes.sources import model_store
 from fieldnotes.sources.csv import read_header, read_observations
 from fieldnotes.spec import FeatureSpec, checklist_spec, spec_for_header
 
 
+PART = "__part"
+
+
 def build_parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     p.add_argument("--input", required=True)
@@ -40,14 +44,15 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--method", choices=("hash", "random"), default="hash")
     p.add_argument("--keep", choices=("persist", "checkpoint", "none"), default="persist")
     p.add_argument("--master", default=None)
+    p.add_argument("--scratch", default=None, help="shared folder, where spark.checkpoint.dir is unset")
     return p
 
 
 def load_spec(spark, args) -> FeatureSpec:
     header = read_header(spark, args.input)
-    if args.spec:
-        with open(args.spec) as fh:
-            spec = spec_for_header(FeatureSpec.from_json(fh.read()), header)
+    if args.spec:  # read like any input, so it may lie in the shared store
+        text = "\n".join(r[0] for r in spark.read.text(args.spec).collect())
+        spec = spec_for_header(FeatureSpec.from_json(text), header)
     else:
         spec = checklist_spec(header)
     if args.features:
@@ -67,18 +72,22 @@ def run(spark, args) -> dict:
     if args.method == "hash" and key is None:
         raise SystemExit("hash split needs a key column in the spec (or use --method random)")
     if args.method == "hash":
-        tagged = balance.hash_split(wide, key, salt=f"split{args.seed}")
-        train_part = tagged.filter(F.col("part") == "train").drop("part")
-        test_part = tagged.filter(F.col("part") == "holdout").drop("part")
+        tagged = balance.hash_split(wide, key, salt=f"split{args.seed}", part_col=PART)
     else:
-        train_part, test_part = wide.randomSplit([0.7, 0.3], args.seed)
+        tagged = wide.withColumn(PART, F.when(F.rand(args.seed) < 0.7, "train").otherwise("holdout"))
+    with staged(tagged, "train-input") as rows:  # the raw file is read once
+        return _fit(spark, args, spec, features, rows)
+
+
+def _fit(spark, args, spec: FeatureSpec, features: list[str], rows) -> dict:
+    key = spec.key
+    sizes = balance.part_sizes(rows, PART, spec.label)
+    part = lambda name: rows.filter(F.col(PART) == name).drop(PART)
     sample_salt = f"sample{args.seed}"
-    train = search.materialize(
-        balance.undersample(train_part, key, spec.label, args.method, args.seed, sample_salt),
-        args.keep)
-    test = search.materialize(
-        balance.undersample(test_part, key, spec.label, args.method, args.seed, sample_salt),
-        args.keep)
+    balanced = lambda name: search.materialize(
+        balance.undersample(part(name), key, spec.label, args.method, args.seed, sample_salt,
+                            sizes.get(name, (0.0, 0.0))), args.keep)
+    train, test, test_part = balanced("train"), balanced("holdout"), part("holdout")
     params = forest.ForestParams(num_trees=args.num_trees, max_depth=args.max_depth,
                                  max_bins=args.max_bins, seed=args.seed)
     model = forest.train(train, spec, features, params,
@@ -94,7 +103,8 @@ def run(spark, args) -> dict:
 
 def main(argv=None):
     args = build_parser().parse_args(argv)
-    spark = get_spark("train", master=args.master, shuffle_partitions=args.partitions)
+    spark = get_spark("train", master=args.master, shuffle_partitions=args.partitions,
+                      scratch=args.scratch)
     result = run(spark, args)
     print(f"Final model accuracy: {result['accuracy']}")
     print(json.dumps(result))

@@ -73,16 +73,18 @@ def split(df: DataFrame, key: str | None = None, weights=(0.7, 0.3),
 
 
 def undersample(df: DataFrame, key: str | None = None, label_count: str = "label_count",
-                method: str = "hash", seed: int = 42, salt: str = SAMPLE_SALT) -> DataFrame:
+                method: str = "hash", seed: int = 42, salt: str = SAMPLE_SALT,
+                sizes: tuple[float, float] | None = None) -> DataFrame:
     """Keep all rows of the smaller class and a sample of the larger one
     at ``minority / majority``. Rows with a missing label are dropped.
 
     If one class is empty the labelled rows are returned unchanged (a
-    ratio of 0 or infinity would otherwise drop everything).
+    ratio of 0 or infinity would otherwise drop everything). ``sizes``: the
+    class sizes, where they are known already (``part_sizes``).
     """
     y = _y(label_count)
     labelled = df.filter(y.isNotNull())
-    n0, n1 = class_sizes(labelled, label_count)
+    n0, n1 = sizes or class_sizes(labelled, label_count)
     if n0 == 0 or n1 == 0:
         log.warning("undersample: one class is empty; rows returned unchanged")
         return labelled
@@ -138,3 +140,12 @@ def class_sizes(labelled: DataFrame, label_count: str = "label_count") -> tuple[
     row = labelled.agg(F.sum((y == 0).cast("long")).alias("n0"),
                        F.sum((y > 0).cast("long")).alias("n1")).first()
     return float(row["n0"] or 0), float(row["n1"] or 0)
+
+
+def part_sizes(df: DataFrame, part_col: str = "part",
+               label_count: str = "label_count") -> dict[str, tuple[float, float]]:
+    """(negatives, positives) of every part: one grouped aggregate."""
+    y = _y(label_count)
+    rows = (df.filter(y.isNotNull()).groupBy(part_col)
+            .agg(F.sum((y == 0).cast("long")).alias("n0"), F.sum((y > 0).cast("long")).alias("n1")).collect())
+    return {r[part_col]: (float(r["n0"]), float(r["n1"])) for r in rows}

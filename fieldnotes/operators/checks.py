@@ -76,12 +76,31 @@ def _positioned(df: DataFrame, id_col: str, alias: str, order: list | None) -> D
     return with_position(df.select(*keep), by or None).select("position", alias)
 
 
-def file_order(df: DataFrame) -> tuple[DataFrame, list[str]]:
-    """Columns that order rows as in their files: file name, then scan
-    position (part files are read in size order, not name order)."""
-    tagged = (df.withColumn("__file", F.input_file_name())
-              .withColumn("__row", F.monotonically_increasing_id()))
-    return tagged, ["__file", "__row"]
+FILE_ORDER = ["__file", "__split", "__row"]
+
+
+def file_order(df: DataFrame) -> DataFrame:
+    """Add columns that order the rows of a scan as in their files: file name,
+    start of the split, then place in the task (a task reads a split in order;
+    which splits it reads depends on sizes, not names). ``df`` must be the
+    scan itself."""
+    return df.select("*", F.col("_metadata.file_path").alias("__file"),
+                     F.col("_metadata.file_block_start").alias("__split"),
+                     F.monotonically_increasing_id().alias("__row"))
+
+
+def file_positions(df: DataFrame, position: str = "position") -> DataFrame:
+    """0-based row positions over all files of a scan, without sorting rows
+    that lie in order already: counts per split (one row each) give the
+    offsets, which are small enough to broadcast."""
+    tagged = file_order(df)
+    splits = tagged.groupBy("__file", "__split").agg(
+        F.count(F.lit(1)).alias("__n"), F.min("__row").alias("__first"))
+    before = Window.orderBy("__file", "__split").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = splits.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
+    return (tagged.join(F.broadcast(offsets), ["__file", "__split"])
+            .withColumn(position, F.col("__off") + F.col("__row") - F.col("__first"))
+            .drop(*FILE_ORDER, "__off", "__first"))
 
 
 def id_order_check(inputs: DataFrame, outputs: DataFrame, id_col: str,
@@ -95,6 +114,13 @@ def id_order_check(inputs: DataFrame, outputs: DataFrame, id_col: str,
     """
     a = _positioned(inputs, id_col, "in_id", input_order)
     b = _positioned(outputs, id_col, "out_id", output_order)
+    return compare_positions(a, b)
+
+
+def compare_positions(a: DataFrame, b: DataFrame) -> DataFrame:
+    """The metrics of ``id_order_check`` for two positioned tables,
+    ``position, in_id`` and ``position, out_id``: one shuffle by position, one
+    by id."""
     joined = a.join(b, "position", "full_outer")
     differs = ~F.col("in_id").eqNullSafe(F.col("out_id"))
     by_position = joined.agg(
@@ -102,13 +128,13 @@ def id_order_check(inputs: DataFrame, outputs: DataFrame, id_col: str,
         F.count("out_id").alias("n_output"),
         F.sum(differs.cast("long")).alias("n_mismatch"))
     long = by_position.unpivot([], ["n_input", "n_output", "n_mismatch"], "metric", "n")
-    missing = (a.select(F.col("in_id").alias("id"))
-               .exceptAll(b.select(F.col("out_id").alias("id")))
-               .agg(F.lit("n_missing").alias("metric"), F.count(F.lit(1)).alias("n")))
-    extra = (b.select(F.col("out_id").alias("id"))
-             .exceptAll(a.select(F.col("in_id").alias("id")))
-             .agg(F.lit("n_extra").alias("metric"), F.count(F.lit(1)).alias("n")))
-    return long.unionByName(missing).unionByName(extra)
+    # +1 for each input id, -1 for each output id: what is left over
+    balance = (a.select(F.col("in_id").alias("id"), F.lit(1).alias("d"))
+               .union(b.select(F.col("out_id").alias("id"), F.lit(-1).alias("d")))
+               .groupBy("id").agg(F.sum("d").alias("d"))
+               .agg(F.coalesce(F.sum(F.greatest("d", F.lit(0))), F.lit(0)).alias("n_missing"),
+                    F.coalesce(F.sum(F.greatest(-F.col("d"), F.lit(0))), F.lit(0)).alias("n_extra")))
+    return long.unionByName(balance.unpivot([], ["n_missing", "n_extra"], "metric", "n"))
 
 
 def extract_curve(lines: DataFrame, pattern: str, column: str = "value") -> DataFrame:
@@ -119,8 +145,3 @@ def extract_curve(lines: DataFrame, pattern: str, column: str = "value") -> Data
     return (lines.filter(c.rlike(anchored))
             .select(F.regexp_extract(c, anchored, 1).try_cast("double").alias("x"),
                     F.regexp_extract(c, anchored, 2).try_cast("double").alias("y")))
-
-
-def read_log(spark, path: str) -> DataFrame:
-    """Log file as lines (column ``value``)."""
-    return spark.read.text(path)

@@ -29,6 +29,7 @@ class ForestParams:
     impurity: str = "gini"
     subset_strategy: str = "auto"
     seed: int = 42
+    bootstrap: bool = True
 
     def classifier(self, features_col: str = "features",
                    label_col: str = "label") -> RandomForestClassifier:
@@ -36,7 +37,7 @@ class ForestParams:
             featuresCol=features_col, labelCol=label_col,
             numTrees=self.num_trees, maxDepth=self.max_depth, maxBins=self.max_bins,
             impurity=self.impurity, featureSubsetStrategy=self.subset_strategy,
-            seed=self.seed)
+            bootstrap=self.bootstrap, seed=self.seed)
 
     def with_(self, **kw) -> "ForestParams":
         return replace(self, **kw)
@@ -68,6 +69,7 @@ def train(df: DataFrame, spec: FeatureSpec, features=None,
     if keep == "persist":
         labelled = labelled.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        check_categories(labelled, spec, features, params)
         return forest_pipeline(spec, features, params, replace).fit(labelled)
     finally:
         if keep == "persist":
@@ -77,8 +79,16 @@ def train(df: DataFrame, spec: FeatureSpec, features=None,
 def accuracy(predictions: DataFrame, label: str = "label",
              prediction: str = "prediction") -> float:
     """Share of rows with ``label == prediction``: one aggregate."""
-    row = predictions.agg(F.avg((F.col(label) == F.col(prediction)).cast("double"))).first()
-    return float(row[0]) if row[0] is not None else float("nan")
+    row = accuracy_table(predictions, [], label, prediction).first()
+    return float(row["accuracy"]) if row["n"] else float("nan")
+
+
+def accuracy_table(predictions: DataFrame, by: list[str], label: str = "label",
+                   prediction: str = "prediction") -> DataFrame:
+    """``by..., n, n_correct, accuracy`` (rows, correct ones, their share)."""
+    hit = (F.col(label) == F.col(prediction)).cast("long")
+    return predictions.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(hit).alias("n_correct"), F.avg(hit.cast("double")).alias("accuracy"))
 
 
 def trial(model: PipelineModel, test: DataFrame, spec: FeatureSpec) -> float:
@@ -93,6 +103,20 @@ def run_trial(train_df: DataFrame, test_df: DataFrame, spec: FeatureSpec, featur
 
 
 def score(model: PipelineModel, df: DataFrame, key: str,
-          out: str = "prediction") -> DataFrame:
-    """``key, prediction`` (int): one transform, no shuffle (M9)."""
-    return model.transform(df).select(F.col(key), F.col("prediction").cast("int").alias(out))
+          out: str = "prediction", keep: list[str] | None = None) -> DataFrame:
+    """``key, prediction`` (int) and the columns in ``keep``: one transform,
+    no shuffle (M9)."""
+    return model.transform(df).select(F.col(key), F.col("prediction").cast("int").alias(out), *(keep or []))
+
+
+def check_categories(df: DataFrame, spec: FeatureSpec, features, params: ForestParams) -> None:
+    """Stop before the fit if a discrete feature has more names than a tree
+    has bins (one more code stands for missing and unseen names)."""
+    names = [c for c in (features or spec.predictors) if spec.is_discrete(c)]
+    if not names:
+        return
+    counts = df.agg(*[F.count_distinct(c).alias(c) for c in names]).first()
+    for c in names:
+        if counts[c] + 1 > params.max_bins:
+            raise ValueError(f"column {c!r} has {counts[c]} names; with max_bins={params.max_bins} "
+                             f"a forest takes at most {params.max_bins - 1}")

@@ -31,116 +31,133 @@ def feature_means(cells: DataFrame) -> DataFrame:
             .agg(F.count(_v()).alias("n"), F.avg(_v()).alias("mean")))
 
 
-def label_mean(cells: DataFrame, label: str) -> Column:
-    """Mean of the label over labelled rows, as a scalar subquery on the
-    label feature's own cells (a separate pass; ``pearson_scores`` takes
-    it from its own aggregate instead)."""
-    return (cells.filter(F.col("feature") == label)
-            .agg(F.avg(_v())).scalar())
+#: A spread below this share of the mean is rounding: the values are constant.
+#: (Merging partial moments rounds the mean, so a constant's variance is some
+#: 1e-32 of its square, not 0.)
+FLAT = 1e-13
+
+
+def _spread(variance: Column, mean: Column) -> Column:
+    """Standard deviation; 0 where it is rounding only."""
+    return F.when(variance <= mean * mean * F.lit(FLAT * FLAT), F.lit(0.0)).otherwise(F.sqrt(variance))
+
+
+def _every_feature(scored: DataFrame, features: list[str] | None, label: str) -> DataFrame:
+    """A row for each asked feature; one without any cell scores 0."""
+    scored = scored.filter(F.col("feature") != label)
+    if features is None:
+        return scored
+    names = [(f,) for f in features if f != label]
+    asked = scored.sparkSession.createDataFrame(names, "feature string")
+    return (asked.join(scored, "feature", "left")
+            .select("feature", F.coalesce("score", F.lit(0.0)).alias("score")))
 
 
 def pearson_scores(cells: DataFrame, label: str, pairwise: bool = False,
-                   ybar: Column | float | None = None) -> DataFrame:
+                   features: list[str] | None = None) -> DataFrame:
     """``feature, score``: |correlation| of each feature with the raw label
-    count, label left out; NaN or infinite -> 0.
+    count, label left out; an undefined or infinite score is 0. With
+    ``features``, each of them has a row, also one whose cells are all missing.
 
-    Default: sums over the rows where the feature is present, with the
-    label's mean taken over all labelled rows (the original definition):
+    Default: moments over the rows where the feature is present, with the
+    label's mean taken over all labelled rows (the original definition:
     ``cov = Sxy/n - xbar*ybar``, ``sx = sqrt(Sxx/n - xbar^2)``,
-    ``sy = sqrt(Syy/n - ybar^2)``. ``pairwise=True`` is the textbook
-    correlation over the same rows (``corr``). The two agree when nothing
-    is missing.
-
-    One pass: the cells include the label's own cells, so the same
-    per-feature aggregate gives the label mean (its row: ``sx / n``). It
-    is spread to the other rows by a window over that aggregate, which has
-    one row per feature -- bounded by the schema width, not the data.
+    ``sy = sqrt(Syy/n - ybar^2)``). It is computed from central moments, with
+    the shift ``d = mean(y where present) - ybar``: ``cov = cov_n + xbar*d`` and
+    ``sy^2 = var_n(y) + d*(mean + ybar)``, so a constant scores exactly 0.
+    ``pairwise=True`` is the textbook correlation over the same rows. The two
+    agree when nothing is missing.
+
+    One pass: the cells include the label's own cells, so the same per-feature
+    aggregate gives the label mean. It is spread to the other rows by a window
+    over that aggregate, which has one row per feature -- bounded by the schema
+    width, not the data.
     """
-    c = cells.filter(_y().isNotNull())
+    sums = cells.filter(_y().isNotNull()).groupBy("feature").agg(
+        F.avg(_v()).alias("mx"), F.var_pop(_v()).alias("vx"),
+        F.avg(F.when(_v().isNotNull(), _y())).alias("my"),
+        F.var_pop(F.when(_v().isNotNull(), _y())).alias("vy"),
+        F.covar_pop(_v(), _y()).alias("cxy"))
     if pairwise:
-        scored = c.groupBy("feature").agg(
-            F.abs(finite_or_zero(F.corr(_v(), _y()))).alias("score"))
-        return scored.filter(F.col("feature") != label)
-    sums = c.groupBy("feature").agg(
-        F.count(_v()).alias("n"),
-        F.sum(_v()).alias("sx"),
-        F.sum(_v() * _v()).alias("sxx"),
-        F.sum(_y() * _y()).alias("syy"),
-        F.sum(_v() * _y()).alias("sxy"))
-    n = F.col("n").cast("double")
-    if ybar is None:
-        own = F.when(F.col("feature") == label, F.col("sx") / n)
-        ybar = F.max(own).over(Window.partitionBy())
-    elif not isinstance(ybar, Column):
-        ybar = F.lit(float(ybar))
-    sums = sums.withColumn("__ybar", ybar).filter(F.col("feature") != label)
-    yb = F.col("__ybar")
-    xbar = F.col("sx") / n
-    sd_x = F.sqrt(F.col("sxx") / n - xbar * xbar)
-    sd_y = F.sqrt(F.col("syy") / n - yb * yb)
-    cov = F.col("sxy") / n - xbar * yb
-    r = F.try_divide(cov, sd_x * sd_y)
-    return sums.select("feature", F.abs(finite_or_zero(r)).alias("score"))
+        r = F.try_divide(F.col("cxy"), _spread(F.col("vx"), F.col("mx")) * _spread(F.col("vy"), F.col("my")))
+    else:
+        own = F.when(F.col("feature") == label, F.col("mx"))
+        sums = sums.withColumn("ybar", F.max(own).over(Window.partitionBy()))
+        d = F.col("my") - F.col("ybar")
+        vy = F.col("vy") + d * (F.col("my") + F.col("ybar"))
+        r = F.try_divide(F.col("cxy") + F.col("mx") * d,
+                         _spread(F.col("vx"), F.col("mx")) * _spread(vy, F.col("my")))
+    scored = sums.select("feature", F.abs(finite_or_zero(r)).alias("score"))
+    return _every_feature(scored, features, label)
 
 
 ROW_MARKER = "__row"
 
 
-def _row_totals(sums: DataFrame, cols: list[str]) -> DataFrame:
-    """Copy the marker row's aggregates to every feature row (window over
-    the aggregate: one row per feature)."""
-    every = Window.partitionBy()
-    for c in cols:
-        sums = sums.withColumn(f"all_{c}", F.max(
-            F.when(F.col("feature") == ROW_MARKER, F.col(c))).over(every))
-    return sums.filter(F.col("feature") != ROW_MARKER)
-
-
-def feature_means_sparse(cells: DataFrame) -> DataFrame:
-    """``feature, n, mean`` from sparse cells (see ``parse.sparse_cells``):
-    ``n = rows - missing``, ``mean = sum / n`` -- the same numbers as
-    ``feature_means`` on zero-filled cells, without the zeros."""
-    sums = cells.groupBy("feature").agg(
-        F.count(F.lit(1)).alias("cells"),
-        F.sum(_v().isNull().cast("long")).alias("missing"),
-        F.sum(_v()).alias("sx"))
-    sums = _row_totals(sums, ["cells"])
-    n = F.col("all_cells") - F.col("missing")
-    return sums.select("feature", n.alias("n"),
-                       F.when(n > 0, F.coalesce(F.col("sx"), F.lit(0.0)) / n).alias("mean"))
-
-
-def pearson_scores_sparse(cells: DataFrame, label: str) -> DataFrame:
-    """``pearson_scores`` (default definition) from sparse cells.
-
-    Over labelled rows, with N rows, y the label, m_f the rows where f is
-    missing: ``n = N - m_f``; Sx, Sxx, Sxy from stored cells (zeros add
-    nothing); ``Syy = sum(y^2) - sum over missing cells of y^2``;
-    ``ybar = sum(y) / N``. One aggregate by feature, then a window over
-    its (one row per feature) result.
+def sparse_measures(cells: DataFrame, features: list[str], label: str | None = None) -> DataFrame:
+    """``feature, n, mean[, score]`` for every one of ``features``, from sparse
+    cells (see ``parse.sparse_cells``) in one aggregate: the numbers that
+    ``feature_means`` and ``pearson_scores`` give on zero-filled cells.
+
+    A feature has k non-zero cells and m missing ones; the other N - m - k rows
+    are zeros, which have no cell. Moments over the N - m rows where it is
+    present are put together from those of the non-zero cells, of the zeros,
+    and (for the label) of all rows without the missing ones. A feature without
+    any cell is all zeros.
     """
-    c = cells.filter(_y().isNotNull())
-    miss = _v().isNull()
-    sums = c.groupBy("feature").agg(
-        F.count(F.lit(1)).alias("cells"),
-        F.sum(miss.cast("long")).alias("missing"),
-        F.coalesce(F.sum(_v()), F.lit(0.0)).alias("sx"),
-        F.coalesce(F.sum(_v() * _v()), F.lit(0.0)).alias("sxx"),
-        F.coalesce(F.sum(_v() * _y()), F.lit(0.0)).alias("sxy"),
-        F.coalesce(F.sum(F.when(miss, _y() * _y())), F.lit(0.0)).alias("syy_missing"),
-        F.sum(_y()).alias("y1"),
-        F.sum(_y() * _y()).alias("y2"))
-    sums = _row_totals(sums, ["cells", "y1", "y2"]).filter(F.col("feature") != label)
-    big_n = F.col("all_cells").cast("double")
-    n = (F.col("all_cells") - F.col("missing")).cast("double")
-    yb = F.col("all_y1") / big_n
-    syy = F.col("all_y2") - F.col("syy_missing")
-    xbar = F.col("sx") / n
-    sd_x = F.sqrt(F.col("sxx") / n - xbar * xbar)
-    sd_y = F.sqrt(syy / n - yb * yb)
-    cov = F.col("sxy") / n - xbar * yb
-    r = F.try_divide(cov, sd_x * sd_y)
-    return sums.select("feature", F.abs(finite_or_zero(r)).alias("score"))
+    scored = label is not None
+    null = _v().isNull()
+    aggs = [F.count(F.lit(1)).alias("cells"), F.sum(null.cast("long")).alias("missing"), F.sum(_v()).alias("sx")]
+    if scored:
+        has = _y().isNotNull()
+        x = F.when(has, _v())
+        aggs += [
+            F.sum(has.cast("long")).alias("l_cells"), F.sum((has & null).cast("long")).alias("l_missing"),
+            F.count(x).alias("k"), F.avg(x).alias("x1"), F.var_pop(x).alias("x2"), F.covar_pop(x, _y()).alias("xy"),
+            F.avg(F.when(~null, _y())).alias("y1"),
+            F.avg(F.when(null, _y())).alias("m1"), F.var_pop(F.when(null, _y())).alias("m2"),
+            F.avg(_y()).alias("a1"), F.var_pop(_y()).alias("a2")]
+    spark = cells.sparkSession
+    asked = spark.createDataFrame([(f,) for f in [ROW_MARKER, *features]], "feature string")
+    every = Window.partitionBy()  # one row per feature
+    total = lambda c: F.max(F.when(F.col("feature") == ROW_MARKER, F.col(c))).over(every)
+    t = asked.join(cells.groupBy("feature").agg(*aggs), "feature", "left").withColumn("rows", total("cells"))
+    if scored:
+        t = t.withColumn("l_rows", total("l_cells")).withColumn("ybar", total("a1")).withColumn("yvar", total("a2"))
+    t = t.filter(F.col("feature") != ROW_MARKER).fillna(0)
+    n = F.coalesce("rows", F.lit(0)) - F.col("missing")
+    out = [F.col("feature"), n.alias("n"), F.try_divide(F.col("sx"), n).alias("mean")]
+    if not scored:
+        return t.select(*out)
+    c = lambda name: F.col(name).cast("double")
+    div = F.try_divide
+    t = t.withColumn("p", c("l_rows") - c("l_missing"))  # labelled rows where present
+    t = t.withColumn("z", F.col("p") - c("k"))  # of these, zeros
+    t = t.withColumn("y_sum", c("l_rows") * F.col("ybar") - c("l_missing") * F.col("m1"))
+    t = t.withColumn("yp", div("y_sum", "p"))
+    t = t.withColumn("yz", F.coalesce(div(F.col("y_sum") - c("k") * F.col("y1"), F.col("z")), F.lit(0.0)))
+    t = t.withColumn("mx", div(c("k") * F.col("x1"), F.col("p")))
+    mixed = div(c("k") * F.col("z"), F.col("p"))
+    t = t.withColumn("vx", div(c("k") * F.col("x2") + mixed * F.col("x1") * F.col("x1"), F.col("p")))
+    t = t.withColumn("cxy", div(c("k") * F.col("xy") + mixed * F.col("x1") * (F.col("y1") - F.col("yz")), F.col("p")))
+    gone = F.coalesce(div(F.col("p") * c("l_missing"), c("l_rows")), F.lit(0.0)) * F.pow(F.col("yp") - F.col("m1"), 2)
+    t = t.withColumn("vy", div(c("l_rows") * F.col("yvar") - c("l_missing") * F.col("m2") - gone, F.col("p")))
+    d = F.col("yp") - F.col("ybar")
+    vy = F.col("vy") + d * (F.col("yp") + F.col("ybar"))
+    r = div(F.col("cxy") + F.col("mx") * d, _spread(F.col("vx"), F.col("mx")) * _spread(vy, F.col("yp")))
+    return t.select(*out, F.abs(finite_or_zero(r)).alias("score"))
+
+
+def feature_means_sparse(cells: DataFrame, features: list[str]) -> DataFrame:
+    """``feature, n, mean`` of every feature, from sparse cells."""
+    return sparse_measures(cells, features)
+
+
+def pearson_scores_sparse(cells: DataFrame, label: str, features: list[str]) -> DataFrame:
+    """``pearson_scores`` (default definition) of every feature but the label,
+    from sparse cells."""
+    return (sparse_measures(cells, [f for f in features if f != label], label)
+            .select("feature", "score"))
 
 
 def chi_squared_scores(cat_cells: DataFrame) -> DataFrame:
@@ -153,9 +170,10 @@ def chi_squared_scores(cat_cells: DataFrame) -> DataFrame:
     table = c.groupBy("feature", "category").agg(
         F.sum((_y() == 0).cast("long")).alias("n0"),
         F.sum((_y() != 0).cast("long")).alias("n1"))
-    w = Window.partitionBy("feature")
-    table = (table.withColumn("t0", F.sum("n0").over(w).cast("double"))
-             .withColumn("t1", F.sum("n1").over(w).cast("double")))
+    # totals: one row per feature, so no task holds one feature's whole table
+    totals = table.groupBy("feature").agg(F.sum("n0").cast("double").alias("t0"),
+                                          F.sum("n1").cast("double").alias("t1"))
+    table = table.join(totals, "feature")
     total = F.col("t0") + F.col("t1")
     share = (F.col("n0") + F.col("n1")) / total
     e0 = share * F.col("t0")

@@ -74,8 +74,9 @@ def id_output_name(spec: FeatureSpec, c: str) -> str:
 
 
 def parse(raw: DataFrame, spec: FeatureSpec, on_error: str = "raise",
-          strict_empty: bool = False) -> DataFrame:
-    """Typed wide form of a raw text table, in file column order.
+          strict_empty: bool = False, keep: list[str] | None = None) -> DataFrame:
+    """Typed wide form of a raw text table, in file column order; ``keep``
+    names further columns of ``raw`` to pass through.
 
     One ``selectExpr`` of SQL texts: the projection of any width is built
     and parsed in the JVM with one call.
@@ -94,7 +95,7 @@ def parse(raw: DataFrame, spec: FeatureSpec, on_error: str = "raise",
             exprs.append(f"{category_cell_sql(c, spec.missing_token)} AS {q(c)}")
         elif spec.is_continuous(c):
             exprs.append(f"{numeric_cell_sql(c, spec.missing_token, spec.null_token, spec.null_token_value, on_error, strict_empty)} AS {q(c)}")  # noqa: E501
-    return raw.selectExpr(*exprs)
+    return raw.selectExpr(*exprs, *map(q, keep or []))
 
 
 def bad_cell_counts(raw: DataFrame, spec: FeatureSpec) -> DataFrame:
@@ -185,7 +186,7 @@ def category_values(wide: DataFrame, features: list[str]) -> DataFrame:
     return category_cells(wide, features=features).distinct()
 
 
-def category_codes(values: DataFrame, method: str = "window") -> DataFrame:
+def category_codes(values: DataFrame, method: str = "sorted") -> DataFrame:
     """Dense codes 0..k-1 per feature, in alphabetical order of the name.
 
     ``window``: a window partitioned by feature; it holds one feature's
@@ -219,6 +220,9 @@ def encode_categories(wide: DataFrame, dictionary: DataFrame, features: list[str
     the dictionary gets NULL too (``StringIndexer`` in the model pipeline
     gives both their own code instead).
     """
+    if len(features) > 1:
+        from fieldnotes.operators.search import materialize
+        dictionary = materialize(dictionary)  # else each join computes it anew
     out = wide
     for c in features:
         d = (dictionary.filter(F.col("feature") == c)

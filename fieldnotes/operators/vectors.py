@@ -11,7 +11,6 @@ dictionary and replacement when it scores.
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
 from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler, VectorSlicer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -65,11 +64,6 @@ def vector_stages(spec: FeatureSpec, features=None, replace=None,
     return stages, feats
 
 
-def assembler(spec: FeatureSpec, features=None, replace=None) -> Pipeline:
-    stages, _ = vector_stages(spec, features, replace)
-    return Pipeline(stages=stages)
-
-
 def slicer(all_features: list[str], chosen, input_col: str = "features",
            output: str = "sliced") -> VectorSlicer:
     """Take a subset of an assembled vector by position (V5); attribute

@@ -314,3 +314,62 @@ ORACLES["pearson_scores_docs"] = _DOCS + _pearson(
     "SELECT 'n_chars' AS feature, n_chars AS value, label_count FROM d WHERE n_chars IS NOT NULL",
     "(SELECT avg(label_count) FROM d)")
 ORACLES["category_codes_sorted"] = ORACLES["category_codes"]
+
+# columns that hold nothing to measure: all zero, all missing, constant, zero
+# or missing
+_ODD = OBS_CTE + """
+, odd AS (SELECT label_count, f_effort, 0.0e0 AS f_zero, CAST(NULL AS DOUBLE) AS f_missing,
+    2011.3e0 AS f_const, CASE WHEN event_id % 2 = 0 THEN 0.0e0 END AS f_null FROM obs)
+"""
+_ODD_NAMES = ("f_effort", "f_zero", "f_missing", "f_const", "f_null")
+ORACLES["feature_means_odd"] = _ODD + _union(
+    f"SELECT '{c}' AS feature, count({c}) AS n, round(avg({c}), 6) AS mean FROM odd"
+    for c in (*_ODD_NAMES, "label_count"))
+_ODD_SCORES = _union(
+    f"""SELECT '{c}' AS feature, round(coalesce(CASE WHEN var_pop(x) * (avg(y * y) - ybar * ybar) > 0 THEN
+      abs((avg(x * y) - avg(x) * ybar) / sqrt(var_pop(x) * (avg(y * y) - ybar * ybar))) END, 0), 6) AS score
+      FROM (SELECT {c} AS x, label_count AS y, (SELECT avg(label_count) FROM odd) AS ybar FROM odd
+            WHERE label_count IS NOT NULL AND {c} IS NOT NULL) GROUP BY ybar"""
+    for c in _ODD_NAMES if c != "f_missing") + " UNION ALL SELECT 'f_missing', 0.0e0"
+ORACLES["pearson_scores_odd"] = _ODD + _ODD_SCORES
+ORACLES["pearson_pairwise_odd"] = _ODD + _union(
+    f"""SELECT '{c}' AS feature, round(coalesce(CASE WHEN var_pop(x) > 0 THEN abs(corr(x, y)) END, 0), 6) AS score
+      FROM (SELECT {c} AS x, label_count AS y FROM odd WHERE label_count IS NOT NULL AND {c} IS NOT NULL)"""
+    for c in _ODD_NAMES)
+ORACLES["rank_scores"] = _ODD + f"""
+SELECT feature, score, row_number() OVER (ORDER BY score DESC, feature)::INT AS place FROM ({_ODD_SCORES}) s"""
+
+# the planted label: an hour from 12 on
+ORACLES["model_roundtrip"] = OBS_CTE + "SELECT sampling_id, 1 AS same FROM obs"
+ORACLES["forest_planted"] = OBS_CTE + "SELECT sampling_id, (f_hour >= 12)::INT AS prediction FROM obs"
+ORACLES["forest_planted_accuracy"] = OBS_CTE + f"""
+SELECT holdout, 1.0e0 AS accuracy, (SELECT count(*) FROM obs WHERE {_u('event_id', 'split')} >= 0.7) AS n_holdout
+FROM (VALUES ('balanced'), ('natural'), ('refit')) t(holdout)"""
+ORACLES["searches_planted"] = """
+SELECT * FROM (VALUES ('prefix', 'f_hour', 1.0e0), ('greedy', 'f_hour', 1.0e0), ('maxDepth', '1', 1.0e0))
+t(search, best, accuracy)"""
+_KINDS = """, kinds AS (SELECT kind, (row_number() OVER (ORDER BY kind) - 1)::DOUBLE AS code
+  FROM (SELECT DISTINCT f_kind AS kind FROM obs WHERE f_kind IS NOT NULL))
+"""
+ORACLES["model_files"] = OBS_CTE + _KINDS + """
+SELECT * FROM (VALUES ('feature', 'f_day', 0e0), ('feature', 'f_hour', 1e0), ('feature', 'f_effort', 2e0),
+  ('feature', 'f_kind', 3e0), ('replace', 'f_day', -1e0), ('replace', 'f_hour', -1e0), ('replace', 'f_effort', 7.5e0))
+t(part, name, value)
+UNION ALL SELECT 'category', 'f_kind:' || kind, code FROM kinds"""
+_VECTORS = OBS_CTE + _KINDS + """, v AS (
+  SELECT event_id, label_count, coalesce(f_day, -1) AS v_f_day, coalesce(f_hour, -1) AS v_f_hour,
+    round(coalesce(f_effort, -1), 6) AS v_f_effort,
+    coalesce(code, (SELECT count(*) FROM kinds))::DOUBLE AS v_f_kind
+  FROM obs LEFT JOIN kinds ON f_kind = kind)
+"""
+ORACLES["feature_vectors"] = _VECTORS + "SELECT event_id, v_f_day, v_f_hour, v_f_effort, v_f_kind FROM v"
+ORACLES["labelled_points"] = _VECTORS + """
+SELECT event_id, (label_count > 0)::INT::DOUBLE AS label, v_f_hour, v_f_kind FROM v WHERE label_count IS NOT NULL"""
+ORACLES["category_arity"] = OBS_CTE + """
+SELECT 'f_kind' AS feature, count(DISTINCT f_kind) + 1 AS arity FROM obs"""
+ORACLES["csv_scan"] = OBS_CTE + "SELECT sampling_id, f_day, f_hour, f_effort, f_kind, label_count FROM obs"
+ORACLES["excluded_columns"] = OBS_CTE + "SELECT sampling_id, f_hour, f_effort, label_count FROM obs"
+ORACLES["file_sample"] = OBS_CTE + f"""
+SELECT sampling_id, f_hour, f_kind, label_raw AS label_count FROM obs_raw WHERE {_u('sampling_id', '17')} < 0.1"""
+ORACLES["predictions_in_order"] = OBS_CTE + """
+SELECT sampling_id, (f_hour >= 12)::INT AS prediction, row_number() OVER (ORDER BY event_id) - 1 AS position FROM obs"""

@@ -8,14 +8,18 @@ bigint, so the matching oracle SQL in ``plans.oracles`` compares exactly.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fieldnotes.functions.cells import binary_label
 from fieldnotes.operators import balance, checks, forest, measures, search, vectors
 from fieldnotes.operators import parse as P
-from fieldnotes.plans.fixtures import DOCS_SPEC, OBS_SPEC, docs, obs, table
+from fieldnotes.operators.parse import parse
+from fieldnotes.plans.fixtures import DOCS_SPEC, OBS_SPEC, docs, obs, obs_raw, table
+from fieldnotes.sources.csv import read_observations, sample_file
+from fieldnotes.spec import FeatureSpec
 from fieldnotes.spec import clean_names as _clean
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -162,10 +166,9 @@ def class_counts(spark, sf):
 
 def class_counts_labels(spark, sf):
     lab = table(spark, sf, "labels")
-    long = lab.unpivot(["doc_id"], ["quality", "toxic"], "target", "value")
-    return (long.filter(F.col("value").isNotNull())
-            .groupBy("target", F.col("value").cast("int").alias("label"))
-            .agg(F.count(F.lit(1)).alias("n")))
+    counts = [balance.class_counts(lab, c).select(F.lit(c).alias("target"), "label", "n")
+              for c in ("quality", "toxic")]
+    return counts[0].unionByName(counts[1])
 
 
 def train_holdout_split(spark, sf):
@@ -240,9 +243,9 @@ def accuracy_of_rule(spark, sf):
     o = balance.hash_split(obs(spark, sf), "event_id")
     lab = o.filter(F.col("label_count").isNotNull())
     pred = F.when(F.coalesce(F.col("f_effort"), F.lit(-1.0)) > 25, 1).otherwise(0)
-    hit = (binary_label("label_count").cast("int") == pred).cast("long")
-    return lab.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum(hit).alias("n_correct"),
-                                   r6(F.avg(hit.cast("double"))).alias("accuracy"))
+    ruled = lab.select("part", binary_label("label_count").cast("int").alias("label"), pred.alias("prediction"))
+    got = forest.accuracy_table(ruled, ["part"])
+    return got.select("part", "n", "n_correct", r6("accuracy").alias("accuracy"))
 
 
 def best_trial(spark, sf):
@@ -289,8 +292,9 @@ OBS_FEATURES = ["f_day", "f_hour", "f_effort", "f_kind"]
 def _obs_train_test(spark, sf):
     o = obs(spark, sf)
     tagged = balance.hash_split(o, "event_id", salt="split")
+    sizes = balance.part_sizes(tagged)
     train = balance.undersample(tagged.filter(F.col("part") == "train").drop("part"),
-                                key="event_id")
+                                key="event_id", sizes=sizes["train"])
     test = tagged.filter(F.col("part") == "holdout").drop("part")
     return o, train, test
 
@@ -334,8 +338,8 @@ def model_roundtrip(spark, sf):
     loaded = model_store.load(spark, path)
     before = forest.score(model, o, "sampling_id", out="prediction")
     after = forest.score(loaded.pipeline, o, "sampling_id", out="reloaded")
-    return before.join(after, "sampling_id").withColumn(
-        "same", (F.col("prediction") == F.col("reloaded")).cast("int"))
+    return before.join(after, "sampling_id").select(
+        "sampling_id", (F.col("prediction") == F.col("reloaded")).cast("int").alias("same"))
 
 
 def _search_data(spark, sf, candidates):
@@ -394,19 +398,55 @@ def pearson_scores_docs(spark, sf):
 
 def feature_means_sparse(spark, sf):
     cells = P.sparse_cells(obs(spark, sf), features=P.numeric_features(OBS_SPEC))
-    m = measures.feature_means_sparse(cells)
+    m = measures.feature_means_sparse(cells, P.numeric_features(OBS_SPEC))
     return m.select("feature", "n", r6("mean").alias("mean"))
 
 
 def pearson_scores_sparse(spark, sf):
     cells = P.sparse_cells(obs(spark, sf), OBS_SPEC)
-    return _scores(measures.pearson_scores_sparse(cells, OBS_SPEC.label))
+    return _scores(measures.pearson_scores_sparse(cells, OBS_SPEC.label, P.numeric_features(OBS_SPEC)))
 
 
 def pearson_scores_lineitem_sparse(spark, sf):
     cells = P.sparse_cells(table(spark, sf, "lineitem"), features=LINEITEM_NUMERIC,
                            label="l_quantity")
-    return _scores(measures.pearson_scores_sparse(cells, "l_quantity"))
+    return _scores(measures.pearson_scores_sparse(cells, "l_quantity", LINEITEM_NUMERIC))
+
+
+# the observation table with columns that hold nothing to measure
+ODD_FEATURES = ["f_effort", "f_zero", "f_missing", "f_const", "f_null", "label_count"]
+
+
+def _odd(spark, sf):
+    e = F.col("event_id")
+    return obs(spark, sf).select(
+        "event_id", "label_count", "f_effort", F.lit(0.0).alias("f_zero"),
+        F.lit(None).cast("double").alias("f_missing"), F.lit(2011.3).alias("f_const"),
+        F.when(e % 2 == 0, F.lit(0.0)).alias("f_null"))
+
+
+def feature_means_odd(spark, sf):
+    cells = P.sparse_cells(_odd(spark, sf), features=ODD_FEATURES)
+    m = measures.feature_means_sparse(cells, ODD_FEATURES)
+    return m.select("feature", "n", r6("mean").alias("mean"))
+
+
+def pearson_scores_odd(spark, sf):
+    cells = P.sparse_cells(_odd(spark, sf), features=ODD_FEATURES, label="label_count")
+    return _scores(measures.pearson_scores_sparse(cells, "label_count", ODD_FEATURES))
+
+
+def pearson_pairwise_odd(spark, sf):
+    cells = P.numeric_cells(_odd(spark, sf), features=ODD_FEATURES, label="label_count")
+    return _scores(measures.pearson_scores(cells, "label_count", pairwise=True, features=ODD_FEATURES))
+
+
+def rank_scores(spark, sf):
+    scores = pearson_scores_odd(spark, sf)
+    ranked = measures.rank_scores(scores).withColumn("place", F.monotonically_increasing_id())
+    # the order itself is the result: place by place, from the sorted rows
+    w = Window.orderBy("place")  # one row per feature
+    return ranked.select("feature", "score", F.row_number().over(w).alias("place"))
 
 
 QUERIES.update({
@@ -415,6 +455,10 @@ QUERIES.update({
     "feature_means_sparse": feature_means_sparse,
     "pearson_scores_sparse": pearson_scores_sparse,
     "pearson_scores_lineitem_sparse": pearson_scores_lineitem_sparse,
+    "feature_means_odd": feature_means_odd,
+    "pearson_scores_odd": pearson_scores_odd,
+    "pearson_pairwise_odd": pearson_pairwise_odd,
+    "rank_scores": rank_scores,
     "fill_missing": fill_missing,
     "candidate_features": candidate_features,
     "accuracy_of_rule": accuracy_of_rule,
@@ -430,3 +474,157 @@ QUERIES.update({
     "tune_depth": tune_depth,
     "prediction_sink": prediction_sink,
 })
+
+
+# -- a planted label: rows from noon on. One tree of depth 1 without bootstrap
+# finds the rule, so SQL has every prediction and accuracy -----------------
+
+STUMP = forest.ForestParams(num_trees=1, max_depth=1, max_bins=32, bootstrap=False,
+                            subset_strategy="all", seed=7)
+
+
+def _planted(spark, sf):
+    """(all rows, balanced train rows, natural holdout), all with the label."""
+    o = obs(spark, sf).withColumn("label_count", (F.col("f_hour") >= 12).cast("double"))
+    tagged = balance.hash_split(o, "event_id", salt="split")
+    train = balance.undersample(tagged.filter(F.col("part") == "train").drop("part"), key="event_id")
+    return o, train, tagged.filter(F.col("part") == "holdout").drop("part")
+
+
+def forest_planted(spark, sf):
+    o, train, _ = _planted(spark, sf)
+    return forest.score(forest.train(train, OBS_SPEC, OBS_FEATURES, STUMP), o, "sampling_id")
+
+
+def forest_planted_accuracy(spark, sf):
+    _, train, holdout = _planted(spark, sf)
+    model = forest.train(train, OBS_SPEC, OBS_FEATURES, STUMP)
+    rows = [("balanced", forest.trial(model, balance.undersample(holdout, key="event_id"), OBS_SPEC)),
+            ("natural", forest.trial(model, holdout, OBS_SPEC)),
+            ("refit", forest.run_trial(train, holdout, OBS_SPEC, OBS_FEATURES, STUMP))]
+    n = holdout.groupBy().agg(F.count(F.lit(1)).alias("n_holdout"))
+    return spark.createDataFrame(rows, "holdout string, accuracy double").join(n)
+
+
+def searches_planted(spark, sf):
+    """The best row of each search, and whether it found the hour."""
+    _, train, holdout = _planted(spark, sf)
+    data = search.prepare(train, holdout, OBS_SPEC, OBS_FEATURES)
+    ranking = ["f_hour", "f_day", "f_effort", "f_kind"]
+    prefix, p_acc, _ = search.prefix_selection(data, ranking, STUMP, parallelism=4)
+    greedy, g_acc, _ = search.greedy_selection(data, OBS_FEATURES, STUMP, parallelism=4)
+    depth, t_acc, _, _ = search.tune(data, OBS_FEATURES, STUMP, "maxDepth", 1, 3, parallelism=3)
+    data.release()
+    return spark.createDataFrame(
+        [("prefix", ",".join(prefix), p_acc), ("greedy", ",".join(greedy), g_acc), ("maxDepth", str(depth), t_acc)],
+        "search string, best string, accuracy double")
+
+
+def model_files(spark, sf):
+    """Feature set, replacement map and dictionary, read back from the files."""
+    from fieldnotes.session import scratch_path
+    from fieldnotes.sources import model_store
+    _, train, _ = _planted(spark, sf)
+    model = forest.train(train, OBS_SPEC, OBS_FEATURES, STUMP, replace={"f_effort": 7.5})
+    path = scratch_path(spark, "model")
+    model_store.save(spark, path, model, OBS_SPEC, OBS_FEATURES)
+    loaded = model_store.load(spark, path)
+    small = [("feature", f, float(i)) for i, f in enumerate(loaded.features)]
+    small += [("replace", f, v) for f, v in loaded.replace.items()]
+    return spark.createDataFrame(small, "part string, name string, value double").unionByName(
+        model_store.load_dictionary(spark, path).select(
+            F.lit("category").alias("part"), F.concat_ws(":", "feature", "category").alias("name"),
+            F.col("code").cast("double").alias("value")))
+
+
+def _vectors(spark, sf):
+    from pyspark.ml import Pipeline
+    stages, slots = vectors.vector_stages(OBS_SPEC, OBS_FEATURES)
+    o = obs(spark, sf)
+    return Pipeline(stages=stages).fit(o).transform(o), slots
+
+
+def feature_vectors(spark, sf):
+    from pyspark.ml.functions import vector_to_array
+    out, slots = _vectors(spark, sf)
+    v = vector_to_array("features")
+    return out.select("event_id", *[r6(v[i]).alias(f"v_{c}") for i, c in enumerate(slots)])
+
+
+def labelled_points(spark, sf):
+    """Label and a slice of the vector, rows with a label only."""
+    from pyspark.ml.functions import vector_to_array
+    out, slots = _vectors(spark, sf)
+    cut = vectors.slicer(slots, ["f_kind", "f_hour"]).transform(vectors.with_binary_label(out, OBS_SPEC))
+    v = vector_to_array("sliced")
+    return cut.select("event_id", "label", v[0].alias("v_f_hour"), v[1].alias("v_f_kind"))
+
+
+def category_arity(spark, sf):
+    out, slots = _vectors(spark, sf)
+    arity = vectors.category_arity(out)
+    return spark.createDataFrame([(slots[i], n) for i, n in arity.items()], "feature string, arity bigint")
+
+
+# -- files: written under the shared folder, read back ---------------------
+
+def _csv_folder(spark, sf, parts=None):
+    from fieldnotes.session import scratch_path
+    path = scratch_path(spark, "obs-csv")
+    raw = obs_raw(table(spark, sf, "events")).drop("event_id")
+    if parts:
+        raw = raw.repartitionByRange(parts, F.substring("sampling_id", 2, 20).cast("long"))
+    raw.write.option("header", True).option("quote", "").option("compression", "bzip2").csv(path)
+    return path
+
+
+CSV_SPEC = FeatureSpec(columns=OBS_SPEC.columns[1:], label="label_count", key="sampling_id",
+                       id_cols=("sampling_id",), discrete=("f_kind",))
+
+
+def csv_scan(spark, sf):
+    raw = read_observations(spark, _csv_folder(spark, sf), CSV_SPEC)
+    return parse(raw, CSV_SPEC).select("sampling_id", "f_day", "f_hour", "f_effort", "f_kind", "label_count")
+
+
+def excluded_columns(spark, sf):
+    spec = replace(CSV_SPEC, excluded=("f_day", "f_kind"))
+    return parse(read_observations(spark, _csv_folder(spark, sf), spec), spec).drop("sampling_id_num")
+
+
+def file_sample(spark, sf):
+    from fieldnotes.session import scratch_path
+    out = scratch_path(spark, "sampled-csv")
+    sample_file(spark, _csv_folder(spark, sf), out, key="sampling_id", rate=0.1, seed=17)
+    rows = read_observations(spark, out, CSV_SPEC, keep_empty=True)
+    return rows.select("sampling_id", "f_hour", "f_kind", "label_count")
+
+
+def predictions_in_order(spark, sf):
+    """Scored from several files; ids, predictions and their places."""
+    from fieldnotes.session import scratch_path
+    from fieldnotes.sources import sink
+    _, train, _ = _planted(spark, sf)
+    model = forest.train(train, OBS_SPEC, OBS_FEATURES, STUMP)
+    raw = read_observations(spark, _csv_folder(spark, sf, parts=5), CSV_SPEC, ordered=True)
+    out = scratch_path(spark, "predictions")
+    preds = forest.score(model, parse(raw, CSV_SPEC, keep=checks.FILE_ORDER), "sampling_id", keep=checks.FILE_ORDER)
+    sink.write_predictions(preds, out, "sampling_id")
+    return (checks.file_positions(sink.read_predictions(spark, out))
+            .select(F.col(sink.ID_HEADER).alias("sampling_id"),
+                    F.col(sink.PREDICTION_HEADER).alias("prediction"), "position"))
+
+
+QUERIES.update({
+    "forest_planted": forest_planted,
+    "forest_planted_accuracy": forest_planted_accuracy,
+    "searches_planted": searches_planted,
+    "model_files": model_files,
+    "feature_vectors": feature_vectors,
+    "labelled_points": labelled_points,
+    "category_arity": category_arity,
+    "csv_scan": csv_scan,
+    "excluded_columns": excluded_columns,
+    "file_sample": file_sample,
+    "predictions_in_order": predictions_in_order,
+})

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -62,10 +63,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/fieldnotes/{name}-{uuid.uuid4().hex}"
 
 
-def stage_parquet(df, name: str):
-    """Write a frame as parquet under the shared folder and read it back:
-    lineage cut, and later column-sliced reads decode only their columns
-    (a CSV source would be re-read whole by every slice)."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+@contextmanager
+def staged(df, name: str):
+    """A frame written as parquet under the shared folder and read back, for
+    the time of a ``with`` block: lineage cut, and later column-sliced reads
+    decode only their columns (a CSV source would be re-read whole by every
+    slice). The files are deleted at the end."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)

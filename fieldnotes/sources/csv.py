@@ -8,21 +8,24 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from fieldnotes.functions.hashing import uniform
+from fieldnotes.operators.checks import file_order
 from fieldnotes.spec import FeatureSpec
 
 
 
-def read_header(spark: SparkSession, path: str, sep: str = ",") -> list[str]:
-    """Column names from the first line (one small read of one split)."""
-    first = spark.read.text(path).limit(1).collect()
-    if not first:
-        raise ValueError(f"{path}: empty input")
-    return first[0][0].split(sep)
+def read_header(spark: SparkSession, path: str | list[str], sep: str = ",") -> list[str]:
+    """Column names from the first line of the first file by name."""
+    for name in sorted(spark.read.text(path).inputFiles()):
+        first = spark.read.text(name).limit(1).collect()
+        if first:
+            return first[0][0].split(sep)
+    raise ValueError(f"{path}: empty input")
 
 
 def read_observations(spark: SparkSession, path: str | list[str], spec: FeatureSpec,
                       partitions: int | None = None, sep: str = ",",
-                      quoting: bool = False, keep_empty: bool = False) -> DataFrame:
+                      quoting: bool = False, keep_empty: bool = False,
+                      ordered: bool = False) -> DataFrame:
     """Read a delimited file (plain or .bz2; one header per file) as text.
 
     The schema comes from the spec, so nothing is inferred and only the
@@ -30,12 +33,18 @@ def read_observations(spark: SparkSession, path: str | list[str], spec: FeatureS
     pruning). ``quoting=False`` splits on every separator, as a plain
     ``split`` would; short rows get NULL for their absent tail.
     ``partitions`` repartitions the scan (round robin) when the input is a
-    few unsplittable files.
+    few unsplittable files; rows then lose their order. ``ordered=True`` adds
+    the columns of ``checks.file_order`` instead. Every file must have the
+    first one's header: columns are read by place.
 
     ``keep_empty=True`` keeps an empty cell inside a row as empty text
     (the CSV reader makes it NULL, like an absent cell): lines are read as
-    text and split on the separator; trailing empty cells count as absent.
+    text and split on the separator; trailing empty cells count as absent. A
+    line equal to the first one is a header, so files may come without one
+    (as the parts of ``sample_file`` do).
     """
+    if not keep_empty:
+        check_headers(spark, path, sep)
     if keep_empty:
         df = _read_split_lines(spark, path, spec, sep)
     else:
@@ -47,13 +56,29 @@ def read_observations(spark: SparkSession, path: str | list[str], spec: FeatureS
         if not quoting:
             reader = reader.option("quote", "")
         df = reader.csv(path)
+    if ordered:
+        return file_order(df)
     if partitions:
         df = df.repartition(partitions)
     return df
 
 
+def check_headers(spark: SparkSession, path: str | list[str], sep: str = ",") -> None:
+    """Stop if files of one input name their columns differently (one line
+    is read of each file; their names are few next to their rows)."""
+    files = sorted(spark.read.text(path).inputFiles())
+    headers = {}
+    for name in files:
+        line = spark.read.text(name).limit(1).collect()
+        if line:
+            headers.setdefault(line[0][0], name)
+    if len(headers) > 1:
+        a, b = list(headers.values())[:2]
+        raise ValueError(f"files with different headers: {a} and {b}")
+
+
 def _read_split_lines(spark: SparkSession, path, spec: FeatureSpec, sep: str) -> DataFrame:
-    header = read_header(spark, path if isinstance(path, str) else path[0], sep)
+    header = read_header(spark, path, sep)
     head_text = sep.join(header)
     lines = spark.read.text(path).filter(F.col("value") != F.lit(head_text))
     trimmed = F.regexp_replace("value", f"({re.escape(sep)})+$", "")
@@ -65,27 +90,31 @@ def _read_split_lines(spark: SparkSession, path, spec: FeatureSpec, sep: str) ->
 def sample_file(spark: SparkSession, path: str, out: str, key: str | None = None,
                 rate: float = 0.01, seed: int = 17, sep: str = ",",
                 compression: str = "bzip2") -> dict[str, int]:
-    """Keep each record with probability ``rate``; write with a header.
+    """Keep each record, as it is, with probability ``rate``; write one header
+    line (in the first part file) and the records kept.
 
-    With ``key`` the draw is the repeatable hash of the key, otherwise
-    Spark's seeded per-partition sampler. Counts of processed and sampled
-    records come from one pass, by ``Observation`` metrics on the write.
+    Lines are copied as text, no cell is parsed but the key's. With ``key``
+    the draw is the repeatable hash of the key, otherwise Spark's seeded
+    per-partition sampler. Counts of processed and sampled records come from
+    one pass, by ``Observation`` metrics on the write.
     """
     # Observation metrics run in a child session (same context): once a
     # session has observed metrics, forests fitted in it capture a
     # non-serializable observation manager and cannot score.
     spark = spark.newSession()
     header = read_header(spark, path, sep)
-    df = (spark.read.option("header", True).option("sep", sep).option("quote", "")
-          .schema(", ".join(f"`{c}` string" for c in header)).csv(path))
+    head = sep.join(header)
+    df = spark.read.text(path).where(F.col("value") != F.lit(head))
     seen = Observation("processed")
     df = df.observe(seen, F.count(F.lit(1)).alias("processed"))
     if key:
-        kept = df.filter(uniform(key, salt=str(seed)) < F.lit(rate))
+        cell = F.try_element_at(F.split("value", re.escape(sep), -1), F.lit(header.index(key) + 1))
+        kept = df.filter(uniform(cell, salt=str(seed)) < F.lit(rate))
     else:
         kept = df.sample(withReplacement=False, fraction=rate, seed=seed)
     taken = Observation("sampled")
     kept = kept.observe(taken, F.count(F.lit(1)).alias("sampled"))
-    (kept.write.mode("overwrite").option("header", True).option("sep", sep)
-     .option("quote", "").option("compression", compression).csv(out))
+    first = spark.createDataFrame([(head,)], "value string").coalesce(1)
+    # one header over all part files, as the file that they make up in order
+    first.union(kept).write.mode("overwrite").option("compression", compression).text(out)
     return {"processed": int(seen.get["processed"]), "sampled": int(taken.get["sampled"])}

@@ -8,17 +8,22 @@ pipeline, so scoring never rebuilds it from the data being scored.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import StringIndexerModel
+from pyspark.ml.feature import SQLTransformer, StringIndexerModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from fieldnotes.operators.vectors import IDX, MISSING_FILL
+from fieldnotes.operators.vectors import IDX
 from fieldnotes.spec import FeatureSpec
 
 
+# the terms that vectors.fill_stage writes
+_FILL = re.compile(r"coalesce\(`((?:[^`]|``)+)`, CAST\(([^ ]+) AS DOUBLE\)\)")
+
+
 @dataclass
 class StoredModel:
     pipeline: PipelineModel
@@ -37,14 +42,22 @@ def dictionary_of(model: PipelineModel) -> list[tuple[str, str, int]]:
     return rows
 
 
+def replacement_of(model: PipelineModel) -> dict[str, float]:
+    """Feature -> fill value, from the fitted fill stage."""
+    for stage in model.stages:
+        if isinstance(stage, SQLTransformer):
+            return {name.replace("``", "`"): float(value) for name, value in _FILL.findall(stage.getStatement())}
+    return {}
+
+
 def save(spark: SparkSession, out: str, model: PipelineModel, spec: FeatureSpec,
          features: list[str], report: DataFrame | None = None):
     model.write().overwrite().save(f"{out}/pipeline")
     spark.createDataFrame([(f, i) for i, f in enumerate(features)],
                           "feature string, position int") \
         .write.mode("overwrite").parquet(f"{out}/features")
-    rep = [(f, float(spec.replace.get(f, MISSING_FILL))) for f in features
-           if spec.is_continuous(f)]
+    used = replacement_of(model)
+    rep = [(f, used[f]) for f in features if f in used]
     spark.createDataFrame(rep, "feature string, value double") \
         .write.mode("overwrite").parquet(f"{out}/replace")
     spark.createDataFrame(dictionary_of(model), "feature string, category string, code int") \

@@ -14,6 +14,7 @@ The spec is plain data, so it can be saved next to a model as JSON.
 
 from __future__ import annotations
 
+import itertools
 import json
 import re
 from dataclasses import asdict, dataclass, field, replace
@@ -124,29 +125,30 @@ class FeatureSpec:
         return cls(columns=tuple(clean_names(header)), **roles)
 
 
-_TRAILING_NUMBER = re.compile(r"^(.*?)(\d+)$")
+_STEM = re.compile(r"^(.*?)(\d*)$", re.DOTALL)
 
 
 def clean_names(names) -> list[str]:
-    """Upper-case, spaces to ``_``; a repeated name gets 1, 2, ... .
+    """Upper case, ``_`` for spaces, and no name twice.
 
-    A repeated name ending in a number has that number raised by one
-    (``X``, ``X1``, ``X2``); the rule is anchored at the end, so inner
-    digits of a name (``NLCD2006_FS``) are kept.
+    A name that is taken becomes its stem (the name without the digits at its
+    end) with the next number above its own that is free; without digits, the
+    count starts at 1. So ``X, X, X`` gives ``X, X1, X2``, and inner digits
+    stay (``NLCD2006_FS``). ``last`` keeps where the count of a stem and number
+    got to, so a name repeated k times costs k steps.
     """
-    seen: set[str] = set()
-    out = []
+    taken: dict[str, None] = {}
+    last: dict[tuple[str, int], int] = {}
     for raw in names:
         name = str(raw).upper().replace(" ", "_")
-        while name in seen:
-            m = _TRAILING_NUMBER.match(name)
-            if m:
-                name = m.group(1) + str(int(m.group(2)) + 1)
-            else:
-                name = name + "1"
-        seen.add(name)
-        out.append(name)
-    return out
+        if name in taken:
+            stem, digits = _STEM.match(name).groups()
+            start = (stem, int(digits or 0))
+            free = next(n for n in itertools.count(last.get(start, start[1]) + 1) if f"{stem}{n}" not in taken)
+            last[start] = free
+            name = f"{stem}{free}"
+        taken[name] = None
+    return list(taken)
 
 
 # --------------------------------------------------------------------------
@@ -188,6 +190,9 @@ def checklist_spec(header: list[str], features=CHECKLIST_DEFAULT_FEATURES,
     """
     names = clean_names(header)
     present = set(names)
+    absent = [c for c in features if c not in present]
+    if absent:
+        raise ValueError(f"features that the file doesn't have: {absent}")
     return FeatureSpec(
         columns=tuple(names),
         label=CHECKLIST_LABEL,
@@ -195,15 +200,16 @@ def checklist_spec(header: list[str], features=CHECKLIST_DEFAULT_FEATURES,
         id_cols=tuple(c for c in CHECKLIST_ID_COLS if c in present),
         discrete=tuple(c for c in CHECKLIST_DISCRETE if c in present),
         excluded=tuple(c for c in excluded if c in present),
-        features=tuple(c for c in features if c in present),
+        features=tuple(features),
     )
 
 
 def spec_for_header(spec: FeatureSpec, header: list[str]) -> FeatureSpec:
     """The same roles on a file with this header.
 
-    Roles naming absent columns are dropped; an absent label is appended
-    as a last column (an unlabeled file: it then reads as absent).
+    Chosen features, the key, and id or discrete columns must be there;
+    excluded and carried ones may be absent. An absent label is appended as a
+    last column (an unlabeled file: it then reads as absent).
     """
     roles = {spec.label, spec.key, *spec.id_cols, *spec.discrete, *spec.carry} - {None}
     raw = [str(h) for h in header]
@@ -213,6 +219,10 @@ def spec_for_header(spec: FeatureSpec, header: list[str]) -> FeatureSpec:
     if spec.label not in names:
         names.append(spec.label)
     present = set(names)
+    needed = {*spec.features, *spec.id_cols, *spec.discrete, spec.key} - {None} - set(spec.excluded)
+    absent = sorted(needed - present)
+    if absent:
+        raise ValueError(f"columns that the file doesn't have: {absent}")
     keep = lambda cols: tuple(c for c in cols if c in present)
     return replace(spec, columns=tuple(names), carry=keep(spec.carry),
                    id_cols=keep(spec.id_cols), discrete=keep(spec.discrete),

@@ -73,5 +73,5 @@ def test_uniform_is_md5_prefix(spark, keys):
     df = spark.createDataFrame([(k,) for k in keys], "k long")
     got = {r["k"]: r["u"] for r in df.select("k", uniform("k", "s").alias("u")).collect()}
     for k in keys:
-        h = hashlib.md5(f"{k}#s".encode()).hexdigest()[:8]
-        assert got[k] == int(h, 16) / 4294967296.0
+        h = hashlib.md5(f"{k}#s".encode()).hexdigest()[:13]
+        assert got[k] == int(h, 16) / float(1 << 52)

@@ -13,7 +13,9 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 SLOW_NO_ORACLE = {"greedy_selection", "prefix_selection", "tune_depth", "forest_accuracy",
-                  "model_roundtrip", "forest_predict"}
+                  "forest_predict"}
+# text operators that SQL can't express; their tests lie with them
+TEXT = {n for n in entry.queries() if n.startswith("op") or n == "pipeline"}
 
 
 @pytest.fixture(scope="module")
@@ -44,7 +46,7 @@ def test_entry_runs(spark):
 def test_every_query_has_an_oracle_or_is_model_work():
     q, o = entry.queries(), entry.oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) <= SLOW_NO_ORACLE | {"greedy_selection"}
+    assert set(q) - set(o) <= SLOW_NO_ORACLE | TEXT
 
 
 @pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
