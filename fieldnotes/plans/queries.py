@@ -544,6 +544,14 @@ def _vectors(spark, sf):
     return Pipeline(stages=stages).fit(o).transform(o), slots
 
 
+def forest_reference(spark, sf):
+    """The default configuration (50 trees, depth 10, 100 bins) on the
+    natural labels."""
+    _, train, holdout = _obs_train_test(spark, sf)
+    acc = forest.run_trial(train, holdout, OBS_SPEC, OBS_FEATURES)
+    return spark.createDataFrame([("natural", acc)], "holdout string, accuracy double")
+
+
 def feature_vectors(spark, sf):
     from pyspark.ml.functions import vector_to_array
     out, slots = _vectors(spark, sf)
@@ -619,6 +627,7 @@ QUERIES.update({
     "forest_planted": forest_planted,
     "forest_planted_accuracy": forest_planted_accuracy,
     "searches_planted": searches_planted,
+    "forest_reference": forest_reference,
     "model_files": model_files,
     "feature_vectors": feature_vectors,
     "labelled_points": labelled_points,

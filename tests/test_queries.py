@@ -13,7 +13,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 SLOW_NO_ORACLE = {"greedy_selection", "prefix_selection", "tune_depth", "forest_accuracy",
-                  "forest_predict"}
+                  "forest_predict", "forest_reference"}
 # text operators that SQL can't express; their tests lie with them
 TEXT = {n for n in entry.queries() if n.startswith("op") or n == "pipeline"}
 
