@@ -110,8 +110,8 @@ def prefix_selection(data: SearchData, ranking, params: ForestParams = ForestPar
     accs = _pmap(lambda k: fit_eval(data, ranking[:k], params), ks, parallelism)
     best_acc, best_k, trials = COIN_TOSS, 0, []
     for k, acc in zip(ks, accs):
-        trials.append(("prefix", k, f"numFeatures={k}", acc))
-        log.info("numFeatures=%d,accr=%s", k, acc)
+        trials.append(("prefix", k, f"features={k}", acc))
+        log.info("prefix of %d: accuracy %s", k, acc)
         if acc is not None and acc > best_acc:
             best_acc, best_k = acc, k
     return ranking[:best_k], best_acc, trials
@@ -131,14 +131,14 @@ def greedy_selection(data: SearchData, candidates, params: ForestParams = Forest
         pick = None
         for c, acc in zip(remaining, accs):
             n += 1
-            trials.append(("greedy", n, f"candidate={c}", acc))
+            trials.append(("greedy", n, f"with {c}", acc))
             if acc is not None and acc - best_acc > epsilon:
                 best_acc, pick = acc, c
         if pick is None:
             break
         remaining.remove(pick)
         chosen.append(pick)
-        log.info("feature=%s,accr=%s", pick, best_acc)
+        log.info("chose %s: accuracy %s", pick, best_acc)
     order = {c: i for i, c in enumerate(data.features)}
     return sorted(chosen, key=order.get), best_acc, trials
 
@@ -166,8 +166,8 @@ def report_params(spec: FeatureSpec, features, params: ForestParams) -> str:
     feats = list(features)
     n_cont = sum(1 for c in feats if spec.is_continuous(c))
     n_disc = sum(1 for c in feats if spec.is_discrete(c))
-    return (f"numContinuousFeatures={n_cont} numCategoricalFeatures={n_disc} "
-            f"numTrees={params.num_trees} maxDepth={params.max_depth}")
+    return (f"continuous={n_cont} categorical={n_disc} "
+            f"trees={params.num_trees} depth={params.max_depth}")
 
 
 def trials_frame(spark: SparkSession, rows) -> DataFrame:

@@ -204,7 +204,7 @@ _OBS_CONT_CELLS = _union(
     f"SELECT '{c}' AS feature, {c} AS value, label_count FROM obs WHERE {c} IS NOT NULL"
     for c in ("f_day", "f_hour", "f_effort"))
 
-_TUNING = r"^(?:maxDepth=(\d+),accr=(\d+\.\d+))"
+_TUNING = r"^(?:depth (\d+): accuracy (\d+\.\d+))"
 
 ORACLES.update({
     "fill_missing": OBS_CTE + """
@@ -264,8 +264,8 @@ UNION ALL SELECT 'n_missing', count(*) FROM (SELECT in_id FROM a EXCEPT ALL SELE
 UNION ALL SELECT 'n_extra', count(*) FROM (SELECT out_id FROM b EXCEPT ALL SELECT in_id FROM a) e""",
 
     "tuning_curve": f"""
-WITH l AS (SELECT (CASE WHEN event_type = 'error' THEN 'candidate=' ELSE 'maxDepth=' END)
-    || CAST(user_id % 12 + 1 AS VARCHAR) || ',accr=0.'
+WITH l AS (SELECT (CASE WHEN event_type = 'error' THEN 'feature ' ELSE 'depth ' END)
+    || CAST(user_id % 12 + 1 AS VARCHAR) || ': accuracy 0.'
     || lpad(CAST(event_id % 10000 AS VARCHAR), 4, '0') AS line FROM events)
 SELECT round(CAST(regexp_extract(line, '{_TUNING}', 1) AS DOUBLE), 6) AS x,
        round(CAST(regexp_extract(line, '{_TUNING}', 2) AS DOUBLE), 6) AS y
@@ -373,3 +373,8 @@ ORACLES["file_sample"] = OBS_CTE + f"""
 SELECT sampling_id, f_hour, f_kind, label_raw AS label_count FROM obs_raw WHERE {_u('sampling_id', '17')} < 0.1"""
 ORACLES["predictions_in_order"] = OBS_CTE + """
 SELECT sampling_id, (f_hour >= 12)::INT AS prediction, row_number() OVER (ORDER BY event_id) - 1 AS position FROM obs"""
+ORACLES["trial_table"] = """
+SELECT * FROM (VALUES ('prefix', 1, 'features=1', 1.0e0), ('final', 2, 'continuous=3 categorical=1 trees=1 depth=1', 1.0e0))
+t(search, trial, params, accuracy)"""
+ORACLES["partition_by_feature"] = OBS_CTE + _union(
+    f"SELECT '{c}' AS feature, count({c}) AS n, 1 AS n_partitions FROM obs" for c in _OBS_NUMERIC)

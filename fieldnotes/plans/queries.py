@@ -262,14 +262,14 @@ def id_order_check(spark, sf):
                                  input_order=["event_id"], output_order=["event_id"])
 
 
-TUNING_PATTERN = r"maxDepth=(\d+),accr=(\d+\.\d+)"
+TUNING_PATTERN = r"depth (\d+): accuracy (\d+\.\d+)"
 
 
 def tuning_curve(spark, sf):
     ev = table(spark, sf, "events")
-    head = F.when(F.col("event_type") == "error", "candidate=").otherwise("maxDepth=")
+    head = F.when(F.col("event_type") == "error", "feature ").otherwise("depth ")
     lines = ev.select(F.concat(
-        head, (F.col("user_id") % 12 + 1).cast("string"), F.lit(",accr=0."),
+        head, (F.col("user_id") % 12 + 1).cast("string"), F.lit(": accuracy 0."),
         F.lpad((F.col("event_id") % 10000).cast("string"), 4, "0")).alias("value"))
     curve = checks.extract_curve(lines, TUNING_PATTERN)
     return curve.select(r6("x").alias("x"), r6("y").alias("y"))
@@ -552,6 +552,24 @@ def forest_reference(spark, sf):
     return spark.createDataFrame([("natural", acc)], "holdout string, accuracy double")
 
 
+def trial_table(spark, sf):
+    """Trials of the hour alone and of the whole configuration, as a report."""
+    _, train, holdout = _planted(spark, sf)
+    data = search.prepare(train, holdout, OBS_SPEC, OBS_FEATURES)
+    _, _, trials = search.prefix_selection(data, ["f_hour"], STUMP)
+    text = search.report_params(OBS_SPEC, OBS_FEATURES, STUMP)
+    trials.append(("final", 2, text, search.fit_eval(data, OBS_FEATURES, STUMP)))
+    data.release()
+    return search.trials_frame(spark, trials)
+
+
+def partition_by_feature(spark, sf):
+    """Cells dealt out by feature: how many partitions hold each feature."""
+    cells = P.partition_by_feature(P.numeric_cells(obs(spark, sf), OBS_SPEC), 8)
+    return (cells.withColumn("part", F.spark_partition_id()).groupBy("feature")
+            .agg(F.count(F.lit(1)).alias("n"), F.count_distinct("part").alias("n_partitions")))
+
+
 def feature_vectors(spark, sf):
     from pyspark.ml.functions import vector_to_array
     out, slots = _vectors(spark, sf)
@@ -628,6 +646,8 @@ QUERIES.update({
     "forest_planted_accuracy": forest_planted_accuracy,
     "searches_planted": searches_planted,
     "forest_reference": forest_reference,
+    "trial_table": trial_table,
+    "partition_by_feature": partition_by_feature,
     "model_files": model_files,
     "feature_vectors": feature_vectors,
     "labelled_points": labelled_points,

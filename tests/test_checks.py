@@ -28,10 +28,10 @@ def test_id_order_check(spark):
 
 def test_extract_curve(spark):
     lines = spark.createDataFrame(
-        [("maxDepth=3,accr=0.61",), ("x maxDepth=4,accr=0.7",), ("candidate=5,accr=0.5",),
-         ("maxDepth=7,accr=0.9 tail",)], "value string")
+        [("depth 3: accuracy 0.61",), ("x depth 4: accuracy 0.7",), ("feature 5: accuracy 0.5",),
+         ("depth 7: accuracy 0.9 tail",)], "value string")
     got = sorted(tuple(r) for r in
-                 checks.extract_curve(lines, r"maxDepth=(\d+),accr=(\d+\.\d+)").collect())
+                 checks.extract_curve(lines, r"depth (\d+): accuracy (\d+\.\d+)").collect())
     assert got == [(3.0, 0.61), (7.0, 0.9)]
 
 
