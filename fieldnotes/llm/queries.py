@@ -128,4 +128,52 @@ r AS (
 SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 20
 """
 
-ORACLES = {"op6_topk": OP6_SQL, "op7_mix": OP7_SQL}
+# every 400-byte string by its hash; starts that recur; the runs they cover
+OP5_SQL = """
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS data FROM documents),
+n AS (SELECT r, doc_id, data, hex(data) AS hx, octet_length(data)::BIGINT AS n_bytes FROM d),
+w AS (
+  SELECT r, i, md5(array_slice(data, i + 1, i + 400)) AS m
+  FROM (SELECT r, data, unnest(range(0, n_bytes - 399)) AS i FROM n)),
+t AS (SELECT m FROM w GROUP BY m HAVING count(*) > 1),
+s AS (
+  SELECT r, i, CASE WHEN i - lag(i) OVER (PARTITION BY r ORDER BY i) <= 400 THEN 0 ELSE 1 END AS new
+  FROM w SEMI JOIN t USING (m)),
+g AS (SELECT r, i, sum(new) OVER (PARTITION BY r ORDER BY i) AS run FROM s),
+u AS (SELECT r, run, min(i) AS lo, max(i) + 400 AS hi FROM g GROUP BY r, run),
+k AS (
+  SELECT r, lo, hi, coalesce(lag(hi) OVER (PARTITION BY r ORDER BY lo), 0) AS free FROM u),
+c AS (
+  SELECT k.r, count(*) AS n_spans, sum(hi - lo) AS n_removed, max(hi) AS last,
+         string_agg(substr(hx, 2 * free + 1, 2 * (lo - free)), '' ORDER BY lo) AS head
+  FROM k JOIN n ON k.r = n.r GROUP BY k.r)
+SELECT doc_id, n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(head, '') || substr(hx, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM n LEFT JOIN c ON n.r = c.r
+"""
+
+# shingle sets, all pairs that share a shingle, and what each text can reach
+OP10_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+x AS (
+  SELECT DISTINCT doc_id, unnest(CASE
+    WHEN len(w) >= 3 THEN [w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)]
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+  FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM x GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+      FROM x a JOIN x b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+      WHERE 100 * common >= 85 * (na.n + nb.n - common)),
+r AS (SELECT doc_id, doc_id AS seen FROM d UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.seen),
+c AS (SELECT doc_id, min(seen) AS component_id FROM r GROUP BY doc_id)
+SELECT c.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, c.doc_id = component_id AS kept
+FROM c LEFT JOIN n ON n.doc_id = c.doc_id
+"""
+
+ORACLES = {"op5_repeats": OP5_SQL, "op6_topk": OP6_SQL, "op7_mix": OP7_SQL, "op10_near_duplicates": OP10_SQL}

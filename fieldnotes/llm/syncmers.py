@@ -35,6 +35,7 @@ K, S = 24, 8
 SKETCH = 64
 DRIFT = 32
 RANGE_ROWS = 1_000
+MOST_RANGES = 16_384  # larger tables get longer ranges, which Spark sorts with spilling
 BATCH = 512
 OUT = ("doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, "
        "edited_fingerprint string, near_edited double, near_next double")
@@ -138,10 +139,10 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 
 def ranges(docs: DataFrame, rows: int = RANGE_ROWS) -> tuple[np.ndarray, int]:
-    """Key quantiles that cut the rows into ranges of about ``rows``, and the
-    number of rows. Only keys are read."""
+    """Key quantiles that cut the rows into ranges of about ``rows``, at most
+    ``MOST_RANGES``, and the number of rows. Only keys are read."""
     got = docs.agg(F.count(F.lit(1)).alias("n"), F.count("doc_id").alias("keys")).first()
-    parts = max(1, -(-got["n"] // rows))
+    parts = min(MOST_RANGES, max(1, -(-got["n"] // rows)))
     if parts == 1 or not got["keys"]:
         return np.zeros(0, np.int64), got["n"]
     at = [i / parts for i in range(1, parts)]
