@@ -42,6 +42,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unstage(*frames: DataFrame) -> None:
+    """Delete the files of staged frames that nothing reads any more."""
+    for df in frames:
+        spark = df.sparkSession
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            at = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(folder))
+            at.getFileSystem(conf).delete(at, True)
+
+
 def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldnotes.llm.common import stage
+from fieldnotes.llm.common import stage, unstage
 
 ROUNDS = 60
 
@@ -35,11 +35,12 @@ def components(links: DataFrame) -> DataFrame:
         both = now.union(now.select("b", "a"))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
         large = (both.where("b > a").join(low, "a")
-                 .select(F.col("b").alias("a"), F.col("low").alias("b")).where("a != b").distinct())
+                 .select(F.col("b").alias("a"), F.col("low").alias("b")).where("a != b"))
         # small star: neighbours below a node, and itself, go to the smallest of them
         low = large.groupBy("a").agg(F.min("b").alias("low"))
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).union(low)
-        now = stage(small.where("a != b").distinct(), "links")
+        before, now = now, stage(small.where("a != b").distinct(), "links")
+        unstage(before)
         was, mark = mark, _mark(now)
         if mark == was:
             break

@@ -8,15 +8,14 @@
    2 * CHUNKS symbols have a chunk with at most one error, so they share a key
    when every chunk is entered once for each symbol left out. A pair at the
    asked similarity fails this with a probability of about 1e-6 or less.
-3. Within a key no pairs are spelled out at first: a member drawn by hash is
-   the centre, each node is confirmed against its nearest centre on the full
-   sets, and the links confirmed so far give components. Then only keys that
-   still hold two components are searched for links between them, in blocks
-   of ``BLOCK`` members: pairs whose long signatures (``LONG`` symbols of 8
-   bits) are near enough and whose sizes allow it go on to the full sets.
+3. Nodes that share keys, directly or through others, make a cluster. It is
+   compared in blocks of ``BLOCK`` nodes or ``BLOCK_SHINGLES`` shingles: pairs whose sizes allow it and whose
+   long signatures (``LONG`` symbols of 8 bits) are near enough are confirmed on
+   the full sets, unless links found in that block have joined them already.
+   Only links that join components leave a task, never the pairs.
 4. Components of all confirmed links; each is named by its smallest doc_id.
 
-Every link is either confirmed, or inside one component already.
+Every link is either confirmed, or inside a component already.
 
 Defined results: NULL, empty and white texts have the empty set, which links
 with nothing: such a document is its own component, and kept. Rows with
@@ -32,14 +31,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldnotes.llm.common import pa_schema, small_batches, stage, text_of
+from fieldnotes.llm.common import pa_schema, small_batches, stage, text_of, unstage
 from fieldnotes.llm.components import components
 
 SYMBOLS, CHUNKS, LONG = 32, 8, 256
 WIDTH = SYMBOLS // CHUNKS
-BLOCK = 512
+BLOCK, BLOCK_SHINGLES = 2048, 2_000_000  # nodes, and shingles on average, of a block
 BATCH = 512
-ROWS = 512
 FEATURES = "doc_id bigint, n_shingles bigint, node bigint, sig binary, keys array<bigint>"
 _BASE = 0x9E3779B97F4A7C15
 _LOW = np.arange(256, dtype=np.uint8)
@@ -147,45 +145,23 @@ def features(docs: DataFrame, size: int) -> DataFrame:
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """(node, words) with the full set of each wanted node (node, rep)."""
-    ddl = "node bigint, full binary"
+    """(node, n, sig, full) with the full set of each wanted node."""
+    ddl = "node bigint, n bigint, sig binary, full binary"
     schema = pa_schema(ddl)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, sets = [], []
-            for node, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                s = shingles(text, size)
-                if set_hash(s) == node:  # not another row of that doc_id
-                    nodes.append(node)
-                    sets.append(s.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())], schema=schema)
-
-    own = docs.select(F.col("doc_id").cast("long").alias("rep"), text_of().alias("text"))
-    return (own.join(wanted, "rep").select("node", "text").mapInArrow(run, ddl)
-            .groupBy("node").agg(F.first("full").alias("full")))
-
-
-def _confirmed(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Those of ``pairs`` (a, b) that link on their full sets."""
-    ddl = "a bigint, b bigint"
-    schema = pa_schema(ddl)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b, fa, fb = (c.to_pylist() for c in batch.columns)
-            ok = []
-            for x, y in zip(fa, fb):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                ok.append(den * both >= num * (len(x) + len(y) - both))
-            keep = np.flatnonzero(ok)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keep)),
-                                              batch.column(1).take(pa.array(keep))], schema=schema)
+            sets = [shingles(t, size) for t in batch.column("text").to_pylist()]
+            # another row of that doc_id may hold another text
+            own = pa.array([i for i, (s, node) in enumerate(zip(sets, batch.column("node").to_pylist()))
+                            if set_hash(s) == node], pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c).take(own) for c in ("node", "n", "sig")),
+                 pa.array([sets[i].tobytes() for i in own.to_pylist()], pa.binary())], schema=schema)
 
-    return (pairs.join(sets.select(F.col("node").alias("a"), F.col("full").alias("fa")), "a")
-            .join(sets.select(F.col("node").alias("b"), F.col("full").alias("fb")), "b")
-            .select("a", "b", "fa", "fb").mapInArrow(run, ddl))
+    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), text_of().alias("text"))
+    return (texts.join(wanted.withColumnRenamed("rep", "of"), F.col("rep").eqNullSafe(F.col("of")))
+            .select("node", "n", "sig", "text").mapInArrow(run, ddl).dropDuplicates(["node"]))
 
 
 def most_errors(similarity: float) -> int:
@@ -195,37 +171,54 @@ def most_errors(similarity: float) -> int:
     return int(np.ceil(LONG * p + 5.2 * np.sqrt(LONG * p * (1 - p))))
 
 
-def _between(rows: DataFrame, errors: int, num: int, den: int) -> DataFrame:
-    """Pairs of different components within a group (key, i, j) that sizes
-    and long signatures allow. ``part`` is the block that a row is of."""
+def _links_between(rows: DataFrame, errors: int, num: int, den: int) -> DataFrame:
+    """Links (a, b) within a group (cluster, i, j): pairs of blocks i and j that
+    are not in one component yet are compared by size and long signature, and
+    those left on their full sets. At most one link per row of a group goes out.
+    ``part`` is the block of a row."""
     ddl = "a bigint, b bigint"
     schema = pa_schema(ddl)
+    names = ("node", "n", "part", "i", "j", "sig", "full")
 
-    def search(cols: dict) -> list[np.ndarray]:
-        node, comp, n, part = (np.array(cols[c]) for c in ("node", "comp", "n", "part"))
+    def search(cols: dict) -> list[tuple[int, int]]:
+        node, n, part = (np.array(cols[c]) for c in ("node", "n", "part"))
+        label = np.arange(len(node))
         i, j = cols["i"][0], cols["j"][0]
         sig = np.frombuffer(b"".join(cols["sig"]), np.uint8).reshape(-1, LONG)
+        sets = [np.frombuffer(f, np.uint64) for f in cols["full"]]
         left, right = np.flatnonzero(part == i), np.flatnonzero(part == j)
         out = []
         for x in left:
-            others = right[(comp[right] != comp[x]) & (den * np.minimum(n[right], n[x]) >= num * np.maximum(n[right], n[x]))]
+            others = right[(label[right] != label[x])
+                           & (den * np.minimum(n[right], n[x]) >= num * np.maximum(n[right], n[x]))]
             if i == j:
                 others = others[node[others] > node[x]]
             if len(others):
-                near = others[(sig[others] != sig[x]).sum(1) <= errors]
-                if len(near):
-                    out.append(np.stack([np.full(len(near), node[x]), node[near]], 1))
+                others = others[(sig[others] != sig[x]).sum(1) <= errors]
+            if not len(others):
+                continue
+            words = np.concatenate([sets[y] for y in others])
+            at = np.minimum(np.searchsorted(sets[x], words), len(sets[x]) - 1)
+            starts = np.cumsum([0, *[len(sets[y]) for y in others[:-1]]])
+            both = np.add.reduceat((sets[x][at] == words).astype(np.int64), starts)
+            for y in others[den * both >= num * (n[x] + n[others] - both)]:
+                if label[y] != label[x]:
+                    out.append((int(node[x]), int(node[y])))
+                    label[label == label[y]] = label[x]
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ("node", "comp", "n", "part", "i", "j", "sig")
         held: dict[str, list] = {c: [] for c in names}
         at, found = None, []
+
+        def batch_of(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], schema=schema)
+
         for batch in batches:
             if not batch.num_rows:
                 continue
             cols = batch.to_pydict()
-            groups = list(zip(cols["key"], cols["i"], cols["j"]))
+            groups = list(zip(cols["cluster"], cols["i"], cols["j"]))
             first = 0
             while first < len(groups):
                 to = first + 1
@@ -239,23 +232,14 @@ def _between(rows: DataFrame, errors: int, num: int, den: int) -> DataFrame:
                     held[c] += cols[c][first:to]
                 first = to
             if found:
-                yield _pairs(found, schema)
+                yield batch_of(found)
                 found = []
         if len(held["node"]) > 1:
-            found = search(held)
-            if found:
-                yield _pairs(found, schema)
+            yield batch_of(search(held))
 
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (rows.repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j", "node")
-            .select("key", "node", "comp", "n", "part", "i", "j", "sig").mapInArrow(run, ddl))
-
-
-def _pairs(found: list[np.ndarray], schema: pa.Schema) -> pa.RecordBatch:
-    both = np.concatenate(found)
-    both.sort(1)
-    both = np.unique(both, axis=0)
-    return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], schema=schema)
+    return (rows.repartition(n, "cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "node")
+            .select("cluster", *names).mapInArrow(run, ddl))
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -269,51 +253,33 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
         F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"),
         F.first("sig").alias("sig"), F.first("keys").alias("keys")), "nodes")
 
-    keys = nodes.select("node", F.explode("keys").alias("key")).distinct()
-    draw = F.xxhash64("node", "key")
-    shared = (keys.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min(F.struct(draw, "node")).alias("low"))
-              .where("members > 1").select("key", "members", F.col("low.node").alias("centre")))
-    shared = stage(keys.join(shared, "key"), "shared-keys")
-    sets = stage(_full_sets(docs, nodes.select("node", "rep").join(shared.select("node").distinct(), "node"), size),
-                 "full-sets")
-
-    @F.pandas_udf("int")
-    def differ(x, y):
-        import pandas as pd
-        x = np.frombuffer(b"".join(x), np.uint8).reshape(-1, LONG)
-        y = np.frombuffer(b"".join(y), np.uint8).reshape(-1, LONG)
-        return pd.Series((x != y).sum(1).astype(np.int32))
-
-    small_batches(spark, ROWS)
-    left = nodes.select(F.col("node").alias("centre"), F.col("n").alias("cn"), F.col("sig").alias("csig"))
-    right = nodes.select("node", "n", "sig")
-    star = (shared.where("centre != node").select("centre", "node").distinct()
-            .join(left, "centre").join(right, "node")
-            .where(F.least("n", "cn") * den >= F.greatest("n", "cn") * num)
-            .select("centre", "node", differ("csig", "sig").alias("errors")).where(F.col("errors") <= errors)
-            .groupBy("node").agg(F.min(F.struct("errors", "centre")).alias("best"))
-            .select(F.least("node", "best.centre").alias("a"), F.greatest("node", "best.centre").alias("b")).distinct())
-    links = stage(_confirmed(star, sets, num, den), "star-links")
-
-    parts = stage(components(links), "star-components")
-    own = (shared.join(parts, "node", "left")
-           .select("key", "node", "members", F.coalesce("component", "node").alias("comp")))
-    open_keys = (own.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-                 .where("lo != hi").select("key"))
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    part = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    grouped = (own.join(open_keys, "key").withColumn("part", part)
+    keys = nodes.select("node", F.explode(F.array_distinct("keys")).alias("key"))
+    shared = (keys.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min("node").alias("centre"))
+              .where("members > 1").select("key", "centre"))
+    shared = stage(keys.join(shared, "key").select("node", "centre").distinct(), "shared-keys")
+    wanted = nodes.join(shared.select("node").distinct(), "node", "left_semi")
+    sets = stage(_full_sets(docs, wanted, size), "full-sets")
+
+    # all nodes that share keys, directly or through others
+    clusters = components(shared.select(F.col("centre").alias("a"), F.col("node").alias("b")))
+    members = stage(clusters.select("node", F.col("component").alias("cluster")), "clusters")
+    blocks = F.col("blocks")
+    sizes = members.join(nodes.select("node", "n"), "node").groupBy("cluster").agg(
+        F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    grouped = (members.join(sizes, "cluster")
+               .withColumn("part", F.pmod(F.xxhash64("node"), blocks).cast("int"))
                .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-               .join(right, "node")
-               .select("key", "node", "comp", "n", "sig", "part", F.least("part", "other").alias("i"),
+               .join(sets, "node")
+               .select("cluster", "node", "n", "sig", "full", "part", F.least("part", "other").alias("i"),
                        F.greatest("part", "other").alias("j")))
-    more = stage(_confirmed(_between(grouped, errors, num, den).distinct(), sets, num, den), "more-links")
+    links = stage(_links_between(grouped, errors, num, den), "links")
 
-    whole = components(links.union(more))
+    whole = components(links)
     named = (nodes.select("node", "rep").join(whole, "node", "left")
              .withColumn("component", F.coalesce("component", "node")))
     names = named.groupBy("component").agg(F.min("rep").alias("component_id"))
     named = stage(named.join(names, "component").select("node", "component_id"), "components")
+    unstage(nodes, shared, sets, members, links)
     got = rows.select("doc_id", "n_shingles", "node").join(named, "node", "left")
     mine = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return got.select("doc_id", "n_shingles", mine.alias("component_id")).withColumn(
