@@ -12,11 +12,13 @@ from __future__ import annotations
 
 import os
 import re
+import sys
 import unicodedata
+from array import array
 
 CACHE = 300_000
-_WHITE = str.maketrans(dict.fromkeys("\t\n\x0b\x0c\r", " "))
-_ODD = re.compile(r" (?:\s|\Z)")
+_WHITE = "\t\n\x0b\x0c\r"
+_ODD = re.compile(r"\s\s")
 _CUT = re.compile(r"(?= \S)")
 #: below this, Python's and the library's lower case and letters agree but for one letter
 _PLAIN_BELOW, _DOTTED_I = "ɐ", "İ"
@@ -43,6 +45,7 @@ class ChunkEncoder:
         self.lowers = self.drops_space and self.ids("A") == self.ids("a")
         self._bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self._letters: dict[str, str] = {}
+        self._space = "".join(p for p, _ in self._bytes.pre_tokenize_str(" "))
         self._cache: dict[str, bytes] = {"": b""}
         self._most = cache
         self._model = self.tokenizer.model
@@ -60,65 +63,80 @@ class ChunkEncoder:
 
     def _merge(self, chunk: str) -> list[int]:
         """Ids of one letters-only word, with or without a leading space."""
+        plain = chunk.isascii()
         if self.lowers:
-            chunk = unicodedata.normalize("NFC", chunk).lower()
+            chunk = chunk.lower() if plain else unicodedata.normalize("NFC", chunk).lower()
         letters = self._letters
-        for c in set(chunk):
-            if c not in letters:
+        if plain:  # ASCII letters stand for themselves; only the space has another sign
+            chunk = chunk.replace(" ", self._space)
+        else:
+            for c in set(chunk).difference(letters):
                 letters[c] = "".join(p for p, _ in self._bytes.pre_tokenize_str(c))
-        return [t.id for t in self._model.tokenize("".join([letters[c] for c in chunk]))]
+            chunk = "".join([letters[c] for c in chunk])
+        return [t.id for t in self._model.tokenize(chunk)]
 
     def chunks(self, text: str) -> list[str]:
         if self.drops_space:
-            return text.translate(_WHITE).split(" ") if _has_white(text) else text.split(" ")
+            for c in _WHITE:
+                if c in text:
+                    text = text.replace(c, " ")
+            return text.split(" ")
         if _ODD.search(text):
             return _CUT.split(text)
-        head, *rest = text.split(" ")
-        return [head, *[" " + x for x in rest]]
-
-    def _learn(self, missing: set[str]) -> None:
+        out: list[str] = []
+        for line in text.split("\n"):  # a lone line break is a piece of its own
+            words = (" " + line.replace(" ", "\n ")).split("\n")
+            words[0] = line[:len(words[0]) - 1]
+            out += words
+            out.append("\n")
+        out.pop()
+        return out
+
+    def _learn(self, missing: set[str]) -> bool:
+        """Put the ids of new chunks into the cache; whether it was emptied."""
         cache, hard = self._cache, []
-        if len(cache) + len(missing) > self._most:
+        full = len(cache) + len(missing) > max(self._most, len(missing) + 1)
+        if full:
             cache.clear()
             cache[""] = b""
+        word_only, spaced = self.word, not self.drops_space
         for chunk in missing:
-            body, end = (chunk[:-1], chunk[-1]) if chunk[-1] in ".," else (chunk, "")
-            word = body[1:] if body[:1] == " " else body
-            if not (self.word and word.isalpha() and max(word) < _PLAIN_BELOW and _DOTTED_I not in word):
+            end = chunk[-1] if chunk[-1] in ".," else ""
+            body = chunk[:-1] if end else chunk
+            word = body[1:] if spaced and body[:1] == " " else body
+            if not (word_only and word.isalpha()
+                    and (word.isascii() or max(word) < _PLAIN_BELOW and _DOTTED_I not in word)):
                 hard.append(chunk)
-                continue
-            if end and end not in cache:
-                cache[end] = self.pack(self.ids(end))
-            got = cache.get(body)
-            if got is None:
-                got = self.pack(self._merge(body))
-                if end:
-                    cache[body] = got
-            cache[chunk] = got + cache[end] if end else got
+            elif end:
+                if end not in cache:
+                    cache[end] = self.pack(self.ids(end))
+                if body not in cache:
+                    cache[body] = self.pack(self._merge(body))
+                cache[chunk] = cache[body] + cache[end]
+            else:
+                cache[chunk] = self.pack(self._merge(chunk))
         if hard:
             for chunk, e in zip(hard, self.tokenizer.encode_batch_fast(hard, add_special_tokens=False)):
                 cache[chunk] = self.pack(e.ids)
+        return full
 
     def pack(self, ids: list[int]) -> bytes:
-        return b"".join([i.to_bytes(self.width, "little") for i in ids])
+        packed = array("H" if self.width == 2 else "I", ids)
+        if sys.byteorder == "big":
+            packed.byteswap()
+        return packed.tobytes()
 
     def encode(self, text: str) -> bytes:
         """Little-endian ids of a whole text, ``dtype`` each."""
         chunks = self.chunks(text)
-        cache = self._cache
-        try:
-            return b"".join(map(cache.__getitem__, chunks))
-        except KeyError:
-            pass
         out = []
         for at in range(0, len(chunks), 50_000):  # a very long text must not outgrow the cache
             part = chunks[at:at + 50_000]
-            self._learn(set(part).difference(cache))
-            for c in set(part).difference(cache):  # lost when the cache was emptied
-                self._learn({c})
-            out.append(b"".join(map(cache.__getitem__, part)))
-        return b"".join(out)
-
-
-def _has_white(text: str) -> bool:
-    return any(c in text for c in "\t\n\x0b\x0c\r")
+            got = list(map(self._cache.get, part))
+            if None in got:
+                missing = {c for c, ids in zip(part, got) if ids is None}
+                if self._learn(missing):  # the cache was emptied: learn the others again
+                    self._learn(set(part).difference(self._cache))
+                got = map(self._cache.__getitem__, part)
+            out.append(b"".join(got))
+        return out[0] if len(out) == 1 else b"".join(out)
