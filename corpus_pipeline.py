@@ -5,7 +5,7 @@ returns a DataFrame that is written as Parquet and reread as the next one's
 docs. All but the last return the columns of ``documents``:
 
 1. ``language_id`` drops texts without a letter and texts whose language is
-   uncertain (score below 0.5);
+   uncertain (score below 0.3);
 2. ``near_dedup`` keeps one document of each group of near duplicates
    (five-word shingles, similarity 0.8 or more);
 3. ``pii`` replaces personal data by its kind;

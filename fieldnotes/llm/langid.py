@@ -35,7 +35,7 @@ EVIDENCE = 40
 BATCH = 512
 CHARS = 1 << 20
 UNKNOWN = "und"
-LEAST_SCORE = 0.5
+LEAST_SCORE = 0.3
 
 
 @cache
