@@ -4,7 +4,9 @@ A k-mer of characters is an anchor if the smallest of its inner s-mers (by
 hash) is its first or its last. That depends on the k-mer alone, so an edit
 moves no anchor outside its own k-mers. The fingerprint is the ``SKETCH``
 anchors with the smallest hashes of the whole text, each with the place where
-it first stands: ``hash:place`` in hex, comma-joined. The likeness of two
+it first stands: ``hash:place`` in hex, comma-joined. A text under ``SHORT``
+characters may hold no anchor in the half that an edit keeps; its closed
+syncmers of ``SHORT_K`` characters are anchors too. The likeness of two
 fingerprints compares the smallest hashes of their union and counts an anchor
 as shared only if it moved about as far as most shared ones.
 
@@ -14,8 +16,9 @@ each range is sorted on its own, and only the two outer rows of each range
 are matched up with their neighbours.
 
 Defined results: a NULL text counts as empty; the empty text has the empty
-fingerprint, alike (1) to itself only; a text shorter than k is one anchor,
-the whole text; rows with equal keys are ordered by their text, descending;
+fingerprint, alike (1) to itself only; any other text has an anchor, the whole
+text where no syncmer is found (an edit of a text under 22 characters may leave
+it no anchor in common); rows with equal keys are ordered by their text, descending;
 NULL keys come last; a table of one row is its own next.
 """
 
@@ -32,6 +35,8 @@ from pyspark.sql import functions as F
 from fieldnotes.llm.common import pa_schema, small_batches, text_of
 
 K, S = 24, 8
+SHORT_K, SHORT_S = 8, 4
+SHORT = 2 * (2 * K - S - 1)  # from 2 * K - S - 1 characters on there is an anchor
 SKETCH = 64
 DRIFT = 32
 RANGE_ROWS = 1_000
@@ -42,6 +47,7 @@ OUT = ("doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string,
 _BASE = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 _POWER = [np.uint64(pow(_BASE, n, 1 << 64)) for n in range(K + 1)]
+_NONE = np.zeros(0, np.int64), np.zeros(0, np.uint64)
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -59,15 +65,23 @@ def _windows(points: np.ndarray, n: int) -> np.ndarray:
     return h
 
 
+def _points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1)
+
+
+def whole(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """A text as its one anchor; none for the empty text."""
+    h = 0
+    for p in _points(text).tolist():
+        h = (h * _BASE + p) & _MASK
+    return np.zeros(min(1, len(text)), np.int64), _mix(np.array([h][:len(text)], np.uint64))
+
+
 def anchors(text: str, k: int = K, s: int = S) -> tuple[np.ndarray, np.ndarray]:
     """(places, hashes) of the closed syncmers of a text, in order."""
-    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    points += np.uint64(1)
+    points = _points(text)
     if len(points) < k:
-        whole = 0
-        for p in points.tolist():
-            whole = (whole * _BASE + p) & _MASK
-        return np.zeros(min(1, len(points)), np.int64), _mix(np.array([whole][:len(points)], np.uint64))
+        return _NONE
     small = _windows(points, s)
     order = _mix(small)
     low, size, want = order, 1, k - s + 1
@@ -84,9 +98,18 @@ def anchors(text: str, k: int = K, s: int = S) -> tuple[np.ndarray, np.ndarray]:
     return places, _mix(h)
 
 
+def all_anchors(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """The anchors of a text of any length; none for the empty text only."""
+    places, h = anchors(text)
+    if len(text) < SHORT:
+        more, h2 = anchors(text, SHORT_K, SHORT_S)
+        places, h = np.concatenate([places, more]), np.concatenate([h, h2])
+    return (places, h) if len(h) else whole(text)
+
+
 def sketch(text: str) -> tuple[np.ndarray, np.ndarray]:
     """The smallest distinct anchor hashes (32 bits) and their first places."""
-    places, h = anchors(text)
+    places, h = all_anchors(text)
     h = (h >> np.uint64(32)).astype(np.uint32)
     if len(h) > 4 * SKETCH:  # few places can hold the smallest; ties are all kept
         cut = np.partition(h, 4 * SKETCH - 1)[4 * SKETCH - 1]

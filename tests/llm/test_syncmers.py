@@ -67,3 +67,41 @@ def test_anchors_are_closed_syncmers():
         assert all(shared[p] == h for p, h in zip(places.tolist(), hashes.tolist()))
         assert syncmers.to_string(syncmers.from_string(syncmers.to_string(syncmers.sketch(text)))) == \
             syncmers.to_string(syncmers.sketch(text))
+
+
+def slow_sets(text):
+    """By definition, as substrings with their first places: closed syncmers,
+    in short texts of two sizes, or else the whole text."""
+    out = {}
+    for k, s in [(24, 8), (8, 4)][:1 + (len(text) < 78)]:
+        h = [int(x) for x in syncmers._mix(syncmers._windows(
+            np.array([ord(c) + 1 for c in text], np.uint64), s))] if len(text) >= k else []
+        for i in range(len(text) - k + 1):
+            if min(h[i:i + k - s + 1]) in (h[i], h[i + k - s]):
+                out.setdefault(text[i:i + k], i)
+    return out or ({text: 0} if text else {})
+
+
+def slow_likeness(a, b):
+    a, b = slow_sets(a), slow_sets(b)
+    if not a or not b:
+        return float(a == b)
+    moved = {x: b[x] - a[x] for x in a if x in b}
+    middle = np.median(list(moved.values())) if moved else 0
+    room = 32 + 0.1 * max(*a.values(), *b.values())
+    return sum(abs(m - middle) <= room for m in moved.values()) / len({*a, *b})
+
+
+def test_short_texts_like_the_definition(make):
+    rng = np.random.default_rng(3)
+    texts = [words(rng, 30)[:n] for n in [0, 1, 7, 9, *range(24, 61), *range(24, 61), 77, 78]]
+    got = {r["doc_id"]: r for r in run(make, list(enumerate(texts)))}
+    for i, text in enumerate(texts):
+        following = texts[i - 1]  # descending keys; the first one's is the last
+        half = len(text) // 2
+        other = text[:len(text) - half] + following[:half]
+        assert (got[i]["fingerprint"] == "") == (text == "")
+        assert len(got[i]["fingerprint"].split(",")) == max(1, len(slow_sets(text)))
+        assert got[i]["near_next"] == slow_likeness(text, following) < 0.5
+        assert got[i]["near_edited"] == slow_likeness(text, other)
+        assert len(text) < 24 or 0 < got[i]["near_edited"] < 1
