@@ -2,13 +2,13 @@
 
 A k-mer of characters is an anchor if the smallest of its inner s-mers (by
 hash) is its first or its last. That depends on the k-mer alone, so an edit
-moves no anchor outside its own k-mers. The fingerprint is the ``SKETCH``
-anchors with the smallest hashes of the whole text, each with the place where
-it first stands: ``hash:place`` in hex, comma-joined. A text under ``SHORT``
+moves no anchor outside its own k-mers. The fingerprint is all distinct
+anchors of the text by hash, each with the place where it first stands:
+``hash:place`` in hex, comma-joined, so it grows with the text. A text under ``SHORT``
 characters may hold no anchor in the half that an edit keeps; its closed
 syncmers of ``SHORT_K`` characters are anchors too. The likeness of two
-fingerprints compares the smallest hashes of their union and counts an anchor
-as shared only if it moved about as far as most shared ones.
+fingerprints is the shared part of their union, where an anchor counts as
+shared only if it moved about as far as most shared ones.
 
 ``next_document`` pairs every row with the next one in descending key order
 without a global sort in one task: keys are cut into ranges at quantiles,
@@ -37,11 +37,11 @@ from fieldnotes.llm.common import pa_schema, small_batches, text_of
 K, S = 24, 8
 SHORT_K, SHORT_S = 8, 4
 SHORT = 2 * (2 * K - S - 1)  # from 2 * K - S - 1 characters on there is an anchor
-SKETCH = 64
 DRIFT = 32
 RANGE_ROWS = 1_000
 MOST_RANGES = 16_384  # larger tables get longer ranges, which Spark sorts with spilling
 BATCH = 512
+OUT_CHARS = 1 << 24  # fingerprints in one batch of results, about
 OUT = ("doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, "
        "edited_fingerprint string, near_edited double, near_next double")
 _BASE = 0x9E3779B97F4A7C15
@@ -108,17 +108,12 @@ def all_anchors(text: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sketch(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """The smallest distinct anchor hashes (32 bits) and their first places."""
+    """The distinct anchor hashes (32 bits), ascending, and their first places."""
     places, h = all_anchors(text)
-    h = (h >> np.uint64(32)).astype(np.uint32)
-    if len(h) > 4 * SKETCH:  # few places can hold the smallest; ties are all kept
-        cut = np.partition(h, 4 * SKETCH - 1)[4 * SKETCH - 1]
-        near = h <= cut
-        if len(small := np.unique(h[near])) >= SKETCH:
-            near = h <= small[SKETCH - 1]
-            places, h = places[near], h[near]
-    values, first = np.unique(h, return_index=True)
-    return values[:SKETCH], places[first[:SKETCH]]
+    packed = np.sort((h & np.uint64(0xFFFFFFFF00000000)) | places.astype(np.uint64))  # a text is under 2^31 long
+    values = (packed >> np.uint64(32)).astype(np.uint32)
+    new = np.flatnonzero(np.diff(values, prepend=~values[:1]))
+    return values[new], (packed[new] & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
 
 def to_string(found: tuple[np.ndarray, np.ndarray]) -> str:
@@ -134,13 +129,12 @@ def from_string(text: str) -> tuple[np.ndarray, np.ndarray]:
 def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     if not len(a[0]) or not len(b[0]):
         return float(len(a[0]) == len(b[0]))
-    union = np.union1d(a[0], b[0])[:SKETCH]
     shared, at_a, at_b = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
     if not len(shared):
         return 0.0
     moved = b[1][at_b] - a[1][at_a]
     close = np.abs(moved - np.median(moved)) <= DRIFT + 0.1 * max(a[1].max(), b[1].max())
-    return float((close & (shared <= union[-1])).sum() / len(union))
+    return float(close.sum() / (len(a[0]) + len(b[0]) - len(shared)))
 
 
 def edited(text: str, following: str) -> str:
@@ -156,6 +150,18 @@ def compare(key, text: str, mine, following: str, its) -> tuple:
             to_string(mine), to_string(theirs), likeness(mine, theirs), likeness(mine, its))
 
 
+def _batches(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Batches of results, cut before their fingerprints get too large."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += len(row[3]) + len(row[4])
+        if size >= OUT_CHARS:
+            yield _batch(held, schema)
+            held, size = [], 0
+    yield _batch(held, schema)
+
+
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     cols = list(zip(*rows)) if rows else [[] for _ in schema]
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
@@ -192,15 +198,15 @@ def fingerprints(docs: DataFrame, rows: int = RANGE_ROWS) -> DataFrame:
     schema = pa_schema(OUT)
 
     def inner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before = None
-        for batch in batches:
-            out = []
-            for key, text, of in zip(*(c.to_pylist() for c in batch.columns)):
-                now = (key, text, sketch(text), of)
-                if before is not None and before[3] == of:
-                    out.append(compare(*before[:3], now[1], now[2]))
-                before = now
-            yield _batch(out, schema)
+        def compared() -> Iterator[tuple]:
+            before = None
+            for batch in batches:
+                for key, text, of in zip(*(c.to_pylist() for c in batch.columns)):
+                    now = (key, text, sketch(text), of)
+                    if before is not None and before[3] == of:
+                        yield compare(*before[:3], now[1], now[2])
+                    before = now
+        yield from _batches(compared(), schema)
 
     n = max(1, min(last + 1, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
     order = [F.col("doc_id").desc_nulls_last(), F.col("text").desc()]
@@ -221,9 +227,8 @@ def fingerprints(docs: DataFrame, rows: int = RANGE_ROWS) -> DataFrame:
                            F.min_by("first", "range").over(whole)).alias("next"))
 
     def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield _batch([compare(k, t, sketch(t), u, sketch(u))
-                          for k, t, u in zip(*(c.to_pylist() for c in batch.columns))], schema)
+        yield from _batches((compare(k, t, sketch(t), u, sketch(u)) for batch in batches
+                             for k, t, u in zip(*(c.to_pylist() for c in batch.columns))), schema)
 
     return within.unionByName(
         outer.select("last.doc_id", "last.text", F.col("next.text").alias("following")).mapInArrow(edges, OUT))

@@ -105,3 +105,21 @@ def test_short_texts_like_the_definition(make):
         assert got[i]["near_next"] == slow_likeness(text, following) < 0.5
         assert got[i]["near_edited"] == slow_likeness(text, other)
         assert len(text) < 24 or 0 < got[i]["near_edited"] < 1
+
+
+def test_long_texts_like_all_their_anchors(make):
+    rng = np.random.default_rng(6)
+    shared = words(rng, 100, 4000)
+    texts = [words(rng, n, 4000) for n in (2500, 1200, 1250, 30)]
+    texts[1] = texts[1][:3000] + shared + texts[1][3000:]  # a passage of two long texts
+    texts[2] = texts[2][:3000] + shared + texts[2][3000:]
+    got = {r["doc_id"]: r for r in run(make, list(enumerate(texts)))}
+    for i, text in enumerate(texts):
+        following = texts[i - 1]
+        half = len(text) // 2
+        other = text[:len(text) - half] + following[:half]
+        places = [int(x.split(":")[1], 16) for x in got[i]["fingerprint"].split(",")]
+        assert sorted(places) == sorted(slow_sets(text).values())
+        assert got[i]["near_next"] == pytest.approx(slow_likeness(text, following), abs=1e-9)
+        assert got[i]["near_edited"] == pytest.approx(slow_likeness(text, other), abs=1e-9)
+    assert got[2]["near_next"] > 0.01
