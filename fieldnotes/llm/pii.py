@@ -3,12 +3,15 @@
 Base patterns find e-mail addresses, IP addresses, card and phone numbers.
 The tagger learns from their spans: windows around the spans of a bounded
 sample of documents, part of them rewritten to forms that the patterns don't
-cover (phone numbers without a plus, grouped or bracketed). It is trained in
+cover (phone numbers without a plus, grouped or bracketed) or put beside other
+numbers, with which the patterns would match them as one. It is trained in
 numpy and reads overlapping windows. Every span of the four kinds holds a
 digit or an ``@``, so windows without either can't hold one and aren't
 decoded. Where windows overlap, each character takes its tag from the window
 in which it stands furthest from an edge; runs of a tag are spans of the whole
-text, and those that overlap no base span and fit the kind are added.
+text. They are trimmed at base spans and divided at separators, and the parts
+that fit their kind are added. So are the cards and phone numbers in matches
+that the base patterns drop because other numbers stand beside them.
 
 Defined results: a NULL text counts as empty, with no spans; equal texts get
 equal spans; with nothing to learn from, only base spans are found.
@@ -330,19 +333,132 @@ def fits(kind: int, found: str) -> bool:
     return 8 <= digits <= 15 and not letters and any(c in found for c in " ()-.") and found.count(".") < 3
 
 
-def added_spans(text: str, base: list[Span], model: list[Span]) -> list[Span]:
-    taken = sorted((s, e) for _, s, e in base)
-    starts = [s for s, _ in taken]
+_TOKEN = re.compile(r"[^\s,;:/|-]+")
+MOST_CHARS = 48  # of an added number
+
+
+def sure_kind(found: str) -> int | None:
+    """The kind whose base pattern matches the whole of ``found``."""
+    digits = "".join([c for c in found if "0" <= c <= "9"])
+    if not digits:
+        return None
+    if 16 <= len(digits) <= 19 and _CARD.fullmatch(found) and luhn(digits):
+        return 2
+    if 8 <= len(digits) <= 15 and found[0] == "+" and _PHONE.fullmatch(found):
+        return 3
+    if found.count(".") == 3 and (m := _IP.fullmatch(found)) and all(int(g) <= 255 for g in m.groups()):
+        return 1
+    return None
+
+
+def dropped_matches(text: str) -> list[tuple[int, int]]:
+    """Matches of the card and phone patterns that are no base spans."""
+    out = []
+    if _DIGIT.search(text):
+        for m in _CARD.finditer(text):
+            if m.end() - m.start() > 16 and sure_kind(text[m.start():min(m.end(), m.start() + 38)]) != 2:
+                out.append(m.span())
+        if "+" in text:
+            for m in _PHONE.finditer(text):
+                if sum(map(str.isdigit, m.group())) > 15:
+                    out.append(m.span())
+    return out
+
+
+def divided(text: str, kind: int, s: int, e: int) -> list[Span]:
+    """The parts of a decoded span between separators that fit: most
+    characters in parts that match a base pattern, then most in parts that fit
+    ``kind``, then fewest parts. In a dropped match (kind -1), parts that match
+    a base pattern, cards in one piece or four by four only."""
+    tokens = [m.span() for m in _TOKEN.finditer(text, s, e)]
+    digits = [sum("0" <= c <= "9" for c in text[lo:hi]) for lo, hi in tokens]
+    best: list[tuple[int, int, int]] = [(0, 0, 0)]
+    last: list[tuple[int, Span] | None] = [None]
+    for j in range(1, len(tokens) + 1):
+        best.append(best[j - 1])
+        last.append(None)
+        n = 0
+        for i in range(j - 1, -1, -1):
+            lo, hi = tokens[i][0], tokens[j - 1][1]
+            n += digits[i]
+            if hi - lo > MOST_CHARS or n > 19:
+                break
+            if n < 4 or kind < 0 and i < j - 1 and "+" not in text[lo:lo + 2] and digits[i:j] != [4] * 4:
+                continue
+            while hi > lo and text[hi - 1] == ".":
+                hi -= 1
+            a, b = lo, hi
+            while b > a and not "0" <= text[b - 1] <= "9":
+                b -= 1
+            while a < b and not ("0" <= text[a] <= "9" or text[a] == "+"):
+                a += 1
+            sure = sure_kind(text[a:b])
+            if kind < 0:
+                if sure is None:
+                    continue
+            elif sure is None and not fits(kind, text[lo:hi]):
+                continue
+            part = (kind, lo, hi) if sure is None else (sure, a, b)
+            size = part[2] - part[1]
+            score = (best[i][0] + size * (sure is not None), best[i][1] + size, best[i][2] - 1)
+            if score > best[j]:
+                best[j], last[j] = score, (i, part)
+    out, j = [], len(tokens)
+    while j:
+        if last[j] is None:
+            j -= 1
+        else:
+            j, part = last[j]
+            out.append(part)
+    return out[::-1]
+
+
+def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for s, e in sorted(spans):
+        if out and s < out[-1][1]:
+            out[-1] = (out[-1][0], max(e, out[-1][1]))
+        else:
+            out.append((s, e))
+    return out
+
+
+def _free(s: int, e: int, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The parts of a span that no span of ``taken`` (merged) covers."""
     out = []
+    for k in range(max(0, bisect_right(taken, (s, s)) - 1), len(taken)):
+        if taken[k][0] >= e:
+            break
+        if s < taken[k][0]:
+            out.append((s, taken[k][0]))
+        s = max(s, taken[k][1])
+    return [*out, (s, e)] if s < e else out
+
+
+def added_spans(text: str, base: list[Span], model: list[Span]) -> list[Span]:
+    """What fits in dropped matches and decoded spans, outside base spans."""
+    out: list[Span] = []
+    taken = _merged([(s, e) for _, s, e in base])
+    for low, high in _merged(dropped_matches(text)):
+        for s, e in _free(low, high, taken):
+            out += divided(text, -1, s, e)
+    taken = _merged(taken + [(s, e) for _, s, e in out])
+    done = 0
     for kind, s, e in model:
-        while s < e and text[s] in " \t\r\n,;:":
-            s += 1
-        while e > s and text[e - 1] in " \t\r\n,;:.":
-            e -= 1
-        k = bisect_right(starts, e - 1) - 1
-        free = all(taken[j][1] <= s for j in range(k, max(-1, k - 4), -1))
-        if s < e and free and fits(kind, text[s:e]):
-            out.append((kind, s, e))
+        if kind:  # whole runs of digits, as far as a number can be long
+            low, high = max(0, s - MOST_CHARS), min(len(text), e + MOST_CHARS)
+            while s > low and "0" <= text[s] <= "9" and "0" <= text[s - 1] <= "9":
+                s -= 1
+            while e < high and "0" <= text[e - 1] <= "9" and "0" <= text[e] <= "9":
+                e += 1
+        for s, e in _free(max(s, done), e, taken):
+            while s < e and text[s] in " \t\r\n,;:":
+                s += 1
+            while e > s and text[e - 1] in " \t\r\n,;:.":
+                e -= 1
+            new = divided(text, kind, s, e) if kind else [(kind, s, e)] if s < e and fits(kind, text[s:e]) else []
+            out += new
+            done = max(done, new[-1][2] if new else 0)
     return out
 
 
@@ -381,23 +497,56 @@ def tag_texts(tagger: Tagger | None, texts: list[str]) -> list[tuple[list[Span],
 
 # ---- training
 
+def _other_form(kind: int, form: str, r: np.random.Generator) -> str:
+    if kind == 3 and r.random() < 0.6:
+        digits = [c for c in form if c.isdigit()][-10:]
+        a, b, c = "".join(digits[:3]), "".join(digits[3:6]), "".join(digits[6:])
+        return (f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"{a} {b} {c}")[r.integers(4)]
+    if kind == 2 and r.random() < 0.3:
+        digits = [c for c in form if c.isdigit()]
+        return " -"[r.integers(2)].join("".join(digits[i:i + 4]) for i in range(0, len(digits), 4))
+    return form
+
+
+def _neighbour(pool: list[tuple[int, str]], r: np.random.Generator) -> tuple[int, str]:
+    """Kind (-1: none) and form of a number to stand beside a span: one of the
+    document's own, or an address, a card or another number of any digits."""
+    pick = r.integers(6)
+    if pick == 0:
+        return 1, ".".join(str(x) for x in r.integers(1, 256, 4))
+    if pick == 1:
+        return 2, "".join(str(x) for x in r.integers(0, 10, 16))
+    if pick == 2:
+        return -1, str(r.integers(1, 10 ** int(r.integers(1, 6))))
+    kind, form = pool[r.integers(len(pool))]
+    return kind, _other_form(kind, form, r)
+
+
 def _rewritten(text: str, spans: list[Span], r: np.random.Generator) -> tuple[str, list[Span]]:
-    """The text with some spans in other forms, and where all spans now are."""
-    out, at, moved = [], 0, []
+    """The text with some spans in other forms or beside other numbers, and
+    where all spans now are."""
+    out, at, to, moved = [], 0, 0, []
+    pool = [(kind, text[s:e]) for kind, s, e in spans]
+
+    def put(kind: int, form: str) -> None:
+        nonlocal to
+        out.append(form)
+        if kind >= 0:
+            moved.append((kind, to, to + len(form)))
+        to += len(form)
+
     for kind, s, e in sorted(spans, key=lambda x: x[1]):
         if s < at:
             continue
-        form = text[s:e]
-        if kind == 3 and r.random() < 0.6:
-            digits = [c for c in form if c.isdigit()][-10:]
-            a, b, c = "".join(digits[:3]), "".join(digits[3:6]), "".join(digits[6:])
-            form = (f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"{a} {b} {c}")[r.integers(4)]
-        elif kind == 2 and r.random() < 0.3:
-            digits = [c for c in form if c.isdigit()]
-            form = " -"[r.integers(2)].join("".join(digits[i:i + 4]) for i in range(0, len(digits), 4))
-        out += [text[at:s], form]
-        start = sum(map(len, out)) - len(form)
-        moved.append((kind, start, start + len(form)))
+        put(-1, text[at:s])
+        own = (kind, _other_form(kind, text[s:e], r))
+        row = [own]
+        if r.random() < 0.35:
+            row.insert(int(r.integers(2)), _neighbour(pool, r))
+        for i, part in enumerate(row):
+            if i:
+                put(-1, (" ", " ", " ", ", ", "-")[r.integers(5)])
+            put(*part)
         at = e
     return "".join([*out, text[at:]]), moved
 

@@ -164,3 +164,37 @@ def test_masking(make):
 def test_empty_table(make):
     assert pii.train(make([])) is None
     assert pii.find(make([]), None).collect() == []
+
+
+def test_neighbours_are_told_apart(make):
+    tagger = pii.train(make(corpus(400)))
+    rng = np.random.default_rng(78)
+    one, two = luhn_card(rng), luhn_card(rng)
+    four = " ".join(two[i:i + 4] for i in range(0, 16, 4))
+    for parts in ([(2, one), (2, one)], [(2, one), (2, two)], [(2, one), (2, two), (2, one)], [(2, one), (2, four)],
+                  [(3, "+1 (826) 555-4081"), (1, "190.137.223.204")], [(3, "+1 (826) 555-4081"), (2, one)],
+                  [(2, one), (1, "190.137.223.204")], [(-1, "12"), (2, one)], [(2, one), (-1, "2024")]):
+        before = words(rng, 12) + " "
+        text, want = before, []
+        for kind, form in parts:
+            if kind >= 0:
+                want.append((kind, len(text), len(text) + len(form)))
+            text += form + " "
+        text += words(rng, 12)
+        base, spans = pii.tag_texts(tagger, [text])[0]
+        assert base == plain(text)
+        assert spans == sorted(want), text[len(before):]
+
+
+def test_decoded_spans_are_trimmed_and_divided():
+    rng = np.random.default_rng(79)
+    one, two = luhn_card(rng), luhn_card(rng)
+    text = f"{one},{two} or (826) 555-4081 190.137.223.204 or +1 (826) 555-4081"
+    base = pii.base_spans(text)
+    at = text.index("(826)")
+    assert pii.added_spans(text, base, [(3, at, text.index(" or +1"))]) == [(3, at, at + 14)]
+    text = f"x {one}/{two}"
+    assert pii.added_spans(text, [], [(2, 5, len(text) - 3)]) == [(2, 2, 18), (2, 19, 35)]
+    for text in ("1 " * 100_000, "1234 " * 60_000, "+1 " + "1234 " * 60_000, "1" * 300_000, "4111111111111111 " * 20_000):
+        assert pii.added_spans(text, pii.base_spans(text), [(2, 0, len(text))]) is not None
+    assert len(pii.added_spans(text, [], [])) == 20_000
