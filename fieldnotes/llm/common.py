@@ -93,7 +93,11 @@ def pa_schema(ddl: str) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(ddl))
 
 
+BATCH_BYTES = 16 << 20
+
+
 def small_batches(spark: SparkSession, rows: int) -> None:
-    """Rows in an Arrow batch: whole documents can be long, so batches are
-    kept short to bound a worker's memory."""
+    """Rows and bytes in an Arrow batch: whole documents can be long, so
+    batches are kept short to bound a worker's memory."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))

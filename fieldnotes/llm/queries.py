@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldnotes.llm import (langid, minhash_join, mixing, packing, pii, pivot_topk, quality_rules, records, suffix_dedup,
-                             syncmers)
+from fieldnotes.llm import (langid, minhash_join, mixing, ngram_join, packing, pii, pivot_topk, quality_rules, records,
+                             suffix_dedup, syncmers)
 from fieldnotes.llm.common import documents, prepare
 
 #: Files of public tokenizers, by name; their folder is a parameter.
@@ -66,6 +66,10 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_join.near_duplicates(documents(spark, sf_dir), size=3, num=85, den=100)
 
 
+def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_classes(documents(spark, sf_dir), size=4, num=85, den=100)
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_pack": op2_pack,
@@ -77,6 +81,7 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_fingerprint": op9_fingerprint,
     "op10_near_duplicates": op10_near_duplicates,
+    "op11_ngram_join": op11_ngram_join,
 }
 
 # size by words; source targets by water level; thresholds by running sums in
@@ -154,7 +159,7 @@ FROM n LEFT JOIN c ON n.r = c.r
 """
 
 # shingle sets, all pairs that share a shingle, and what each text can reach
-OP10_SQL = r"""
+_CLASSES = r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, regexp_extract_all(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -162,7 +167,7 @@ WITH RECURSIVE d AS (
   FROM documents),
 x AS (
   SELECT DISTINCT doc_id, unnest(CASE
-    WHEN len(w) >= 3 THEN [w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)]
+    WHEN len(w) >= {size} THEN [array_to_string(w[i:i + {size} - 1], ' ') FOR i IN range(1, len(w) - {size} + 2)]
     WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
   FROM d),
 n AS (SELECT doc_id, count(*) AS n FROM x GROUP BY doc_id),
@@ -172,8 +177,11 @@ e AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
       WHERE 100 * common >= 85 * (na.n + nb.n - common)),
 r AS (SELECT doc_id, doc_id AS seen FROM d UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.seen),
 c AS (SELECT doc_id, min(seen) AS component_id FROM r GROUP BY doc_id)
-SELECT c.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, c.doc_id = component_id AS kept
+SELECT c.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, {columns}
 FROM c LEFT JOIN n ON n.doc_id = c.doc_id
 """
+OP10_SQL = _CLASSES.format(size=3, columns="component_id, c.doc_id = component_id AS kept")
+OP11_SQL = _CLASSES.format(size=4, columns="component_id")
 
-ORACLES = {"op5_repeats": OP5_SQL, "op6_topk": OP6_SQL, "op7_mix": OP7_SQL, "op10_near_duplicates": OP10_SQL}
+ORACLES = {"op5_repeats": OP5_SQL, "op6_topk": OP6_SQL, "op7_mix": OP7_SQL, "op10_near_duplicates": OP10_SQL,
+           "op11_ngram_join": OP11_SQL}
