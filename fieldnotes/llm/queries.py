@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldnotes.llm import (langid, minhash_join, mixing, ngram_join, packing, pii, pivot_topk, quality_rules, records,
-                             suffix_dedup, syncmers)
+from fieldnotes.llm import (alignment, langid, lexical_trie, minhash_join, mixing, ngram_join, packing, pii, pivot_topk,
+                            quality_rules, records, suffix_dedup, syncmers)
 from fieldnotes.llm.common import documents, prepare
 
 #: Files of public tokenizers, by name; their folder is a parameter.
 WORD_TOKENIZER = "word_bpe_49k.json"
 BYTE_TOKENIZER = "byte_bpe_50k.json"
+PIECE_TOKENIZER = "piece_bpe_32k.model"
 
 
 def tokenizer_path(name: str) -> str:
@@ -70,6 +71,15 @@ def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_classes(documents(spark, sf_dir), size=4, num=85, den=100)
 
 
+def op12_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(documents(spark, sf_dir), tokenizer_path(BYTE_TOKENIZER), tokenizer_path(PIECE_TOKENIZER))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return lexical_trie.search(documents(spark, sf_dir), items, k=10)
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_pack": op2_pack,
@@ -82,6 +92,8 @@ QUERIES = {
     "op9_fingerprint": op9_fingerprint,
     "op10_near_duplicates": op10_near_duplicates,
     "op11_ngram_join": op11_ngram_join,
+    "op12_align": op12_align,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 # size by words; source targets by water level; thresholds by running sums in
@@ -183,5 +195,34 @@ FROM c LEFT JOIN n ON n.doc_id = c.doc_id
 OP10_SQL = _CLASSES.format(size=3, columns="component_id, c.doc_id = component_id AS kept")
 OP11_SQL = _CLASSES.format(size=4, columns="component_id")
 
+# tf of the items' terms by document row; scores in 64-bit integers
+OP13_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t
+  FROM documents),
+c AS (SELECT count(*) FILTER (len(t) > 0)::BIGINT AS docs, sum(len(t))::BIGINT AS terms FROM d),
+q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+f AS (
+  SELECT r, doc_id, n, term, count(*)::BIGINT AS tf
+  FROM (SELECT r, doc_id, len(t)::BIGINT AS n, unnest(t) AS term FROM d) GROUP BY ALL),
+w AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM f, c GROUP BY term, docs),
+s AS (
+  SELECT item_id, r, doc_id,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms))))::BIGINT AS score
+  FROM q JOIN f USING (term) JOIN w USING (term), c GROUP BY item_id, r, doc_id)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM (
+  SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+  FROM s WHERE score > 0)
+WHERE rank <= 10
+"""
+
 ORACLES = {"op5_repeats": OP5_SQL, "op6_topk": OP6_SQL, "op7_mix": OP7_SQL, "op10_near_duplicates": OP10_SQL,
-           "op11_ngram_join": OP11_SQL}
+           "op11_ngram_join": OP11_SQL, "op13_lexical_search": OP13_SQL}

@@ -6,6 +6,10 @@ cut where the tokenizer always cuts: at white space (tokenizers that drop
 it) or before a space that a non-space follows (byte-level tokenizers, where
 the space belongs to the next word). Chunks recur, so each is encoded once
 per worker by the tokenizers library and then looked up.
+
+By default the strings of special tokens become those tokens, as the library
+does it: a text that holds one goes through the whole tokenizer. With
+``plain`` they are ordinary text.
 """
 
 from __future__ import annotations
@@ -23,22 +27,24 @@ _CUT = re.compile(r"(?= \S)")
 #: below this, Python's and the library's lower case and letters agree but for one letter
 _PLAIN_BELOW, _DOTTED_I = "ɐ", "İ"
 
-_loaded: dict[str, ChunkEncoder] = {}
+_loaded: dict[tuple[str, bool], ChunkEncoder] = {}
 
 
-def encoder(path: str) -> ChunkEncoder:
+def encoder(path: str, plain: bool = False) -> ChunkEncoder:
     """One encoder, and so one cache, per worker process and vocabulary."""
-    if path not in _loaded:
-        _loaded[path] = ChunkEncoder(path)
-    return _loaded[path]
+    if (path, plain) not in _loaded:
+        _loaded[path, plain] = ChunkEncoder(path, plain=plain)
+    return _loaded[path, plain]
 
 
 class ChunkEncoder:
-    def __init__(self, path: str, cache: int = CACHE):
+    def __init__(self, path: str, cache: int = CACHE, plain: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
+        self.tokenizer.encode_special_tokens = plain
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self._added = None if plain or not added else re.compile("|".join(map(re.escape, added)), re.IGNORECASE)
         self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.width = int(self.dtype[2])
         self.drops_space = not self.ids(" ")
@@ -128,6 +134,8 @@ class ChunkEncoder:
 
     def encode(self, text: str) -> bytes:
         """Little-endian ids of a whole text, ``dtype`` each."""
+        if self._added and self._added.search(text):
+            return self.pack(self.ids(text))
         chunks = self.chunks(text)
         out = []
         for at in range(0, len(chunks), 50_000):  # a very long text must not outgrow the cache
