@@ -32,6 +32,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,10 +43,10 @@ from pyspark.sql import functions as F
 from fieldnotes.llm.common import pa_schema, small_batches, stage, text_of
 from fieldnotes.llm.tokens import encoder
 
-BATCH = 512
+BATCH = 256
 BLOCK = 2_000_000  # pairs that are broadcast at once
 HELD = 2_000_000  # pairs that a task adds up before it hands them on
-CACHE = 300_000
+CACHE = 200_000
 ROW = ("doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, "
        "plain binary, pairs binary")
 RESULT = ("doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, "
@@ -84,48 +85,86 @@ class Tokenizers:
                         else self.b.id_to_piece(i).replace("▁", " ").encode() for i in range(self.b.get_piece_size())]
         self.same = same_bytes(self.bytes_a, self.bytes_b, [self.b.is_byte(i) for i in range(len(self.bytes_b))])
         self.length_a, self.length_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
-        self.name_a, self.name_b = ([str(i) for i in range(len(t))] for t in (self.bytes_a, self.bytes_b))
-        self._space = np.array([self.b.piece_to_id("▁")], np.uint32).tobytes()
+        names = [str(i).encode() for i in range(max(len(self.bytes_a), len(self.bytes_b)))]
+        self.name_length = np.array([len(x) for x in names], np.int64)
+        self.name = np.array(names, f"S{len(names[-1]) + 1}").view(np.uint8).reshape(len(names), -1)
+        self._exact_a = self.encode_a.tokenizer.normalizer is None
+        self._space = array("I", [self.b.piece_to_id("▁")]).tobytes()
         self._cut = not any("▁" in self.b.id_to_piece(i).lstrip("▁") for i in range(len(self.bytes_b)))
         self._cache: dict[str, bytes] = {"": self._space}
+        self._older: dict[str, bytes] = {}
+        self._odd: set[str] = set()  # chunks that their pieces do not spell
 
     def ids_a(self, text: str) -> np.ndarray:
         return np.frombuffer(self.encode_a.encode(" " + text), self.encode_a.dtype).astype(np.int64)
 
-    def ids_b(self, text: str) -> np.ndarray:
-        """Ids of a text. No piece holds a space behind another character, so
-        a text can be cut before each run of spaces, and what follows one
-        space is encoded once and then looked up."""
-        if not self._cut:
-            return np.array(self.b.encode(text), np.int64)
+    def ids_b(self, text: str) -> np.ndarray | None:
+        """Ids of a text, or None if they do not spell space + text. No piece
+        holds a space behind another character, so a text can be cut before
+        each run of spaces, and what follows one space is encoded once and
+        then looked up."""
         spaced = " " + text
+        if not self._cut:
+            ids = self.b.encode(text)
+            return np.array(ids, np.int64) if self._spelled(ids) == spaced.encode("utf-8", "surrogatepass") else None
         chunks = [c[1:] for c in _RUN.findall(spaced)] if "  " in spaced else spaced.split(" ")[1:]
         out = []
         for at in range(0, len(chunks), 50_000):
             part = chunks[at:at + 50_000]
             got = list(map(self._cache.get, part))
             if None in got:
-                missing = list({c for c, ids in zip(part, got) if ids is None})
-                if len(self._cache) + len(missing) > CACHE:
-                    self._cache = {"": self._space}
-                    missing = list(set(part) - {""})
-                self._cache.update((c, np.array(ids, np.uint32).tobytes()) for c, ids in zip(missing, self.b.encode(missing)))
+                self._learn({c for c, ids in zip(part, got) if ids is None})
                 got = map(self._cache.__getitem__, part)
+            if self._odd and not self._odd.isdisjoint(part):
+                return None
             out.append(b"".join(got))
+            if len(self._cache) > CACHE:
+                self._older, self._cache = self._cache, {"": self._space}
         return np.frombuffer(b"".join(out), np.uint32).astype(np.int64)
 
+    def _spelled(self, ids: list[int]) -> bytes:
+        return b"".join([self.bytes_b[i] for i in ids])
+
+    def _learn(self, missing: set[str]) -> None:
+        for chunk in missing:
+            if chunk in self._older:
+                self._cache[chunk] = self._older[chunk]
+        new = list(missing.difference(self._older))
+        for chunk, ids in zip(new, self.b.encode(new)):
+            self._cache[chunk] = array("I", ids).tobytes()
+            if self._spelled(ids) != b" " + chunk.encode("utf-8", "surrogatepass"):
+                self._odd.add(chunk)
+
     def both(self, text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
-        """Ids of A and B, if both spell space + text."""
+        """Ids of A and B, if both spell space + text. Bytes that a byte-level
+        tokenizer does not normalise are spelled as they are."""
         if not text:
             return None
-        data = b" " + text.encode("utf-8", "surrogatepass")
         b = self.ids_b(text)
-        if b"".join(map(self.bytes_b.__getitem__, b.tolist())) != data:
+        if b is None:
             return None
         a = self.ids_a(text)
-        if b"".join(map(self.bytes_a.__getitem__, a.tolist())) != data:
-            return None
-        return a, b
+        if self._exact_a:
+            same = self.length_a[a].sum() == self.length_b[b].sum()
+        else:
+            same = b"".join([self.bytes_a[i] for i in a.tolist()]) == b" " + text.encode("utf-8", "surrogatepass")
+        return (a, b) if same else None
+
+    def written(self, ids_a: np.ndarray, ids_b: np.ndarray, groups_a: np.ndarray, groups_b: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """All groups as text, and where each one ends in it. Names are set out
+        in one array, in the order of groups and A before B, each with the sign
+        that follows it, and what no name needs is masked out."""
+        n_a, n_b = np.bincount(groups_a), np.bincount(groups_b)
+        ends_a, ends_b = np.cumsum(n_a), np.cumsum(n_b)
+        ids, sign = np.empty(len(ids_a) + len(ids_b), np.int64), np.full(len(ids_a) + len(ids_b), ord(","), np.uint8)
+        place_b = np.arange(len(ids_b)) + ends_a[groups_b]
+        ids[np.arange(len(ids_a)) + (ends_b - n_b)[groups_a]], ids[place_b] = ids_a, ids_b
+        last = ends_a + ends_b - 1
+        sign[last - n_b], sign[last] = ord("|"), ord(";")
+        cells, length = self.name[ids], self.name_length[ids]
+        cells[np.arange(len(ids)), length] = sign
+        text = cells[np.arange(cells.shape[1]) <= length[:, None]].tobytes()
+        return text, np.cumsum(length + 1)[last]
 
 
 def same_bytes(a: list[bytes], b: list[bytes], single: list[bool]) -> np.ndarray:
@@ -142,7 +181,8 @@ def same_bytes(a: list[bytes], b: list[bytes], single: list[bool]) -> np.ndarray
 def links(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(places in A, places in B, whether a group ends here, byte) of each
     link, in order; the tokens end at the given bytes, the last at the same."""
-    ends = np.union1d(ends_a, ends_b)
+    ends = np.sort(np.concatenate([ends_a, ends_b]), kind="stable")  # two runs: merged
+    ends = ends[np.diff(ends, append=-1) != 0]
     at_a, at_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
     return at_a, at_b, (ends_a[at_a] == ends) & (ends_b[at_b] == ends), ends
 
@@ -168,20 +208,16 @@ def _encode(docs: DataFrame, a: str, b: str) -> DataFrame:
             first = np.concatenate([[0], last[:-1]])
             before = np.concatenate([[0], np.cumsum(closes)])
             groups[filled], n_links[filled] = before[last] - before[first], last - first
-            shut = np.flatnonzero(closes)
-            opened = np.concatenate([[0], shut[:-1] + 1])
-            names_a, names_b = [t.name_a[i] for i in ids_a.tolist()], [t.name_b[i] for i in ids_b.tolist()]
-            from_a, to_a, from_b, to_b = (x.tolist() for x in (at_a[opened], at_a[shut], at_b[opened], at_b[shut]))
-            texts_of = [names_a[x] + "|" + names_b[y] for x, y in zip(from_a, from_b)]
-            for g in np.flatnonzero(shut > opened).tolist():
-                texts_of[g] = ",".join(names_a[from_a[g]:to_a[g] + 1]) + "|" + ",".join(names_b[from_b[g]:to_b[g] + 1])
+            cuts = ends[closes]
+            text, ended = t.written(ids_a, ids_b, np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b))
+            ended = np.concatenate([[0], ended])
             id_type, pair_type = _widths(len(t.same), len(t.bytes_b))
             pair = (link_a * len(t.bytes_b) + link_b).astype(pair_type)
             known = link_a.astype(id_type)
             for i, x, y in zip(filled, first.tolist(), last.tolist()):
                 own = usual[x:y]
                 plain[i], pairs[i] = known[x:y][own].tobytes(), pair[x:y][~own].tobytes()
-                digest[i] = hashlib.sha256(";".join(texts_of[before[x]:before[y]]).encode()).hexdigest()
+                digest[i] = hashlib.sha256(text[ended[before[x]]:ended[before[y]] - 1]).hexdigest()
         return [n_a.tolist(), n_b.tolist(), groups.tolist(), n_links.tolist(), digest, plain, pairs]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

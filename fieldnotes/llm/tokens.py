@@ -53,6 +53,7 @@ class ChunkEncoder:
         self._letters: dict[str, str] = {}
         self._space = "".join(p for p, _ in self._bytes.pre_tokenize_str(" "))
         self._cache: dict[str, bytes] = {"": b""}
+        self._older: dict[str, bytes] = {}
         self._most = cache
         self._model = self.tokenizer.model
         self.word = self._probe()
@@ -98,13 +99,14 @@ class ChunkEncoder:
         out.pop()
         return out
 
-    def _learn(self, missing: set[str]) -> bool:
-        """Put the ids of new chunks into the cache; whether it was emptied."""
+    def _learn(self, missing: set[str]) -> None:
+        """Put the ids of chunks into the cache. A full cache becomes the older
+        one, from which chunks that come up again are taken over."""
         cache, hard = self._cache, []
-        full = len(cache) + len(missing) > max(self._most, len(missing) + 1)
-        if full:
-            cache.clear()
-            cache[""] = b""
+        for chunk in missing:
+            if chunk in self._older:
+                cache[chunk] = self._older[chunk]
+        missing = missing.difference(self._older)
         word_only, spaced = self.word, not self.drops_space
         for chunk in missing:
             end = chunk[-1] if chunk[-1] in ".," else ""
@@ -124,7 +126,6 @@ class ChunkEncoder:
         if hard:
             for chunk, e in zip(hard, self.tokenizer.encode_batch_fast(hard, add_special_tokens=False)):
                 cache[chunk] = self.pack(e.ids)
-        return full
 
     def pack(self, ids: list[int]) -> bytes:
         packed = array("H" if self.width == 2 else "I", ids)
@@ -143,8 +144,9 @@ class ChunkEncoder:
             got = list(map(self._cache.get, part))
             if None in got:
                 missing = {c for c, ids in zip(part, got) if ids is None}
-                if self._learn(missing):  # the cache was emptied: learn the others again
-                    self._learn(set(part).difference(self._cache))
+                self._learn(missing)
                 got = map(self._cache.__getitem__, part)
             out.append(b"".join(got))
+            if len(self._cache) > self._most:
+                self._older, self._cache = self._cache, {"": b""}
         return out[0] if len(out) == 1 else b"".join(out)
