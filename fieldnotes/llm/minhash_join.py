@@ -1,25 +1,27 @@
 """MinHash near-duplicates by a multi-index Hamming join.
 
 1. Each text becomes the set of its word shingles (64-bit hashes), its number
-   of shingles, a hash of the whole set, and a MinHash signature. Texts with
-   equal sets are one node from here on, however many copies there are.
+   of shingles, a 128-bit hash of the whole set, and a MinHash signature. Texts
+   with equal sets are one node from here on, however many copies there are.
 2. ``SYMBOLS`` signature symbols of 16 bits are split into ``CHUNKS`` chunks.
    By the pigeonhole principle, two signatures that differ in fewer than
    2 * CHUNKS symbols have a chunk with at most one error, so they share a key
    when every chunk is entered once for each symbol left out. A pair at the
    asked similarity fails this with a probability of about 1e-6 or less.
-3. Nodes that share keys, directly or through others, make a cluster. It is
-   compared in blocks of ``BLOCK`` nodes or ``BLOCK_SHINGLES`` shingles: pairs whose sizes allow it and whose
-   long signatures (``LONG`` symbols of 8 bits) are near enough are confirmed on
-   the full sets, unless links found in that block have joined them already.
-   Only links that join components leave a task, never the pairs.
+3. Nodes that share a key are candidates (``links.py``): pairs whose sizes allow
+   it and whose long signatures (``LONG`` symbols of 8 bits) are near enough are
+   confirmed on the full sets, unless links have joined them already. Only
+   links that join components leave a task, never the pairs.
 4. Components of all confirmed links; each is named by its smallest doc_id.
 
 Every link is either confirmed, or inside a component already.
 
 Defined results: NULL, empty and white texts have the empty set, which links
-with nothing: such a document is its own component, and kept. Rows with
-equal doc_id are each returned. An empty table gives no rows.
+with nothing: such a document is its own component, and kept. Very long
+texts are taken whole. Rows with equal doc_id are each returned, whether their
+texts are equal or not; NULL doc_ids count as larger than all others. Ties:
+of equal sets and of a component, the smallest doc_id names it. An empty table
+gives no rows. Other columns are never read, whatever their names.
 """
 
 from __future__ import annotations
@@ -33,12 +35,12 @@ from pyspark.sql import functions as F
 
 from fieldnotes.llm.common import pa_schema, small_batches, stage, text_of, unstage
 from fieldnotes.llm.components import components
+from fieldnotes.llm.links import links, signatures_near
 
 SYMBOLS, CHUNKS, LONG = 32, 8, 256
 WIDTH = SYMBOLS // CHUNKS
-BLOCK, BLOCK_SHINGLES = 2048, 2_000_000  # nodes, and shingles on average, of a block
 BATCH = 512
-FEATURES = "doc_id bigint, n_shingles bigint, node bigint, sig binary, keys array<bigint>"
+FEATURES = "doc_id bigint, n_shingles bigint, hash bigint, check bigint, sig binary, keys array<bigint>"
 _BASE = 0x9E3779B97F4A7C15
 _LOW = np.arange(256, dtype=np.uint8)
 _LOW[ord("A"):ord("Z") + 1] += 32
@@ -118,9 +120,11 @@ def chunk_keys(values: np.ndarray) -> np.ndarray:
     return out.reshape(len(values), -1)
 
 
-def set_hash(s: np.ndarray) -> int:
-    total = (int(mix(s + np.uint64(len(s))).sum(dtype=np.uint64)) * _BASE + len(s)) % (1 << 64)
-    return total - (1 << 64) if total >> 63 else total
+def set_hash(s: np.ndarray) -> tuple[int, int]:
+    """128 bits of a set."""
+    sums = [int(mix(s ^ np.uint64(salt)).sum(dtype=np.uint64)) for salt in (len(s), _BASE)]
+    out = [(x * _BASE + len(s)) % (1 << 64) for x in sums]
+    return tuple(x - (1 << 64) if x >> 63 else x for x in out)
 
 
 def features(docs: DataFrame, size: int) -> DataFrame:
@@ -134,9 +138,10 @@ def features(docs: DataFrame, size: int) -> DataFrame:
             sets = [shingles(t, size) for t in batch.column(1).to_pylist()]
             sigs = np.stack([signature(s) if len(s) else np.zeros(LONG, np.uint32) for s in sets])
             keys = chunk_keys(sigs).view(np.int64)
+            hashes = [set_hash(s) for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([set_hash(s) for s in sets], pa.int64()),
+                 *(pa.array([h[k] for h in hashes], pa.int64()) for k in (0, 1)),
                  pa.array([s.tobytes() for s in sigs.astype(np.uint8)], pa.binary()),
                  pa.ListArray.from_arrays(np.arange(len(sets) + 1, dtype=np.int32) * keys.shape[1],
                                           pa.array(keys.ravel()))], schema=schema)
@@ -145,23 +150,24 @@ def features(docs: DataFrame, size: int) -> DataFrame:
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """(node, n, sig, full) with the full set of each wanted node."""
-    ddl = "node bigint, n bigint, sig binary, full binary"
+    """(node, n, need, sketch, full) of each wanted node."""
+    ddl = "node bigint, n bigint, need int, sketch binary, full binary"
     schema = pa_schema(ddl)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingles(t, size) for t in batch.column("text").to_pylist()]
+            named = zip(batch.column("hash").to_pylist(), batch.column("check").to_pylist())
             # another row of that doc_id may hold another text
-            own = pa.array([i for i, (s, node) in enumerate(zip(sets, batch.column("node").to_pylist()))
-                            if set_hash(s) == node], pa.int64())
+            own = pa.array([i for i, (s, h) in enumerate(zip(sets, named)) if set_hash(s) == h], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c).take(own) for c in ("node", "n", "sig")),
+                [*(batch.column(c).take(own) for c in ("node", "n")), pa.array([0] * len(own), pa.int32()),
+                 batch.column("sig").take(own),
                  pa.array([sets[i].tobytes() for i in own.to_pylist()], pa.binary())], schema=schema)
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), text_of().alias("text"))
-    return (texts.join(wanted.withColumnRenamed("rep", "of"), F.col("rep").eqNullSafe(F.col("of")))
-            .select("node", "n", "sig", "text").mapInArrow(run, ddl).dropDuplicates(["node"]))
+    texts = docs.select(F.col("doc_id").cast("long").alias("of"), text_of().alias("text"))
+    return (texts.join(wanted, F.col("rep").eqNullSafe(F.col("of")))
+            .select("node", "hash", "check", "n", "sig", "text").mapInArrow(run, ddl).dropDuplicates(["node"]))
 
 
 def most_errors(similarity: float) -> int:
@@ -171,116 +177,24 @@ def most_errors(similarity: float) -> int:
     return int(np.ceil(LONG * p + 5.2 * np.sqrt(LONG * p * (1 - p))))
 
 
-def _links_between(rows: DataFrame, errors: int, num: int, den: int) -> DataFrame:
-    """Links (a, b) within a group (cluster, i, j): pairs of blocks i and j that
-    are not in one component yet are compared by size and long signature, and
-    those left on their full sets. At most one link per row of a group goes out.
-    ``part`` is the block of a row."""
-    ddl = "a bigint, b bigint"
-    schema = pa_schema(ddl)
-    names = ("node", "n", "part", "i", "j", "sig", "full")
-
-    def search(cols: dict) -> list[tuple[int, int]]:
-        node, n, part = (np.array(cols[c]) for c in ("node", "n", "part"))
-        label = np.arange(len(node))
-        i, j = cols["i"][0], cols["j"][0]
-        sig = np.frombuffer(b"".join(cols["sig"]), np.uint8).reshape(-1, LONG)
-        sets = [np.frombuffer(f, np.uint64) for f in cols["full"]]
-        left, right = np.flatnonzero(part == i), np.flatnonzero(part == j)
-        out = []
-        for x in left:
-            others = right[(label[right] != label[x])
-                           & (den * np.minimum(n[right], n[x]) >= num * np.maximum(n[right], n[x]))]
-            if i == j:
-                others = others[node[others] > node[x]]
-            if len(others):
-                others = others[(sig[others] != sig[x]).sum(1) <= errors]
-            if not len(others):
-                continue
-            words = np.concatenate([sets[y] for y in others])
-            at = np.minimum(np.searchsorted(sets[x], words), len(sets[x]) - 1)
-            starts = np.cumsum([0, *[len(sets[y]) for y in others[:-1]]])
-            both = np.add.reduceat((sets[x][at] == words).astype(np.int64), starts)
-            for y in others[den * both >= num * (n[x] + n[others] - both)]:
-                if label[y] != label[x]:
-                    out.append((int(node[x]), int(node[y])))
-                    label[label == label[y]] = label[x]
-        return out
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list] = {c: [] for c in names}
-        at, found = None, []
-
-        def batch_of(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], schema=schema)
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            cols = batch.to_pydict()
-            groups = list(zip(cols["cluster"], cols["i"], cols["j"]))
-            first = 0
-            while first < len(groups):
-                to = first + 1
-                while to < len(groups) and groups[to] == groups[first]:
-                    to += 1
-                if groups[first] != at:
-                    if len(held["node"]) > 1:
-                        found += search(held)
-                    at, held = groups[first], {c: [] for c in names}
-                for c in names:
-                    held[c] += cols[c][first:to]
-                first = to
-            if found:
-                yield batch_of(found)
-                found = []
-        if len(held["node"]) > 1:
-            yield batch_of(search(held))
-
-    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (rows.repartition(n, "cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "node")
-            .select("cluster", *names).mapInArrow(run, ddl))
-
-
 def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row; texts are linked
     when den * |intersection| >= num * |union| of their shingle sets."""
-    spark = docs.sparkSession
-    errors = most_errors(num / den)
-
     rows = stage(features(docs, size), "features")
-    nodes = stage(rows.where("n_shingles > 0").groupBy("node").agg(
+    nodes = stage(rows.where("n_shingles > 0").groupBy("hash", "check").agg(
         F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"),
-        F.first("sig").alias("sig"), F.first("keys").alias("keys")), "nodes")
+        F.first("sig").alias("sig"), F.first("keys").alias("keys"))
+        .withColumn("node", F.monotonically_increasing_id()), "nodes")
 
     keys = nodes.select("node", F.explode(F.array_distinct("keys")).alias("key"))
-    shared = (keys.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min("node").alias("centre"))
-              .where("members > 1").select("key", "centre"))
-    shared = stage(keys.join(shared, "key").select("node", "centre").distinct(), "shared-keys")
-    wanted = nodes.join(shared.select("node").distinct(), "node", "left_semi")
-    sets = stage(_full_sets(docs, wanted, size), "full-sets")
-
-    # all nodes that share keys, directly or through others
-    clusters = components(shared.select(F.col("centre").alias("a"), F.col("node").alias("b")))
-    members = stage(clusters.select("node", F.col("component").alias("cluster")), "clusters")
-    blocks = F.col("blocks")
-    sizes = members.join(nodes.select("node", "n"), "node").groupBy("cluster").agg(
-        F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    grouped = (members.join(sizes, "cluster")
-               .withColumn("part", F.pmod(F.xxhash64("node"), blocks).cast("int"))
-               .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-               .join(sets, "node")
-               .select("cluster", "node", "n", "sig", "full", "part", F.least("part", "other").alias("i"),
-                       F.greatest("part", "other").alias("j")))
-    links = stage(_links_between(grouped, errors, num, den), "links")
-
-    whole = components(links)
-    named = (nodes.select("node", "rep").join(whole, "node", "left")
+    sets_of = lambda wanted: _full_sets(docs, nodes.drop("keys").join(wanted, "node", "left_semi"), size)
+    whole = components(links(keys, sets_of, signatures_near(most_errors(num / den), LONG), num, den))
+    named = (nodes.select("node", "hash", "check", "rep").join(whole, "node", "left")
              .withColumn("component", F.coalesce("component", "node")))
     names = named.groupBy("component").agg(F.min("rep").alias("component_id"))
-    named = stage(named.join(names, "component").select("node", "component_id"), "components")
-    unstage(nodes, shared, sets, members, links)
-    got = rows.select("doc_id", "n_shingles", "node").join(named, "node", "left")
+    named = stage(named.join(names, "component").select("hash", "check", "component_id"), "components")
+    unstage(nodes)
+    got = rows.select("doc_id", "n_shingles", "hash", "check").join(named, ["hash", "check"], "left")
     mine = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return got.select("doc_id", "n_shingles", mine.alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

@@ -4,7 +4,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from fieldnotes.llm import minhash_join
+from fieldnotes.llm import links, minhash_join
 from fieldnotes.llm.components import components
 from tests.llm.conftest import words
 
@@ -63,7 +63,7 @@ def test_like_brute_force(make, seed, size, num, den):
 def test_a_large_group_in_blocks(make, monkeypatch):
     """Copies of one text, edited little and much: few links are near the
     limit, and the group is larger than a block."""
-    monkeypatch.setattr(minhash_join, "BLOCK", 16)
+    monkeypatch.setattr(links, "BLOCK", 16)
     rng = np.random.default_rng(3)
     w = words(rng, 150, 4000).split()
     rows = []
@@ -78,6 +78,14 @@ def test_a_large_group_in_blocks(make, monkeypatch):
     assert 1 < len({r[2] for r in want}) < 110
 
 
+def test_set_hash_has_two_halves():
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, 1 << 63, int(n)).astype(np.uint64)) for n in rng.integers(1, 9, 500)]
+    for k in (0, 1):
+        assert len({minhash_join.set_hash(s)[k] for s in sets}) == 500
+    assert all(minhash_join.set_hash(s)[0] != minhash_join.set_hash(s)[1] for s in sets)
+
+
 def test_pigeonhole_of_keys():
     rng = np.random.default_rng(7)
     a = rng.integers(0, 1 << 32, (200, minhash_join.LONG), dtype=np.uint32)
@@ -111,8 +119,8 @@ def test_empty_table(make):
 
 
 def test_components_of_chains_stars_and_rings(spark):
-    links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)] + [(200, 201), (201, 202), (202, 200), (300, 300)]
-    got = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
+    chains = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)] + [(200, 201), (201, 202), (202, 200), (300, 300)]
+    got = {r["node"]: r["component"] for r in components(spark.createDataFrame(chains, "a bigint, b bigint")).collect()}
     assert {n for n in got if got[n] == 0} == set(range(41))
     assert {n for n in got if got[n] == 100} == set(range(100, 140))
     assert {n for n in got if got[n] == 200} == {200, 201, 202}
