@@ -7,6 +7,9 @@ Two ways to draw:
   pure function of its key. Results do not depend on partitioning, task
   retries or lost executors (a recomputed partition draws the same rows),
   and can be checked by SQL.
+* ``method='poisson'`` (oversampling): with replacement. A row's number of
+  copies is the Poisson quantile of its ``uniform(key)``, so it is as
+  repeatable as the hash draw.
 * ``method='random'``: Spark's seeded samplers (``randomSplit``,
   ``sampleBy``, ``sample``) -- per-row Bernoulli / Poisson draws.
 
@@ -107,6 +110,8 @@ def oversample(df: DataFrame, key: str | None = None, label_count: str = "label_
     ``hash``: a minority row gets ``floor(r)`` copies plus one more when
     ``uniform(key) < r - floor(r)`` (``r`` = majority / minority), numbered
     in ``copy_col``; no shuffle, output grows by the minority's share only.
+    ``poisson``: Poisson(r) copies per row, as a draw with replacement gives
+    them, by ``poisson_copies``; a row drawn 0 times is left out.
     ``random``: Poisson(r) copies per row (``sample`` with replacement).
     """
     y = _y(label_count)
@@ -120,15 +125,52 @@ def oversample(df: DataFrame, key: str | None = None, label_count: str = "label_
     if method == "random":
         return labelled.filter(~minority).unionByName(
             labelled.filter(minority).sample(True, r, seed))
+    if method == "poisson":
+        drawn, copies = poisson_copies(labelled, key, r, salt)
+        k = F.when(minority, copies).otherwise(F.lit(1))
+        return _repeated(drawn.withColumn("__k", k.cast("int")), copy_col).select(*labelled.columns, copy_col)
     whole = math.floor(r)
     extra = F.when(uniform(key, salt) < F.lit(r - whole), 1).otherwise(0)
     k = F.when(minority, F.lit(whole) + extra).otherwise(F.lit(1))
-    return (labelled.withColumn("__k", k.cast("int"))
-            .filter(F.col("__k") > 0)
+    return _repeated(labelled.withColumn("__k", k.cast("int")), copy_col)
+
+
+def _repeated(df: DataFrame, copy_col: str) -> DataFrame:
+    """Each row ``__k`` times, numbered from 0."""
+    return (df.filter(F.col("__k") > 0)
             .withColumn(copy_col, F.explode(F.sequence(F.lit(0), F.col("__k") - 1)))
             .drop("__k"))
 
 
+#: One uniform number serves rates up to this; larger ones are split, as sums
+#: of independent Poisson counts are Poisson.
+POISSON_RATE = 32.0
+
+
+def poisson_quantiles(rate: float) -> list[float]:
+    """P(count <= 0), P(count <= 1), ... until nothing is left in a double."""
+    out, term, total, k = [], math.exp(-rate), 0.0, 0
+    while total + term > total or k <= rate:
+        total += term
+        out.append(total)
+        k += 1
+        term *= rate / k
+    return out
+
+
+def poisson_copies(df: DataFrame, key: str, rate: float, salt: str | None = None) -> tuple[DataFrame, Column]:
+    """``df`` with the uniform numbers it needs, and the Poisson(rate) count of
+    each row as a column of it: how many quantiles its number has reached.
+    The numbers are columns of their own, as a key's hash should be made once
+    per row and not once per quantile."""
+    parts = max(1, math.ceil(rate / POISSON_RATE))
+    reached = poisson_quantiles(rate / parts)
+    df = df.withColumns({f"__u{i}": uniform(key, salt if i == 0 else f"{salt or ''}#{i}") for i in range(parts)})
+    one = lambda u: ("CASE " + " ".join(f"WHEN {u} < {c!r}D THEN {k}" for k, c in enumerate(reached))
+                     + f" ELSE {len(reached)} END")
+    return df, F.expr(" + ".join(f"({one(f'__u{i}')})" for i in range(parts)))
+
+
 def hash_sample(df: DataFrame, key: str, rate: float, salt: str | None = None) -> DataFrame:
     """Keep each row with probability ``rate`` by the hash of its key."""
     return df.filter(uniform(key, salt) < F.lit(float(rate)))

@@ -10,10 +10,14 @@ feature or category holding most rows is summed map-side, not in one task.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldnotes.functions.cells import finite_or_zero
+from fieldnotes.functions.cells import finite_or_zero, quote_ident, sql_str
 
 
 
@@ -94,6 +98,21 @@ def pearson_scores(cells: DataFrame, label: str, pairwise: bool = False,
 ROW_MARKER = "__row"
 
 
+def _by_feature(stats: DataFrame, features: list[str], totals: dict[str, str]) -> DataFrame:
+    """A row of ``stats`` for each of ``features`` (zeros where it has none),
+    with figures of the row marker under the names ``totals`` gives.
+
+    ``stats`` has one row per feature, so it is bounded by the schema: it is
+    made one map, from which the asked features are looked up. That is one small
+    exchange; a join with the names and windows for the totals are several.
+    """
+    own = [c for c in stats.columns if c != "feature"]
+    one = stats.agg(F.expr(f"map_from_entries(collect_list(struct(feature, struct({', '.join(own)}))))").alias("m"))
+    rows = one.selectExpr("m", f"explode(array({', '.join(map(sql_str, features))})) AS feature")
+    return rows.selectExpr("feature", *[f"coalesce(m[feature].{c}, 0) AS {c}" for c in own],
+                           *[f"coalesce(m['{ROW_MARKER}'].{c}, 0) AS {name}" for name, c in totals.items()])
+
+
 def sparse_measures(cells: DataFrame, features: list[str], label: str | None = None) -> DataFrame:
     """``feature, n, mean[, score]`` for every one of ``features``, from sparse
     cells (see ``parse.sparse_cells``) in one aggregate: the numbers that
@@ -117,14 +136,14 @@ def sparse_measures(cells: DataFrame, features: list[str], label: str | None = N
             F.avg(F.when(~null, _y())).alias("y1"),
             F.avg(F.when(null, _y())).alias("m1"), F.var_pop(F.when(null, _y())).alias("m2"),
             F.avg(_y()).alias("a1"), F.var_pop(_y()).alias("a2")]
-    spark = cells.sparkSession
-    asked = spark.createDataFrame([(f,) for f in [ROW_MARKER, *features]], "feature string")
-    every = Window.partitionBy()  # one row per feature
-    total = lambda c: F.max(F.when(F.col("feature") == ROW_MARKER, F.col(c))).over(every)
-    t = asked.join(cells.groupBy("feature").agg(*aggs), "feature", "left").withColumn("rows", total("cells"))
-    if scored:
-        t = t.withColumn("l_rows", total("l_cells")).withColumn("ybar", total("a1")).withColumn("yvar", total("a2"))
-    t = t.filter(F.col("feature") != ROW_MARKER).fillna(0)
+    return _measured(cells.groupBy("feature").agg(*aggs), features, scored)
+
+
+def _measured(stats: DataFrame, features: list[str], scored: bool) -> DataFrame:
+    """``feature, n, mean[, score]`` put together from the figures of each
+    feature's non-zero and missing cells, and of the row marker."""
+    t = _by_feature(stats, features,
+                    {"rows": "cells", **({"l_rows": "l_cells", "ybar": "a1", "yvar": "a2"} if scored else {})})
     n = F.coalesce("rows", F.lit(0)) - F.col("missing")
     out = [F.col("feature"), n.alias("n"), F.try_divide(F.col("sx"), n).alias("mean")]
     if not scored:
@@ -148,6 +167,121 @@ def sparse_measures(cells: DataFrame, features: list[str], label: str | None = N
     return t.select(*out, F.abs(finite_or_zero(r)).alias("score"))
 
 
+#: Partial figures of a feature (or the row marker): counts, sums, and means
+#: with their summed squares or products around them.
+_COUNTS = ("cells", "missing", "l_cells", "l_missing", "k")
+_PARTIAL = (*_COUNTS, "sx", "x1", "x2", "y1", "xy", "m1", "m2", "a1", "a2")
+#: (count, mean, mean, products around the two) of each group of figures
+_MOMENTS = (("k", "x1", "x1", "x2"), ("k", "x1", "y1", "xy"), ("l_missing", "m1", "m1", "m2"),
+            ("l_cells", "a1", "a1", "a2"))
+_STATS = "feature string, " + ", ".join(f"{c} {'bigint' if c in _COUNTS else 'double'}" for c in _PARTIAL)
+
+
+def _joined(a: dict[str, np.ndarray], b: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """Figures of two parts of the rows, put together."""
+    out = {c: a[c] + b[c] for c in (*_COUNTS, "sx")}
+    for n, u, v, products in _MOMENTS:
+        share = b[n] / np.maximum(out[n], 1)
+        du, dv = b[u] - a[u], b[v] - a[v]
+        out[products] = a[products] + b[products] + a[n] * share * du * dv
+        out[u], out[v] = a[u] + share * du, a[v] + share * dv
+    return out
+
+
+def _moments(u: np.ndarray, w: np.ndarray) -> tuple[float, float, float, float]:
+    """Both means, the squares around the first and the products around both."""
+    if not len(u):
+        return 0.0, 0.0, 0.0, 0.0
+    mean_u, mean_w = u.mean(), w.mean()
+    du = u - mean_u
+    return mean_u, mean_w, du @ du, du @ (w - mean_w)
+
+
+def _figures(columns: list[np.ndarray], y: np.ndarray) -> dict[str, np.ndarray]:
+    """Figures of a batch, a column per feature and the labels ``y`` (NaN is
+    missing). Only non-zero and missing cells are gone through."""
+    out = {c: np.zeros(len(columns) + 1, np.int64 if c in _COUNTS else float) for c in _PARTIAL}
+    labelled = ~np.isnan(y)
+    whole = labelled.all()
+    for f, column in enumerate(columns):
+        at = np.flatnonzero(column)
+        u, label = column[at], y[at]
+        null = np.isnan(u)
+        if null.any():
+            gone = label[null] if whole else label[null & labelled[at]]
+            out["missing"][f], out["l_missing"][f] = np.count_nonzero(null), len(gone)
+            out["m1"][f], _, out["m2"][f], _ = _moments(gone, gone)
+            u, label, at = u[~null], label[~null], at[~null]
+        out["sx"][f] = u.sum()
+        if not whole:
+            u, label = u[labelled[at]], label[labelled[at]]
+        out["k"][f] = len(u)
+        out["x1"][f], out["y1"][f], out["x2"][f], out["xy"][f] = _moments(u, label)
+    own = y[labelled]  # the row marker is last
+    out["cells"][-1], out["l_cells"][-1] = len(y), len(own)
+    out["a1"][-1], _, out["a2"][-1], _ = _moments(own, own)
+    return out
+
+
+def wide_stats(wide: DataFrame, features: list[str], label: str | None = None) -> DataFrame:
+    """The aggregate of sparse cells (``sparse_measures``) from one scan of a
+    wide table, whatever its width.
+
+    Unpivoted cells need a narrow ``Expand`` to stay compiled, so a wide table
+    is scanned once per slice of columns. Here a task takes its rows as Arrow
+    batches, adds up the non-zero and missing cells of all columns at once, and
+    hands on one row per feature, as a partial aggregate does. Those rows meet
+    by feature and are joined one after another, means with the squares around
+    them, so nothing is lost to rounding and a task holds one feature's figures.
+    """
+    y = f"CAST({quote_ident(label)} AS DOUBLE)" if label else "CAST(NULL AS DOUBLE)"
+    base = wide.selectExpr(f"{y} AS __y", *[f"CAST({quote_ident(c)} AS DOUBLE) AS {quote_ident(f'__{i}')}"
+                                            for i, c in enumerate(features)])
+    schema = pa.schema([("feature", pa.string()), *((c, pa.int64() if c in _COUNTS else pa.float64()) for c in _PARTIAL)])
+    names = [*features, ROW_MARKER]
+
+    def rows(feature: list[str], figures: dict[str, np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(feature), *(pa.array(figures[c], schema.field(c).type) for c in _PARTIAL)],
+                                          schema=schema)
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if batch.num_rows:
+                y, *columns = [c.to_numpy(zero_copy_only=False).astype(float, copy=False) for c in batch.columns]
+                got = _figures(columns, y)
+                held = _joined(held, got) if held else got
+        if held:
+            yield rows(names, held)
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, None
+        for batch in batches:
+            columns = {c: batch.column(c).to_numpy() for c in _PARTIAL}
+            for i, feature in enumerate(batch.column("feature").to_pylist()):
+                got = {c: x[i:i + 1] for c, x in columns.items()}
+                if feature == at:
+                    held = _joined(held, got)
+                    continue
+                if held:
+                    yield rows([at], held)
+                at, held = feature, got
+        if held:
+            yield rows([at], held)
+
+    joined = (base.mapInArrow(add_up, _STATS).repartition("feature").sortWithinPartitions("feature")
+              .mapInArrow(join, _STATS))
+    per = lambda products, n: F.try_divide(F.col(products), F.col(n)).alias(products)
+    return joined.select("feature", *_COUNTS, "sx", "x1", per("x2", "k"), "y1", per("xy", "k"), "m1",
+                         per("m2", "l_missing"), "a1", per("a2", "l_cells"))
+
+
+def wide_measures(wide: DataFrame, features: list[str], label: str | None = None) -> DataFrame:
+    """``feature, n, mean[, score]`` of every one of ``features``, as
+    ``sparse_measures`` gives them, from one scan of the wide table."""
+    return _measured(wide_stats(wide, features, label), features, label is not None)
+
+
 def feature_means_sparse(cells: DataFrame, features: list[str]) -> DataFrame:
     """``feature, n, mean`` of every feature, from sparse cells."""
     return sparse_measures(cells, features)

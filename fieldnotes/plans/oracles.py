@@ -378,3 +378,42 @@ SELECT * FROM (VALUES ('prefix', 1, 'features=1', 1.0e0), ('final', 2, 'continuo
 t(search, trial, params, accuracy)"""
 ORACLES["partition_by_feature"] = OBS_CTE + _union(
     f"SELECT '{c}' AS feature, count({c}) AS n, 1 AS n_partitions FROM obs" for c in _OBS_NUMERIC)
+_VOTERS = """WITH e AS (SELECT event_id, event_id % 2 AS y, event_id // 2 AS h FROM events),
+x AS (SELECT event_id, concat('S', event_id::VARCHAR) AS sampling_id, y,
+        CASE WHEN h % 10 = 0 THEN 1 - y ELSE y END AS x1,
+        CASE WHEN h % 5 IN (1, 2) THEN 1 - y ELSE y END AS x2,
+        CASE WHEN h % 5 IN (3, 4) THEN 1 - y ELSE y END AS x3 FROM e)
+"""
+# the strong tree's leaves hold 9 in 10, the weak ones' 6 in 10: (0.9 + 0.4 + 0.4) / 3 > 0.5
+ORACLES["forest_votes"] = _VOTERS + """
+SELECT sampling_id, y::INT AS label, (x1 + x2 + x3 >= 2)::INT AS by_votes, x1::INT AS by_average FROM x"""
+ORACLES["tune_trees"] = _VOTERS + f""",
+t AS (SELECT y = x2 AS one, y = (x2 + x3 > 1)::INT AS two, y = (x1 + x2 + x3 > 1)::INT AS three
+      FROM x WHERE {_u('event_id', 'split')} >= 0.7),
+a AS (SELECT unnest([1, 2, 3]) AS trial, unnest([avg(one::INT), avg(two::INT), avg(three::INT)]) AS accuracy FROM t)
+SELECT 'numTrees' AS search, trial::INT AS trial, 'numTrees=' || trial AS params, accuracy FROM a
+UNION ALL SELECT 'numTrees:best', 0, 'continuous=3 categorical=0 trees=' || arg_min(trial, (-accuracy, trial)) || ' depth=1',
+  max(accuracy) FROM a"""
+ORACLES["oversample_poisson"] = OBS_CTE + _SIZES + f""",
+c AS (SELECT sum(exp(k * ln(r) - r - lgamma(k + 1))) OVER (ORDER BY k) AS reached
+      FROM (SELECT greatest(n0, n1) / least(n0, n1) AS r FROM sizes), (SELECT unnest(range(80)) AS k)),
+l AS (SELECT event_id, (label_count > 0)::INT AS label, {_u('event_id', 'sample')} AS u,
+             (label_count > 0) = (n0 > n1) AND n0 <> n1 AS few
+      FROM obs, sizes WHERE label_count IS NOT NULL),
+d AS (SELECT event_id, label, count(reached) AS n FROM l JOIN c ON few AND reached <= u GROUP BY ALL
+      UNION ALL SELECT event_id, label, 1 FROM l WHERE NOT few)
+SELECT event_id, label, unnest(range(n))::INT AS copy FROM d"""
+ORACLES["wide_measures"] = """
+WITH e AS (SELECT event_id, user_id, value,
+             CASE WHEN event_id % 17 = 0 THEN NULL ELSE (event_id % 7)::DOUBLE END AS y FROM events),
+c AS (SELECT i, y, CASE WHEN (event_id + i) % 97 = 0 THEN NULL
+                        WHEN (event_id * 7 + user_id + i) % 10 = 0 THEN value * (i % 7 + 1) + i ELSE 0.0e0 END AS x
+      FROM e, (SELECT unnest(range(420)) AS i)),
+m AS (SELECT avg(y) AS ybar FROM e),
+s AS (SELECT i, count(x) AS n, avg(x) AS mean, avg(x) FILTER (y IS NOT NULL) AS mx,
+             var_pop(x) FILTER (y IS NOT NULL) AS vx, covar_pop(x, y) AS cxy,
+             avg(y) FILTER (x IS NOT NULL) AS my, var_pop(y) FILTER (x IS NOT NULL) AS vy
+      FROM c GROUP BY i)
+SELECT 'w' || i AS feature, n, round(mean, 6) AS mean,
+       round(abs((cxy + mx * (my - ybar)) / (sqrt(vx) * sqrt(vy + (my - ybar) * (my + ybar)))), 6) AS score
+FROM s, m"""

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fieldnotes.functions.cells import binary_label
-from fieldnotes.operators import balance, checks, forest, measures, search, vectors
+from fieldnotes.operators import balance, checks, forest, measures, search, vectors, votes
 from fieldnotes.operators import parse as P
 from fieldnotes.operators.parse import parse
 from fieldnotes.plans.fixtures import DOCS_SPEC, OBS_SPEC, docs, obs, obs_raw, table
@@ -657,3 +657,75 @@ QUERIES.update({
     "file_sample": file_sample,
     "predictions_in_order": predictions_in_order,
 })
+
+
+# -- one vote per tree. Three planted 0/1 features agree with the label in 9, 6
+# and 6 of 10 rows; a tree of depth 1 that may look at one feature only takes
+# one of them, as the seed has it. By votes two weak features overrule the
+# strong one, by averaged probabilities they don't ---------------------------
+
+VOTE_SPEC = FeatureSpec(columns=("event_id", "sampling_id", "x1", "x2", "x3", "label_count"), label="label_count",
+                        key="sampling_id", carry=("event_id",), id_cols=("sampling_id",))
+VOTE_FEATURES = ["x1", "x2", "x3"]
+#: seeds by which the trees take x1, x2, x3 and x2, x3, x1
+VOTERS = forest.ForestParams(num_trees=3, max_depth=1, max_bins=8, bootstrap=False, subset_strategy="1", seed=13)
+STRONG_LAST = VOTERS.with_(seed=1)
+
+
+def _voters(spark, sf):
+    e = F.col("event_id")
+    y, h = e % 2, F.floor(e / 2)
+    noisy = lambda odd: F.when(odd, 1 - y).otherwise(y).cast("double")
+    return obs(spark, sf).select(
+        "event_id", "sampling_id", y.cast("double").alias("label_count"), noisy(h % 10 == 0).alias("x1"),
+        noisy((h % 5).isin(1, 2)).alias("x2"), noisy((h % 5).isin(3, 4)).alias("x3"))
+
+
+def forest_votes(spark, sf):
+    """Predictions by one vote per tree, and by averaged probabilities."""
+    rows = _voters(spark, sf)
+    model = forest.train(rows, VOTE_SPEC, VOTE_FEATURES, VOTERS)
+    voted = votes.score_by_votes(model, rows, "sampling_id", out="by_votes", keep=["label_count", *VOTE_FEATURES])
+    both = model.transform(voted).select("sampling_id", F.col("label_count").cast("int").alias("label"), "by_votes",
+                                         F.col("prediction").cast("int").alias("by_average"))
+    return both
+
+
+def tune_trees(spark, sf):
+    """Holdout accuracy of 1, 2 and 3 trees from one fit, and the best."""
+    train, holdout = balance.split(_voters(spark, sf), "event_id", salt="split")
+    data = search.prepare(train, holdout, VOTE_SPEC, VOTE_FEATURES)
+    best, acc, trials, tuned = search.tune_trees(data, VOTE_FEATURES, STRONG_LAST, 1, 3)
+    trials.append(("numTrees:best", 0, search.report_params(VOTE_SPEC, VOTE_FEATURES, tuned), acc))
+    data.release()
+    return search.trials_frame(spark, trials)
+
+
+def oversample_poisson(spark, sf):
+    """Draws with replacement, by the quantiles of each key's uniform number."""
+    rows = balance.oversample(obs(spark, sf), key="event_id", method="poisson")
+    return rows.select("event_id", binary_label("label_count").cast("int").alias("label"),
+                       F.col("copy").cast("int").alias("copy"))
+
+
+WIDE = [f"w{i}" for i in range(420)]
+
+
+def wide_measures(spark, sf):
+    """Means and Pearson scores of 420 derived columns, most cells zero, from
+    one scan."""
+    cells = [f"""CASE WHEN (event_id + {i}) % 97 = 0 THEN NULL WHEN (event_id * 7 + user_id + {i}) % 10 = 0
+                 THEN value * {i % 7 + 1} + {i} ELSE 0D END AS w{i}""" for i in range(len(WIDE))]
+    # few row groups hold the narrow table: derive on all cores
+    narrow = table(spark, sf, "events").select("event_id", "user_id", "value")
+    wide = narrow.repartition(spark.sparkContext.defaultParallelism, "event_id").selectExpr(
+        "CASE WHEN event_id % 17 = 0 THEN NULL ELSE CAST(event_id % 7 AS DOUBLE) END AS y", *cells)
+    return measures.wide_measures(wide, WIDE, "y").select("feature", "n", r6("mean").alias("mean"), r6("score").alias("score"))
+
+
+QUERIES.update({
+    "forest_votes": forest_votes,
+    "tune_trees": tune_trees,
+    "oversample_poisson": oversample_poisson,
+    "wide_measures": wide_measures,
+})
