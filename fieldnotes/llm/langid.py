@@ -7,9 +7,21 @@ letters read as a space) of a bounded sample per language: at most about
 2^16 columns and a row per language; it goes to the tasks with the function
 and scores a batch by gathering and summing in numpy.
 
-Defined results: a NULL text, or one without a letter, is ``und`` with score
-0; labels that are NULL don't train; with no training rows at all every text
-is ``und``; equal texts get equal results.
+The score compares the learned languages with each other, so a text in
+another language can score high. ``accepted`` therefore asks how well the
+winning language explains the text at all: its mean log probability per n-gram
+must lie within ``DEVIATIONS`` standard deviations of what labelled texts that
+were not trained on have in that language (``spread``). A deviation has a part
+between documents and a part that shrinks with the text's length, so short
+texts are judged mildly.
+
+Defined results: a NULL text, or one without a letter (of any plane of
+Unicode), is ``und`` with score 0; labels that are NULL don't train; with no
+training rows at all every text is ``und``; equal texts get equal results, also
+where two languages tie (the first by name wins). Very long texts are scored
+whole. Rows that repeat a doc_id are each returned. An empty table gives no
+rows. Columns of the input named lang_pred or score are replaced; other names
+don't clash. A language without spread accepts all its texts.
 """
 
 from __future__ import annotations
@@ -35,7 +47,7 @@ EVIDENCE = 40
 BATCH = 512
 CHARS = 1 << 20
 UNKNOWN = "und"
-LEAST_SCORE = 0.3
+DEVIATIONS = 6.0
 
 
 @cache
@@ -52,12 +64,15 @@ def _letters() -> np.ndarray:
 
 def normalised(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Code points of all texts in a row, and where each begins (one more at
-    the end). Letters above the basic plane stay as they are."""
+    the end). Letters above the basic plane stay as they are; what is no letter
+    is a space there, too."""
     points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
     bounds = np.zeros(len(texts) + 1, np.int64)
     np.cumsum([len(t) for t in texts], out=bounds[1:])
     low = _letters()[np.minimum(points, 0xFFFF)]
-    return np.where(points > 0xFFFF, points, low), bounds
+    high = np.unique(points[points > 0xFFFF])
+    letters = np.array([p for p in high.tolist() if p < 0x110000 and chr(p).isalpha()], np.uint32)
+    return np.where(np.isin(points, letters), points, np.where(points > 0xFFFF, np.uint32(ord(" ")), low)), bounds
 
 
 def hashed(points: np.ndarray, n: int) -> np.ndarray:
@@ -90,8 +105,14 @@ class Model:
     weights: np.ndarray  # language x bucket, log probabilities
 
     def score(self, texts: list[str]) -> tuple[list[str], list[float]]:
+        return self.explained(texts)[:2]
+
+    def explained(self, texts: list[str]) -> tuple[list[str], list[float], list[float], list[int]]:
+        """Language, score, mean log probability per n-gram and number of n-grams."""
         langs: list[str] = []
         scores: list[float] = []
+        means: list[float] = []
+        sizes: list[int] = []
         for _, part in _groups([t or "" for t in texts]):
             points, bounds = normalised(part)
             total = np.zeros((len(self.languages), len(part)))
@@ -118,7 +139,9 @@ class Model:
             for i, b in enumerate(best):
                 langs.append(self.languages[b] if known[i] else UNKNOWN)
                 scores.append(float(soft[b, i]) if known[i] else 0.0)
-        return langs, scores
+                means.append(float(total[b, i] / max(1, grams[i])))
+                sizes.append(int(grams[i]))
+        return langs, scores, means, sizes
 
 
 def train(docs: DataFrame, usable: Column | None = None, per_language: int = PER_LANGUAGE) -> Model:
@@ -162,15 +185,16 @@ def train(docs: DataFrame, usable: Column | None = None, per_language: int = PER
 
 
 def _scored(docs: DataFrame, model: Model, kept: list[str]) -> DataFrame:
-    """The kept columns, and a struct ``_got`` of lang_pred and score."""
+    """The kept columns, and a struct ``_got`` of lang_pred, score, mean log
+    probability and number of n-grams."""
     small_batches(docs.sparkSession, BATCH)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # languages (bounded) x 2^16 floats
 
-    @F.pandas_udf("lang_pred string, score double")
+    @F.pandas_udf("lang_pred string, score double, mean double, grams bigint")
     def scored(texts):  # Iterator[Series] -> Iterator[DataFrame]
         import pandas as pd
-        langs, scores = shared.value.score([t if isinstance(t, str) else "" for t in texts])
-        return pd.DataFrame({"lang_pred": langs, "score": scores})
+        got = shared.value.explained([t if isinstance(t, str) else "" for t in texts])
+        return pd.DataFrame(dict(zip(("lang_pred", "score", "mean", "grams"), got)))
 
     return docs.select(*[docs[c] for c in kept], scored(docs["text"].cast("string")).alias("_got"))
 
@@ -183,12 +207,40 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     return got.select(*[got[c] for c in kept], "_got.lang_pred", "_got.score")
 
 
-def accepted(docs: DataFrame, model: Model, least: float = LEAST_SCORE) -> DataFrame:
-    """The rows of ``docs``, unchanged, whose language is known with a score
-    of at least ``least``."""
+def spread(docs: DataFrame, model: Model, usable: Column | None = None) -> dict[str, tuple[float, float, float]]:
+    """By language: mean of the documents' mean log probabilities, their
+    variance, and what one n-gram adds to it, from labelled rows that ``usable``
+    allows and whose label is predicted. One aggregate, a row per language.
+
+    The variance of a document's mean is that between documents and v / n;
+    regressing it on 1 / n over the documents separates the two."""
+    rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.lit(True) if usable is None else usable))
+    got = _scored(rows, model, ["lang"]).where((F.col("_got.lang_pred") == F.col("lang")) & (F.col("_got.grams") > 0))
+    mean, per = F.col("_got.mean"), 1 / F.col("_got.grams")
+    sums = got.groupBy("lang").agg(
+        F.avg(mean).alias("mean"), F.var_pop(mean).alias("all"), F.avg(per).alias("per"), F.count(F.lit(1)).alias("n"))
+    off = got.join(F.broadcast(sums.select(F.col("lang").alias("_of"), F.col("mean").alias("_m"), F.col("per").alias("_p"))),
+                   F.col("lang") == F.col("_of"))
+    slope = off.groupBy("lang").agg(F.try_divide(
+        F.covar_pop(F.pow(mean - F.col("_m"), 2), per), F.var_pop(per)).alias("slope"))
+    out = {}
+    for r in sums.join(slope, "lang").collect():
+        one = max(0.0, r["slope"] or 0.0)
+        out[r["lang"]] = (r["mean"], max(r["all"] - one * r["per"], 0.01 * r["all"]), one)
+    return out
+
+
+def accepted(docs: DataFrame, model: Model, limits: dict[str, tuple[float, float, float]],
+             deviations: float = DEVIATIONS) -> DataFrame:
+    """The rows of ``docs``, unchanged, whose language is known and explains
+    the text as ``limits`` (``spread``) say."""
     got = _scored(docs, model, docs.columns)
-    return got.where((F.col("_got.lang_pred") != UNKNOWN) & (F.col("_got.score") >= least)).select(
-        *[got[c] for c in docs.columns])
+    lang, mean, grams = F.col("_got.lang_pred"), F.col("_got.mean"), F.col("_got.grams")
+    fits = F.lit(True)
+    for name, (middle, between, one) in limits.items():
+        least = F.lit(middle) - deviations * F.sqrt(F.lit(between) + F.lit(one) / grams)
+        fits = F.when(lang == name, mean >= least).otherwise(fits)
+    return got.where((lang != UNKNOWN) & fits).select(*[got[c] for c in docs.columns])
 
 
 def held_out(column: str = "doc_id") -> Column:

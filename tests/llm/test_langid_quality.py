@@ -64,7 +64,8 @@ def test_no_training_rows(make):
 
 def test_accepted_keeps_columns(make):
     docs = make(texts(60) + [(900, "12", "aa"), (901, None, "aa")])
-    kept = langid.accepted(docs, langid.train(docs))
+    model = langid.train(docs)
+    kept = langid.accepted(docs, model, langid.spread(docs, model))
     assert kept.columns == docs.columns
     assert {r["doc_id"] for r in kept.collect()} == set(range(60))
 

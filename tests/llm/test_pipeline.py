@@ -77,4 +77,24 @@ def test_run_is_the_stages_in_a_row(spark, folder):
 
 
 def test_stages_keep_clean_documents():
-    assert langid.LEAST_SCORE <= 0.5 and mixing.MOST == 2
+    assert langid.DEVIATIONS >= 6 and mixing.MOST == 2
+
+
+def test_languages_not_learned_go(spark, make):
+    """Texts in learned languages stay, long and short; two languages that no
+    label has, letters at random and signs above the basic plane go."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = langid.train(docs, ~langid.held_out())
+    limits = langid.spread(docs, model, langid.held_out())
+    assert set(limits) == set(model.languages)
+    kept = langid.accepted(docs, model, limits).count()
+    assert kept >= 0.995 * docs.count()
+    rng = np.random.default_rng(3)
+    russian = "Все люди рождаются свободными и равными в своём достоинстве и правах. Они наделены разумом и совестью. " * 2
+    japanese = "すべての人間は、生まれながらにして自由であり、かつ、尊厳と権利とについて平等である。" * 4
+    noise = " ".join("".join(rng.choice(list("qxzjkwvy"), 9)) for _ in range(60))
+    texts = docs.where("lang = 'en'").limit(3).collect()
+    rows = [(1, russian), (2, japanese), (3, noise), (4, "🙂🙃 🚀" * 30), (5, None)] + [(10 + i, r["text"]) for i, r in enumerate(texts)]
+    got = langid.accepted(make(rows), model, limits)
+    assert {r["doc_id"] for r in got.collect()} == {10, 11, 12}
+    assert langid.accepted(make([]), model, limits).collect() == []

@@ -121,3 +121,25 @@ def test_reading_in_any_order_and_damage(spark, make):
         broken[at] ^= 1
         with pytest.raises((ValueError, struct.error)):
             records.unframe(bytes(broken))
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_special_tokens_as_the_plain_library_has_them(name):
+    """No flag of the library is set on either side."""
+    path = public_tokenizers.path(name)
+    plain = Tokenizer.from_file(path)
+    enc = ChunkEncoder(path)
+    for text in ("x<|endoftext|>y", "a  <|startoftext|> b\n<|endoftext|>", "<|ENDOFTEXT|> <|endoftext|", "plain words, only"):
+        want = plain.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(enc.encode(text), enc.dtype).tolist() == want
+    assert ChunkEncoder(path, plain=True).ids("<|endoftext|>") != enc.ids("<|endoftext|>")
+
+
+def test_a_small_cache_changes_nothing():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    small, large = ChunkEncoder(path, cache=20), ChunkEncoder(path)
+    rng = np.random.default_rng(6)
+    for _ in range(30):
+        text = words(rng, 60, 300) + " the end, " * 3
+        assert small.encode(text) == large.encode(text)
+        assert len(small._cache) <= 20 + 61
