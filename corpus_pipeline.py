@@ -4,14 +4,23 @@ Each stage is (name, function); a function takes (spark, docs, sf_dir) and
 returns a DataFrame that is written as Parquet and reread as the next one's
 docs. All but the last return the columns of ``documents``:
 
-1. ``language_id`` drops texts without a letter and texts whose language is
-   uncertain (score below 0.3);
+1. ``language_id`` drops texts without a letter, and texts that the language
+   predicted for them explains worse than labelled texts of that language by
+   more than six standard deviations: junk, and languages not learned. Labels
+   of three quarters of the documents train the model, the others' give the
+   deviations;
 2. ``near_dedup`` keeps one document of each group of near duplicates
    (five-word shingles, similarity 0.8 or more);
 3. ``pii`` replaces personal data by its kind;
 4. ``mixing`` repeats or drops documents to reach the sources' targets, so a
    doc_id may come twice from here on;
 5. ``packing`` packs all that is left into sequences of 2048 tokens.
+
+NULL and empty texts go in the first stage. Rows that repeat a doc_id are
+documents of their own until ``near_dedup``, which keeps one row of each text
+under the smallest doc_id of its group. Very long texts are taken whole. An
+empty table stays empty through all stages. Other columns of the documents
+come along to the last stage but one, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,7 +34,8 @@ from fieldnotes.llm.queries import WORD_TOKENIZER, tokenizer_path
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return langid.accepted(docs, langid.train(docs, ~langid.held_out()))
+    model = langid.train(docs, ~langid.held_out())
+    return langid.accepted(docs, model, langid.spread(docs, model, langid.held_out()))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
