@@ -46,7 +46,7 @@ from fieldnotes.llm.tokens import encoder
 BATCH = 256
 BLOCK = 2_000_000  # pairs that are broadcast at once
 HELD = 2_000_000  # pairs that a task adds up before it hands them on
-CACHE = 200_000
+CACHE = 400_000
 ROW = ("doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, "
        "plain binary, pairs binary")
 RESULT = ("doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, "
