@@ -50,10 +50,27 @@ def test_the_same_again_and_in_any_order(make):
     assert sorted(mixed(make, rows)) == sorted(mixed(make, rows[::-1]))
 
 
-def test_repeated_rows_are_taken_together(make):
-    rows = [(7, "one two three", "en", "a")] * 40 + [(i, "w " * i, "en", "a") for i in range(20, 40)]
-    got = [r for r in mixed(make, rows) if r["doc_id"] == 7]
-    assert len(got) == 40 and len({r["taken"] for r in got}) == 1
+def test_a_key_that_holds_a_third_of_a_source_is_taken_row_by_row(make):
+    copies = [(7, "one two three", "en", "a")] * 100 + [(7, "other text of this key", "en", "a")] * 60
+    rows = copies + [(i, "w " * (i % 9 + 1), "en", "ab"[i % 2]) for i in range(20, 220)]
+    got = mixed(make, rows)
+    sources = {}
+    for r in got:
+        size, taken = sources.setdefault((r["source_size"], r["target"]), [0, 0])
+        sources[r["source_size"], r["target"]] = [size + r["size"], taken + r["taken"]]
+        assert r["taken"] <= 2 * r["size"]
+    assert len(sources) == 2
+    for (size, target), (words_of, taken) in sources.items():
+        assert size == words_of and 0 <= target - taken <= 9
+    assert sorted(got) == sorted(mixed(make, rows[::-1]))
+    assert sorted(got) == sorted(mixed(make, rows[50:] + rows[:50]))
+
+
+def test_repeated_null_keys_in_documents(make):
+    docs = make([(None, "one two three", "en", "a")] * 60 + [(i, "w " * 5, "en", "b") for i in range(30)])
+    taken = sum(r["taken"] for r in mixing.mix(mixing.sized(docs)).collect())
+    out = mixing.mix_documents(docs).collect()
+    assert sum(len(r["text"].split()) for r in out) == taken
 
 
 def test_empty_table_and_no_words(make):
