@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from fieldnotes.operators.search import materialize
 
 _SHIFT = 33  # monotonically_increasing_id = partition index << 33 | row in partition
+BROADCAST_ROWS = 100_000  # of an offset table; beyond it the join is shuffled
 
 
 def with_position(df: DataFrame, order_by: list | None = None,
@@ -19,8 +20,7 @@ def with_position(df: DataFrame, order_by: list | None = None,
     tagged with partition index and in-partition row number in the same
     pass, then kept (``checkpoint`` by default, into the shared folder) so
     the partitioning both uses see is the same. Partition sizes give
-    offsets (one row per partition, so the offset table is bounded by the
-    partition count and safe to broadcast).
+    offsets (``_offsets``).
 
     Without ``order_by`` positions follow the scan order of the source.
     """
@@ -29,15 +29,26 @@ def with_position(df: DataFrame, order_by: list | None = None,
         src.withColumn("__pid", F.spark_partition_id())
            .withColumn("__mid", F.monotonically_increasing_id()), keep)
     sizes = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("__pid", F.coalesce(F.sum("__n").over(before), F.lit(0))
-                           .alias("__off"))
     local = F.col("__mid") - F.shiftleft(F.col("__pid").cast("long"), _SHIFT)
-    return (tagged.join(F.broadcast(offsets), "__pid")
+    return (tagged.join(_offsets(sizes, ["__pid"], keep), "__pid")
             .withColumn(position, (F.col("__off") + local).cast("long"))
             .drop("__pid", "__mid", "__off"))
 
 
+def _offsets(sizes: DataFrame, by: list[str], keep: str = "checkpoint") -> DataFrame:
+    """``sizes`` (a row per partition or split, ``__n`` rows each) with
+    ``__off``, the rows before it in the order ``by``, in place of ``__n``.
+
+    The table grows with the input, so its running totals are taken on two
+    levels (``prefix_sums``: within key ranges, and over the ranges, of which
+    there are as many as shuffle partitions). It is broadcast up to
+    ``BROADCAST_ROWS`` rows, joined by a shuffle beyond.
+    """
+    summed = materialize(prefix_sums(sizes, by, ["__n"], keep)
+                         .withColumnRenamed("__n_before", "__off").drop("__n", "__n_total", "position"), keep)
+    return F.broadcast(summed) if summed.count() <= BROADCAST_ROWS else summed
+
+
 def prefix_sums(df: DataFrame, order_by: list[str], cols: list[str],
                 keep: str = "checkpoint") -> DataFrame:
     """Running totals in a global order without a single-task window.
@@ -49,24 +60,24 @@ def prefix_sums(df: DataFrame, order_by: list[str], cols: list[str],
     within each partition. ``order_by`` should be unique per row.
     """
     tagged = materialize(df.orderBy(*order_by)
-                         .withColumn("__pid", F.spark_partition_id()), keep)
-    sizes = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"),
+                         .withColumn("__range", F.spark_partition_id()), keep)
+    sizes = tagged.groupBy("__range").agg(F.count(F.lit(1)).alias("__n"),
                                         *[F.sum(c).alias(f"__s_{c}") for c in cols])
-    earlier = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     every = Window.partitionBy()
     offsets = sizes.select(
-        "__pid", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__off_n"),
+        "__range", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__off_n"),
         *[F.coalesce(F.sum(f"__s_{c}").over(earlier), F.lit(0)).alias(f"__off_{c}")
           for c in cols],
         *[F.sum(f"__s_{c}").over(every).alias(f"{c}_total") for c in cols])
-    inner = Window.partitionBy("__pid").orderBy(*order_by)
+    inner = Window.partitionBy("__range").orderBy(*order_by)
     inner_before = inner.rowsBetween(Window.unboundedPreceding, -1)
-    out = tagged.join(F.broadcast(offsets), "__pid").withColumn(
+    out = tagged.join(F.broadcast(offsets), "__range").withColumn(
         "position", (F.col("__off_n") + F.row_number().over(inner) - 1).cast("long"))
     for c in cols:
         out = out.withColumn(f"{c}_before", F.col(f"__off_{c}")
                              + F.coalesce(F.sum(c).over(inner_before), F.lit(0)))
-    return out.drop("__pid", "__off_n", *[f"__off_{c}" for c in cols])
+    return out.drop("__range", "__off_n", *[f"__off_{c}" for c in cols])
 
 
 def _positioned(df: DataFrame, id_col: str, alias: str, order: list | None) -> DataFrame:
@@ -92,13 +103,11 @@ def file_order(df: DataFrame) -> DataFrame:
 def file_positions(df: DataFrame, position: str = "position") -> DataFrame:
     """0-based row positions over all files of a scan, without sorting rows
     that lie in order already: counts per split (one row each) give the
-    offsets, which are small enough to broadcast."""
+    offsets (``_offsets``)."""
     tagged = file_order(df)
     splits = tagged.groupBy("__file", "__split").agg(
         F.count(F.lit(1)).alias("__n"), F.min("__row").alias("__first"))
-    before = Window.orderBy("__file", "__split").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = splits.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
-    return (tagged.join(F.broadcast(offsets), ["__file", "__split"])
+    return (tagged.join(_offsets(splits, ["__file", "__split"]), ["__file", "__split"])
             .withColumn(position, F.col("__off") + F.col("__row") - F.col("__first"))
             .drop(*FILE_ORDER, "__off", "__first"))
 

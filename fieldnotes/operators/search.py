@@ -6,7 +6,8 @@ checkpointed into the shared folder); each trial only slices them
 (``VectorSlicer``) and fits a forest. The fits of one round are
 independent Spark jobs and run concurrently from a driver thread pool; the
 selection rule is then applied to the results in candidate order, so the
-outcome does not depend on which fit finishes first.
+outcome does not depend on which fit finishes first. With a ``TrialLedger`` a
+search that was stopped takes up the trials done before and fits the others.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldnotes.operators.forest import TUNABLE, ForestParams, accuracy
+from fieldnotes.operators.ledger import TrialLedger
 from fieldnotes.operators.vectors import slicer, vector_stages, with_binary_label
 from fieldnotes.operators.votes import prefix_accuracy, trees_of, with_votes
 from fieldnotes.session import checkpoint_root
@@ -89,6 +91,13 @@ def fit_eval(data: SearchData, chosen, params: ForestParams) -> float | None:
     return accuracy(model.transform(sl.transform(data.test)))
 
 
+def _trial(data: SearchData, chosen, params: ForestParams, ledger: TrialLedger | None) -> float | None:
+    """``fit_eval``, unless the ledger has the result."""
+    if ledger is None:
+        return fit_eval(data, chosen, params)
+    return ledger.accuracy(data, list(chosen), params, lambda: fit_eval(data, chosen, params))
+
+
 def _pmap(fn, items, parallelism: int):
     items = list(items)
     if parallelism <= 1 or len(items) <= 1:
@@ -98,7 +107,7 @@ def _pmap(fn, items, parallelism: int):
 
 
 def prefix_selection(data: SearchData, ranking, params: ForestParams = ForestParams(),
-                     include_last: bool = True, parallelism: int = 1):
+                     include_last: bool = True, parallelism: int = 1, ledger: TrialLedger | None = None):
     """Train on the first k ranked candidates, k = 1, 2, ...; keep the best
     k (strictly better than a coin toss, first best on ties).
 
@@ -108,7 +117,7 @@ def prefix_selection(data: SearchData, ranking, params: ForestParams = ForestPar
     ranking = list(ranking)
     top = len(ranking) if include_last else len(ranking) - 1
     ks = list(range(1, top + 1))
-    accs = _pmap(lambda k: fit_eval(data, ranking[:k], params), ks, parallelism)
+    accs = _pmap(lambda k: _trial(data, ranking[:k], params, ledger), ks, parallelism)
     best_acc, best_k, trials = COIN_TOSS, 0, []
     for k, acc in zip(ks, accs):
         trials.append(("prefix", k, f"features={k}", acc))
@@ -119,7 +128,7 @@ def prefix_selection(data: SearchData, ranking, params: ForestParams = ForestPar
 
 
 def greedy_selection(data: SearchData, candidates, params: ForestParams = ForestParams(),
-                     epsilon: float = 1e-4, parallelism: int = 4):
+                     epsilon: float = 1e-4, parallelism: int = 4, ledger: TrialLedger | None = None):
     """Forward selection: each round tries every remaining candidate added
     to the chosen set; going left to right, a candidate becomes the round's
     pick if it beats the running best by more than ``epsilon``. Stops when
@@ -128,7 +137,7 @@ def greedy_selection(data: SearchData, candidates, params: ForestParams = Forest
     chosen: list[str] = []
     best_acc, trials, n = COIN_TOSS, [], 0
     while remaining:
-        accs = _pmap(lambda c: fit_eval(data, chosen + [c], params), remaining, parallelism)
+        accs = _pmap(lambda c: _trial(data, chosen + [c], params, ledger), remaining, parallelism)
         pick = None
         for c, acc in zip(remaining, accs):
             n += 1
@@ -145,14 +154,14 @@ def greedy_selection(data: SearchData, candidates, params: ForestParams = Forest
 
 
 def tune(data: SearchData, features, params: ForestParams, kind: str, low: int, high: int,
-         parallelism: int = 1):
+         parallelism: int = 1, ledger: TrialLedger | None = None):
     """Try ``kind`` (numTrees, maxDepth or maxBins) = low..high; keep the
     first best. Returns (best value, accuracy, trial rows, tuned params)."""
     if kind not in TUNABLE:
         raise ValueError(f"bad param type {kind!r}; one of {sorted(TUNABLE)}")
     field = TUNABLE[kind]
     values = list(range(int(low), int(high) + 1))
-    accs = _pmap(lambda v: fit_eval(data, features, params.with_(**{field: v})),
+    accs = _pmap(lambda v: _trial(data, features, params.with_(**{field: v}), ledger),
                  values, parallelism)
     best_acc, best, trials = 0.0, int(low), []
     for i, (v, acc) in enumerate(zip(values, accs)):

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from fieldnotes.functions.hashing import uniform_sql
 from fieldnotes.plans.fixtures import OBS_CTE
+from fieldnotes.spec import CHECKLIST_DEFAULT_FEATURES
 
 
 def _u(key: str, salt: str | None = None) -> str:
@@ -417,3 +418,12 @@ s AS (SELECT i, count(x) AS n, avg(x) AS mean, avg(x) FILTER (y IS NOT NULL) AS
 SELECT 'w' || i AS feature, n, round(mean, 6) AS mean,
        round(abs((cxy + mx * (my - ybar)) / (sqrt(vx) * sqrt(vy + (my - ybar) * (my + ybar)))), 6) AS score
 FROM s, m"""
+ORACLES["jobs_train_predict"] = """
+SELECT concat('S', event_id::VARCHAR) AS sampling_id, (hour(ts) >= 12)::INT AS prediction,
+  row_number() OVER (ORDER BY event_id) - 1 AS position FROM events"""
+ORACLES["job_report"] = """
+SELECT part, 'continuous=14 categorical=0 trees=50 depth=10' AS name, 1.0e0 AS value
+FROM (VALUES ('final'), ('final:natural')) t(part)
+UNION ALL
+SELECT 'feature', name, place::DOUBLE FROM (VALUES """ + ", ".join(
+    f"('{name}', {i})" for i, name in enumerate(CHECKLIST_DEFAULT_FEATURES)) + ") t(name, place)"

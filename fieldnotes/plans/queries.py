@@ -19,7 +19,7 @@ from fieldnotes.operators import parse as P
 from fieldnotes.operators.parse import parse
 from fieldnotes.plans.fixtures import DOCS_SPEC, OBS_SPEC, docs, obs, obs_raw, table
 from fieldnotes.sources.csv import read_observations, sample_file
-from fieldnotes.spec import FeatureSpec
+from fieldnotes.spec import CHECKLIST_DEFAULT_FEATURES, CHECKLIST_KEY, CHECKLIST_LABEL, FeatureSpec
 from fieldnotes.spec import clean_names as _clean
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -729,3 +729,69 @@ QUERIES.update({
     "oversample_poisson": oversample_poisson,
     "wide_measures": wide_measures,
 })
+
+
+# -- the jobs end to end, on files in the checklist layout: its whole default
+# feature list and the default forest (50 trees, depth 10, 100 bins). Every
+# measurement follows the hour and the bird is counted from noon on (X before
+# noon is no sighting), so any
+# feature that a tree looks at tells it ---------------------------------------
+
+def _checklist_files(spark, sf):
+    from fieldnotes.session import scratch_path
+    eid, hour = F.col("event_id"), F.hour("ts")
+    cells = {
+        CHECKLIST_KEY: F.concat(F.lit("S"), eid.cast("string")),
+        "LOC_ID": F.concat(F.lit("L"), F.col("user_id").cast("string")),
+        "COUNTRY": F.lit("US"),
+        CHECKLIST_LABEL: F.when(eid % 17 == 0, "?").when(hour >= 12, (eid % 5 + 1).cast("string"))
+        .when(eid % 10 == 3, "X").otherwise("0"),
+        "BCR": F.col("event_type"),
+    }
+    for i, name in enumerate(CHECKLIST_DEFAULT_FEATURES):
+        cells[name] = (hour * (i + 1)).cast("string")
+    for i in range(10):
+        cells[f"OTHER_SPECIES_{i}"] = F.when((eid + i) % 7 == 0, "2").otherwise("0")
+    path = scratch_path(spark, "checklist")
+    (table(spark, sf, "events").repartitionByRange(4, "event_id").sortWithinPartitions("event_id")
+     .select(*[c.alias(n) for n, c in cells.items()])
+     .write.option("header", True).option("quote", "").option("compression", "bzip2").csv(path))
+    return path
+
+
+def _parallelism(spark):
+    return spark.conf.get("spark.sql.shuffle.partitions")
+
+
+def jobs_train_predict(spark, sf):
+    """Train and predict by argument count; predictions from their file, with places."""
+    from fieldnotes.jobs import run
+    from fieldnotes.session import scratch_path
+    from fieldnotes.sources import sink
+    src, model, out = _checklist_files(spark, sf), scratch_path(spark, "model"), scratch_path(spark, "predictions")
+    common = ["-", _parallelism(spark), src]
+    if run.main([*common, model]) or run.main([*common, out, model]):
+        raise RuntimeError("a job failed")
+    return (checks.file_positions(sink.read_predictions(spark, out))
+            .select(F.col(sink.ID_HEADER).alias("sampling_id"),
+                    F.col(sink.PREDICTION_HEADER).alias("prediction"), "position"))
+
+
+def job_report(spark, sf):
+    """What the train job leaves beside the forest: accuracies with the default
+    configuration, and the default features in their order."""
+    from fieldnotes.jobs import run
+    from fieldnotes.session import scratch_path
+    from fieldnotes.sources import model_store
+    src, path = _checklist_files(spark, sf), scratch_path(spark, "model")
+    if run.main(["-", _parallelism(spark), src, path]):
+        raise RuntimeError("the job failed")
+    at = model_store.current(spark, path)
+    trials = spark.read.parquet(f"{at}/report").select(
+        F.col("search").alias("part"), F.col("params").alias("name"), F.col("accuracy").alias("value"))
+    feats = spark.read.parquet(f"{at}/features").select(
+        F.lit("feature").alias("part"), F.col("feature").alias("name"), F.col("position").cast("double").alias("value"))
+    return trials.unionByName(feats)
+
+
+QUERIES.update({"jobs_train_predict": jobs_train_predict, "job_report": job_report})

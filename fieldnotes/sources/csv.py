@@ -11,6 +11,7 @@ from fieldnotes.functions.hashing import uniform
 from fieldnotes.operators.checks import file_order
 from fieldnotes.spec import FeatureSpec
 
+WHOLE_FILE = 1 << 50  # bytes: no file is split, and none shares a task
 
 
 def read_header(spark: SparkSession, path: str | list[str], sep: str = ",") -> list[str]:
@@ -63,18 +64,35 @@ def read_observations(spark: SparkSession, path: str | list[str], spec: FeatureS
     return df
 
 
+def first_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``file, line``: the first line of every file that has one, in one job.
+
+    The files are planned unsplit, one task each, and a task stops at its
+    first line, so no more than a read buffer of each file is read.
+    """
+    own = spark.newSession()  # the settings are for this scan alone
+    for name in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
+        own.conf.set(name, str(WHOLE_FILE))
+    own.conf.set("spark.sql.files.maxPartitionNum", str((1 << 31) - 1))
+    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+
+    def first(batches):
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.slice(0, 1)
+                return
+
+    return (own.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"))
+            .mapInArrow(first, "file string, line string"))
+
+
 def check_headers(spark: SparkSession, path: str | list[str], sep: str = ",") -> None:
-    """Stop if files of one input name their columns differently (one line
-    is read of each file; their names are few next to their rows)."""
-    files = sorted(spark.read.text(path).inputFiles())
-    headers = {}
-    for name in files:
-        line = spark.read.text(name).limit(1).collect()
-        if line:
-            headers.setdefault(line[0][0], name)
+    """Stop if files of one input name their columns differently. Equal
+    headers are counted together, so two rows reach the driver."""
+    headers = (first_lines(spark, path).groupBy("line").agg(F.min("file").alias("file"))
+               .orderBy("file").limit(2).collect())
     if len(headers) > 1:
-        a, b = list(headers.values())[:2]
-        raise ValueError(f"files with different headers: {a} and {b}")
+        raise ValueError(f"files with different headers: {headers[0]['file']} and {headers[1]['file']}")
 
 
 def _read_split_lines(spark: SparkSession, path, spec: FeatureSpec, sep: str) -> DataFrame:

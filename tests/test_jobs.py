@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fieldnotes.jobs import check_ids, predict, sample, train
 from fieldnotes.plans.fixtures import OBS_SPEC, obs_raw, table
+from fieldnotes.sources import model_store
 from tests.conftest import SF_SMALL
 
 
@@ -35,7 +36,7 @@ def test_train_predict_check(spark, tmp, capsys):
     result = train.run(spark, args)
     assert result["features"] == ["f_day", "f_hour", "f_effort", "f_kind"]
     assert 0.0 <= result["accuracy"] <= 1.0
-    report = spark.read.parquet(os.path.join(model_dir, "report")).collect()
+    report = spark.read.parquet(model_store.current(spark, model_dir) + "/report").collect()
     assert {r["search"] for r in report} == {"final", "final:natural"}
 
     out = os.path.join(tmp, "predictions")
