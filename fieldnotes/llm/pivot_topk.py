@@ -13,17 +13,25 @@ length, so a larger inner product is a smaller distance:
    one pivot with their smallest and largest distance.
 3. Queries come in blocks of ``QUERIES``, neighbours together. The sample
    itself gives each query a first lower bound on its k-th best score.
-4. Each block of queries meets the annuli in bundles. Within a bundle the
-   annuli are taken in the order of the least distance that the triangle
-   inequality allows; a query skips an annulus that can't reach its k-th best
-   score so far, and a block stops when none of its queries can reach the next.
-   The best k of each bundle are merged per query.
+4. Blocks of queries and annuli meet as summaries first (pivot, distances, the
+   block's longest query and lowest bound); only pairs that the triangle
+   inequality leaves open fetch their vectors, in the smallest integer type
+   that holds them.
+5. Each block takes its annuli in bundles. Within a bundle they are taken in the
+   order of the least distance that the triangle inequality allows; a query
+   skips an annulus that can't reach its k-th best score so far, and a block
+   stops when none of its queries can reach the next. The best k of each bundle
+   are merged per query.
 
 Defined results: rows whose vector or id is NULL, or whose vector has a NULL
 or non-finite component, take no part; shorter vectors count as followed by
 zeros; ties in score go to the smaller id; a query's own id is no candidate.
-Scores are exact while components stay below 2^20 and vectors shorter than
-2^12; larger components raise an error.
+Rows that repeat an id are candidates of their own, and each query row has a
+ranking of its own. An empty table gives an empty result; other columns,
+whatever their names, don't matter. Vectors may be of any length. Scores are
+exact while squared lengths stay below 2^52 and components below 2^31 (by
+Cauchy and Schwarz no partial sum is then above 2^52); larger ones raise an
+error.
 """
 
 from __future__ import annotations
@@ -39,11 +47,11 @@ from fieldnotes.llm.common import key_hash60, pa_schema, small_batches, stage
 
 PIVOTS, SAMPLE = 48, 4096
 CELL, QUERIES, BUNDLE = 1024, 256, 8
-LARGEST = 1 << 20
+LARGEST, LONGEST = 1 << 31, 1 << 52
 CLEAN = "vec_id bigint, v binary, norm bigint"
 KEYED = "vec_id bigint, v binary, pivot int, dist double"
-CELLS = "pivot int, low double, high double, ids binary, vs binary"
-FOUND = "query_id bigint, vec_id bigint, score bigint"
+CELLS = "pivot int, low double, high double, ids binary, vs binary, reach double, floor double"
+FOUND = "block bigint, place int, query_id bigint, vec_id bigint, score bigint"
 
 
 def quantised(rows: DataFrame, scale: float, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -59,7 +67,7 @@ def quantised(rows: DataFrame, scale: float, key: str = "vec_id", vector: str =
                 v = np.floor(scale * np.array(xs, np.float64))
                 if not np.isfinite(v).all():
                     continue
-                if len(v) and np.abs(v).max() >= LARGEST or len(v) >= 1 << 12:
+                if len(v) and np.abs(v).max() >= LARGEST or (v * v).sum() >= LONGEST:
                     raise ValueError(f"{key} {k}: components or length out of range")
                 v = v.astype("<i4")
                 out.append((k, v.tobytes(), int((v.astype(np.int64) ** 2).sum())))
@@ -120,9 +128,10 @@ class Best:
         self.vec[rows] = np.take_along_axis(all_v, order, 1)
         self.floor[rows] = np.maximum(self.floor[rows], self.score[rows, -1])
 
-    def rows(self) -> list[np.ndarray]:
+    def rows(self, block: int) -> list[np.ndarray]:
         q, r = np.nonzero(np.isfinite(self.score))
-        return [self.ids[q], self.vec[q, r], self.score[q, r].astype(np.int64)]
+        return [np.full(len(q), block, np.int64), q.astype(np.int32), self.ids[q], self.vec[q, r],
+                self.score[q, r].astype(np.int64)]
 
 
 def top_k(rows: DataFrame, is_query: Column, k: int = 20, scale: float = 64.0) -> DataFrame:
@@ -133,6 +142,10 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 20, scale: float = 64.0) -
     facts = clean.agg(F.count(F.lit(1)).alias("n"), F.max("norm").alias("most"),
                       F.max(F.length("v")).alias("width")).first()
     n, most, dim = facts["n"], float(facts["most"] or 0), max(1, (facts["width"] or 0) // 4)
+    # a component is at most as long as its vector
+    held_as = next(t for t, bound in (("<i1", 1 << 7), ("<i2", 1 << 15), ("<i4", np.inf)) if most < bound * bound)
+    # rounding of sums up to `most`, in scores and in distances
+    slack, gap_slack = 1e-3 + 1e-13 * most, 1e-6 + 1e-6 * most ** 0.5
     share = F.lit(int(min(1, SAMPLE / max(1, n)) * (1 << 60)))
     drawn = clean.where(key_hash60("vec_id") < share).orderBy("vec_id", "v").limit(4 * SAMPLE).toArrow()
     sample_ids = drawn["vec_id"].to_numpy().astype(np.int64)
@@ -154,17 +167,21 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 20, scale: float = 64.0) -
                      pa.array(d[np.arange(len(d)), near])], schema=keyed_schema)
         return run
 
-    def cells_of(size: int):
+    def cells_of(query: bool, size: int):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held: list[tuple] = []
 
             def cell() -> pa.RecordBatch:
                 ids, vs, pivot, dist = zip(*held)
                 held.clear()
+                x, keys = _matrix(list(vs), dim), np.array(ids, "<i8")
+                reach = floor = None
+                if query:  # what its longest query can score at most, and the lowest bound
+                    reach, floor = float((x * x).sum(1).max()), float(_first_floor(keys, x, *known.value, k).min())
                 return pa.RecordBatch.from_arrays(
-                    [pa.array(c, f.type) for c, f in zip(
-                        ([pivot[0]], [min(dist)], [max(dist)], [np.array(ids, "<i8").tobytes()],
-                         [_matrix(list(vs), dim).astype("<i4").tobytes()]), cell_schema)], schema=cell_schema)
+                    [pa.array([c], f.type) for c, f in zip(
+                        (pivot[0], min(dist), max(dist), keys.tobytes(), x.astype(held_as).tobytes(), reach, floor),
+                        cell_schema)], schema=cell_schema)
 
             for batch in batches:
                 for row in zip(*(c.to_pylist() for c in batch.columns)):
@@ -179,44 +196,52 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 20, scale: float = 64.0) -
         parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
         return (some.select("vec_id", "v").mapInArrow(keyed(query), KEYED)
                 .repartitionByRange(parts, "pivot", "dist", "vec_id")
-                .sortWithinPartitions("pivot", "dist", "vec_id", "v").mapInArrow(cells_of(size), CELLS))
+                .sortWithinPartitions("pivot", "dist", "vec_id", "v").mapInArrow(cells_of(query, size), CELLS))
 
-    cells = stage(cut(clean, False, CELL), "annuli")
+    # numbered once, as written: cells may hold equal rows
+    cells = stage(cut(clean, False, CELL).withColumn("cell", F.monotonically_increasing_id()), "annuli")
     # a query block keeps neighbours together; ends of a pivot's queries make small blocks
-    asked = stage(cut(clean.where(is_query), True, QUERIES), "query-blocks")
+    asked = stage(cut(clean.where(is_query), True, QUERIES).withColumn("block", F.monotonically_increasing_id()),
+                  "query-blocks")
     bundles = max(1, -(-cells.count() // BUNDLE))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, best, done = None, None, False
         q = to_pivots = lengths = None
+
+        def found() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in best.rows(now[0])], schema=found_schema)
+
         for batch in batches:
-            for block, qids, qvs, pivot, low, high, ids, vs, nearest in zip(*(c.to_pylist() for c in batch.columns)):
-                if block != now:
+            for block, bundle, qids, qvs, pivot, low, high, ids, vs, nearest in zip(
+                    *(c.to_pylist() for c in batch.columns)):
+                if (block, bundle) != now:
                     if best is not None:
-                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in best.rows()], schema=found_schema)
-                    now, done = block, False
+                        yield found()
+                    now, done = (block, bundle), False
                     qid = np.frombuffer(qids, "<i8")
-                    q = np.frombuffer(qvs, "<i4").reshape(-1, dim).astype(float)
+                    q = np.frombuffer(qvs, held_as).reshape(-1, dim).astype(float)
                     lengths = (q * q).sum(1)
                     to_pivots = _distances(np.hstack([q, np.zeros((len(q), 1))]), pivots)
                     best = Best(qid, _first_floor(qid, q, *known.value, k), k)
                 # the annuli come in the order of `nearest`: none from here on can do better
-                done = done or (lengths.max() + most - max(0.0, nearest - 1e-6) ** 2) / 2 + 1e-3 < best.floor.min()
+                done = done or (lengths.max() + most - max(0.0, nearest - gap_slack) ** 2) / 2 + slack < best.floor.min()
                 if done:
                     continue
                 d = to_pivots[:, pivot]
-                least = np.maximum(0, np.maximum(d - high, low - d) - 1e-6)
-                reach = (lengths + most - least * least) / 2 + 1e-3
+                least = np.maximum(0, np.maximum(d - high, low - d) - gap_slack)
+                reach = (lengths + most - least * least) / 2 + slack
                 rows = np.flatnonzero(reach >= best.floor)
                 if len(rows):
-                    x = np.frombuffer(vs, "<i4").reshape(-1, dim).astype(float)
+                    x = np.frombuffer(vs, held_as).reshape(-1, dim).astype(float)
                     best.add(rows, np.frombuffer(ids, "<i8"), q[rows] @ x.T)
         if best is not None:
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in best.rows()], schema=found_schema)
+            yield found()
 
-    bundled = cells.withColumn("bundle", F.pmod(F.xxhash64("pivot", "low", "ids"), F.lit(bundles)).cast("int"))
-    blocks = asked.select(F.xxhash64("ids").alias("block"), F.col("ids").alias("qids"), F.col("vs").alias("qvs"),
-                          F.col("pivot").alias("qpivot"), F.col("high").alias("qhigh"),
+    # summaries: of annuli by bundle, of blocks once per bundle
+    annuli = cells.select("cell", "pivot", "low", "high",
+                          F.pmod(F.xxhash64("cell"), F.lit(bundles)).cast("int").alias("bundle"))
+    blocks = asked.select("block", F.col("pivot").alias("qpivot"), F.col("high").alias("qhigh"), "reach", "floor",
                           F.explode(F.sequence(F.lit(0), F.lit(bundles - 1))).alias("bundle"))
     gaps = _distances(pivots, pivots)
 
@@ -227,14 +252,19 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 20, scale: float = 64.0) -
         gap = gaps[qpivot, pivot]
         return np.maximum(0, np.maximum(gap - qhigh - high, low - gap - qhigh))
 
+    near = F.greatest(F.lit(0.0), F.col("least") - gap_slack)
+    pairs = (blocks.join(annuli, "bundle").withColumn("least", least_of("qpivot", "qhigh", "pivot", "low", "high"))
+             .where((F.col("reach") + most - near * near) / 2 + slack >= F.col("floor"))
+             .select("block", "bundle", "cell", "least"))
+    pairs = stage(pairs, "open-pairs")
     small_batches(spark, 64)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    met = (blocks.join(bundled, "bundle").withColumn("least", least_of("qpivot", "qhigh", "pivot", "low", "high"))
+    met = (pairs.join(cells.select("cell", "pivot", "low", "high", "ids", "vs"), "cell")
+           .join(asked.select("block", F.col("ids").alias("qids"), F.col("vs").alias("qvs")), "block")
            .repartition(parts, "block", "bundle").sortWithinPartitions("block", "bundle", "least")
-           .select(F.xxhash64("block", "bundle").alias("block"), "qids", "qvs", "pivot", "low", "high",
-                   "ids", "vs", "least")
+           .select("block", "bundle", "qids", "qvs", "pivot", "low", "high", "ids", "vs", "least")
            .mapInArrow(search, FOUND))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
+    rank = F.row_number().over(Window.partitionBy("block", "place").orderBy(F.col("score").desc(), "vec_id"))
     return (met.withColumn("rank", rank).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
 

@@ -62,3 +62,34 @@ def test_annuli_are_skipped_without_loss(spark, monkeypatch):
 def test_components_out_of_range(spark):
     with pytest.raises(Exception, match="out of range"):
         run(spark, [(0, [1e9]), (1, [1.0])])
+
+
+def test_large_components_and_long_vectors(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, (rng.integers(-40_000, 40_000, 5) / 2).tolist()) for i in range(80)]
+    assert run(spark, rows) == brute(rows, 20)
+    rows = [(i, rng.normal(0, 1, 5000).astype(np.float32).tolist()) for i in range(50)]
+    assert run(spark, rows, 5) == brute(rows, 5)
+
+
+def test_repeated_query_ids_have_rankings_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(pivot_topk, "CELL", 8)
+    rows = vectors(120, 8, 7)
+    rows += [(20, rows[3][1]), (20, rows[20][1]), (40, rows[40][1]), (7, rows[7][1])]
+    assert run(spark, rows) == brute(rows, 20)
+
+
+def test_pairs_that_the_bound_excludes_fetch_no_vectors(spark, monkeypatch):
+    for name, value in (("CELL", 16), ("QUERIES", 8), ("BUNDLE", 2)):
+        monkeypatch.setattr(pivot_topk, name, value)
+    rng = np.random.default_rng(8)
+    rows = [(i, (np.eye(8)[i % 8] * 2 + rng.normal(0, 0.01, 8)).tolist()) for i in range(1600)]
+    seen, plain = {}, pivot_topk.stage
+
+    def counted(df, name):
+        seen[name] = plain(df, name)
+        return seen[name]
+
+    monkeypatch.setattr(pivot_topk, "stage", counted)
+    assert run(spark, rows, 5) == brute(rows, 5)
+    assert seen["open-pairs"].count() < seen["annuli"].count() * seen["query-blocks"].count() / 4
