@@ -329,7 +329,7 @@ def fits(kind: int, found: str) -> bool:
     if kind == 1:
         return found.count(".") == 3 and digits >= 4 and digits + 3 == len(found)
     if kind == 2:
-        return 16 <= digits <= 19 and not letters
+        return 16 <= digits <= 19 and not letters and luhn("".join([c for c in found if "0" <= c <= "9"]))
     return 8 <= digits <= 15 and not letters and any(c in found for c in " ()-.") and found.count(".") < 3
 
 
