@@ -173,14 +173,15 @@ def _block_links(opened: DataFrame, sets: DataFrame, near: Near, num: int, den:
     blocks = F.col("blocks")
     sizes = members.join(sets.select("node", "n"), "node").groupBy("cluster").agg(
         F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    rows = (members.join(sizes, "cluster")
-            .withColumn("part", F.pmod(F.xxhash64("node"), blocks).cast("int"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-            .join(sets, "node")
-            .select("cluster", *SET, "label", "part", F.least("part", "other").alias("i"),
-                    F.greatest("part", "other").alias("j")))
-    found = stage(_links_between(rows, near, num, den), "links")
-    unstage(members)
+    # written before sets are fetched: as it is narrow, Spark may see that it can be broadcast
+    dealt = stage(members.join(sizes, "cluster")
+                  .withColumn("part", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+                  .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+                  .select("cluster", "node", "label", "part", F.least("part", "other").alias("i"),
+                          F.greatest("part", "other").alias("j")), "dealt")
+    found = stage(_links_between(dealt.join(sets, "node").select("cluster", *SET, "label", "part", "i", "j"),
+                                 near, num, den), "links")
+    unstage(members, dealt)
     return found
 
 

@@ -1,8 +1,9 @@
 """MinHash near-duplicates by a multi-index Hamming join.
 
 1. Each text becomes the set of its word shingles (64-bit hashes), its number
-   of shingles, a 128-bit hash of the whole set, and a MinHash signature. Texts
-   with equal sets are one node from here on, however many copies there are.
+   of shingles, a 128-bit hash of the whole set, and a MinHash signature, of
+   which 64 bytes are written. Texts with equal sets are one node from here on,
+   however many copies there are.
 2. ``SYMBOLS`` signature symbols of 16 bits are split into ``CHUNKS`` chunks.
    By the pigeonhole principle, two signatures that differ in fewer than
    2 * CHUNKS symbols have a chunk with at most one error, so they share a key
@@ -10,8 +11,9 @@
    asked similarity fails this with a probability of about 1e-6 or less.
 3. Nodes that share a key are candidates (``links.py``): pairs whose sizes allow
    it and whose long signatures (``LONG`` symbols of 8 bits) are near enough are
-   confirmed on the full sets, unless links have joined them already. Only
-   links that join components leave a task, never the pairs.
+   confirmed on the full sets, unless links have joined them already. Full
+   sets and long signatures are made from the texts again, for nodes that share
+   a key. Only links that join components leave a task, never the pairs.
 4. Components of all confirmed links; each is named by its smallest doc_id.
 
 Every link is either confirmed, or inside a component already.
@@ -40,7 +42,7 @@ from fieldnotes.llm.links import links, signatures_near
 SYMBOLS, CHUNKS, LONG = 32, 8, 256
 WIDTH = SYMBOLS // CHUNKS
 BATCH = 512
-FEATURES = "doc_id bigint, n_shingles bigint, hash bigint, check bigint, sig binary, keys array<bigint>"
+FEATURES = "doc_id bigint, loc binary, n_shingles bigint, hash bigint, check bigint, symbols binary"
 _BASE = 0x9E3779B97F4A7C15
 _LOW = np.arange(256, dtype=np.uint8)
 _LOW[ord("A"):ord("Z") + 1] += 32
@@ -96,12 +98,12 @@ def shingles(text: str, size: int) -> np.ndarray:
     return np.unique(h)
 
 
-def signature(s: np.ndarray) -> np.ndarray:
-    """MinHash values of a set that isn't empty."""
+def signature(s: np.ndarray, symbols: int = LONG) -> np.ndarray:
+    """The first ``symbols`` MinHash values of a set that isn't empty."""
     x = (s >> np.uint64(32)).astype(np.uint32)
-    low = np.full(LONG, 0xFFFFFFFF, np.uint32)
+    low = np.full(symbols, 0xFFFFFFFF, np.uint32)
     for at in range(0, len(x), 1024):
-        low = np.minimum(low, (x[at:at + 1024, None] * _A + _B).min(0))
+        low = np.minimum(low, (x[at:at + 1024, None] * _A[:symbols] + _B[:symbols]).min(0))
     return low
 
 
@@ -127,47 +129,72 @@ def set_hash(s: np.ndarray) -> tuple[int, int]:
     return tuple(x - (1 << 64) if x >> 63 else x for x in out)
 
 
+def located(docs: DataFrame) -> DataFrame:
+    """(doc_id, loc, text): ``loc`` is an MD5 of doc_id and text, so it finds
+    the rows of a text again, also where a doc_id is NULL or repeats."""
+    row = docs.select(F.col("doc_id").cast("long"), text_of().alias("text"))
+    named = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(" "), F.col("text"))
+    return row.select("doc_id", F.unhex(F.md5(named)).alias("loc"), "text")
+
+
 def features(docs: DataFrame, size: int) -> DataFrame:
     small_batches(docs.sparkSession, BATCH)
     schema = pa_schema(FEATURES)
+    none = np.zeros(SYMBOLS, np.uint32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            sets = [shingles(t, size) for t in batch.column(1).to_pylist()]
-            sigs = np.stack([signature(s) if len(s) else np.zeros(LONG, np.uint32) for s in sets])
-            keys = chunk_keys(sigs).view(np.int64)
+            sets = [shingles(t, size) for t in batch.column("text").to_pylist()]
+            sigs = [signature(s, SYMBOLS) if len(s) else none for s in sets]
             hashes = [set_hash(s) for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
+                [batch.column("doc_id"), batch.column("loc"), pa.array([len(s) for s in sets], pa.int64()),
                  *(pa.array([h[k] for h in hashes], pa.int64()) for k in (0, 1)),
-                 pa.array([s.tobytes() for s in sigs.astype(np.uint8)], pa.binary()),
-                 pa.ListArray.from_arrays(np.arange(len(sets) + 1, dtype=np.int32) * keys.shape[1],
-                                          pa.array(keys.ravel()))], schema=schema)
+                 pa.array([s.astype(np.uint16).tobytes() for s in sigs], pa.binary())], schema=schema)
+
+    return located(docs).mapInArrow(run, FEATURES)
+
+
+def _entries(nodes: DataFrame) -> DataFrame:
+    """(node, key), distinct."""
+    ddl = "node bigint, key bigint"
+    schema = pa_schema(ddl)
 
-    return docs.select(F.col("doc_id").cast("long"), text_of()).mapInArrow(run, FEATURES)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            symbols = np.frombuffer(b"".join(batch.column("symbols").to_pylist()), np.uint16)
+            keys = np.sort(chunk_keys(symbols.reshape(-1, SYMBOLS).astype(np.uint32)).view(np.int64), axis=1)
+            new = np.ones(keys.shape, bool)
+            new[:, 1:] = keys[:, 1:] != keys[:, :-1]
+            node = np.repeat(batch.column("node").to_numpy(), keys.shape[1])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(node[new.ravel()]), pa.array(keys[new])], schema=schema)
+
+    return nodes.select("node", "symbols").mapInArrow(run, ddl)
 
 
-def _full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """(node, n, need, sketch, full) of each wanted node."""
+def _full_sets(docs: DataFrame, wanted: DataFrame, repeats: bool, size: int) -> DataFrame:
+    """(node, n, need, sketch, full) of each wanted (node, loc). ``repeats``:
+    rows repeat a doc_id together with its text."""
     ddl = "node bigint, n bigint, need int, sketch binary, full binary"
     schema = pa_schema(ddl)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingles(t, size) for t in batch.column("text").to_pylist()]
-            named = zip(batch.column("hash").to_pylist(), batch.column("check").to_pylist())
-            # another row of that doc_id may hold another text
-            own = pa.array([i for i, (s, h) in enumerate(zip(sets, named)) if set_hash(s) == h], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c).take(own) for c in ("node", "n")), pa.array([0] * len(own), pa.int32()),
-                 batch.column("sig").take(own),
-                 pa.array([sets[i].tobytes() for i in own.to_pylist()], pa.binary())], schema=schema)
+                [batch.column("node"), pa.array([len(s) for s in sets], pa.int64()),
+                 pa.array([0] * len(sets), pa.int32()),
+                 pa.array([signature(s).astype(np.uint8).tobytes() for s in sets], pa.binary()),
+                 pa.array([s.tobytes() for s in sets], pa.binary())], schema=schema)
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("of"), text_of().alias("text"))
-    return (texts.join(wanted, F.col("rep").eqNullSafe(F.col("of")))
-            .select("node", "hash", "check", "n", "sig", "text").mapInArrow(run, ddl).dropDuplicates(["node"]))
+    # written first: as it is narrow, Spark may see that it can be broadcast
+    found = located(docs).join(stage(wanted, "wanted"), "loc").select("node", "text")
+    return (found.dropDuplicates(["node"]) if repeats else found).mapInArrow(run, ddl)
 
 
 def most_errors(similarity: float) -> int:
@@ -182,13 +209,15 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
     when den * |intersection| >= num * |union| of their shingle sets."""
     rows = stage(features(docs, size), "features")
     nodes = stage(rows.where("n_shingles > 0").groupBy("hash", "check").agg(
-        F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"),
-        F.first("sig").alias("sig"), F.first("keys").alias("keys"))
+        F.min("doc_id").alias("rep"), F.min("loc").alias("loc"), F.first("symbols").alias("symbols"))
         .withColumn("node", F.monotonically_increasing_id()), "nodes")
+    repeats = not rows.where("n_shingles > 0").groupBy("loc").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
+
+    def sets_of(wanted: DataFrame) -> DataFrame:
+        return _full_sets(docs, nodes.select("node", "loc").join(wanted, "node", "left_semi"), repeats, size)
 
-    keys = nodes.select("node", F.explode(F.array_distinct("keys")).alias("key"))
-    sets_of = lambda wanted: _full_sets(docs, nodes.drop("keys").join(wanted, "node", "left_semi"), size)
-    whole = components(links(keys, sets_of, signatures_near(most_errors(num / den), LONG), num, den))
+    near = signatures_near(most_errors(num / den), LONG)
+    whole = components(links(_entries(nodes), sets_of, near, num, den))
     named = (nodes.select("node", "hash", "check", "rep").join(whole, "node", "left")
              .withColumn("component", F.coalesce("component", "node")))
     names = named.groupBy("component").agg(F.min("rep").alias("component_id"))

@@ -125,3 +125,29 @@ def test_components_of_chains_stars_and_rings(spark):
     assert {n for n in got if got[n] == 100} == set(range(100, 140))
     assert {n for n in got if got[n] == 200} == {200, 201, 202}
     assert components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
+
+
+def test_repeated_rows_null_and_hot_keys(make):
+    """One doc_id on a third of all rows, with equal and with other texts;
+    NULL keys; rows that repeat key and text."""
+    rng = np.random.default_rng(11)
+    own = [(i, words(rng, 40, 4000)) for i in range(30)]
+    hot = [(7, own[3][1])] * 10 + [(7, words(rng, 40, 4000)) for _ in range(10)]
+    rows = own + hot + own[:5] + [(100 + i, t + " more") for i, (_, t) in enumerate(own[:10])]
+    got = minhash_join.near_duplicates(make(rows), 3, 85, 100).collect()
+    assert sorted(map(tuple, got)) == brute(rows, 3, 85, 100)
+    text = words(rng, 40, 4000)
+    lone = minhash_join.near_duplicates(make([(None, text), (None, text), (9, text + " more"), (None, "x")]), 3, 85, 100)
+    assert sorted((r["component_id"] or -1) for r in lone.collect()) == [-1, 9, 9, 9]
+
+
+def test_entries_are_the_keys_of_the_signature(make, spark):
+    rng = np.random.default_rng(5)
+    texts = [words(rng, 60, 4000) for _ in range(20)]
+    rows = minhash_join.features(make(list(enumerate(texts))), 5).withColumnRenamed("doc_id", "node")
+    got = {}
+    for r in minhash_join._entries(rows).collect():
+        got.setdefault(r["node"], []).append(r["key"])
+    for i, t in enumerate(texts):
+        sig = minhash_join.signature(minhash_join.shingles(t, 5))
+        assert sorted(got[i]) == sorted(set(minhash_join.chunk_keys(sig[None]).view(np.int64).ravel().tolist()))
