@@ -52,6 +52,17 @@ def unstage(*frames: DataFrame) -> None:
             at.getFileSystem(conf).delete(at, True)
 
 
+#: Rows of a few numbers that are sent to every executor: at most about 50 MB.
+MOST_SENT = 500_000
+
+
+def small_side(staged: DataFrame) -> DataFrame:
+    """A staged narrow table as the side of a join: counted, and broadcast up
+    to ``MOST_SENT`` rows, so that the wide side stays where it lies. Beyond
+    that, the join shuffles both sides."""
+    return F.broadcast(staged) if staged.count() <= MOST_SENT else staged
+
+
 def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 

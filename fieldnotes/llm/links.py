@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldnotes.llm.common import pa_schema, stage, unstage
+from fieldnotes.llm.common import pa_schema, small_side, stage, unstage
 from fieldnotes.llm.components import components
 
 BLOCK, BLOCK_SHINGLES = 4096, 4_000_000  # nodes, and shingles on average, of a block
@@ -146,9 +146,11 @@ def _star_links(pairs: DataFrame, sets: DataFrame, near: Near, num: int, den: in
     own = dealt.select("node", F.col("centre").alias("cluster"), "j", F.col("j").alias("part"))
     centres = dealt.select(F.col("centre").alias("node"), F.col("centre").alias("cluster"), "j",
                            F.lit(0).alias("part")).distinct()
-    rows = own.unionByName(centres).join(sets, "node").select(
-        "cluster", *SET, F.col("node").alias("label"), "part", F.lit(0).alias("i"), "j")
-    return stage(_links_between(rows, near, num, den), "links")
+    rows = stage(own.unionByName(centres), "dealt")
+    found = stage(_links_between(sets.join(small_side(rows), "node").select(
+        "cluster", *SET, F.col("node").alias("label"), "part", F.lit(0).alias("i"), "j"), near, num, den), "links")
+    unstage(rows)
+    return found
 
 
 def _labelled(rows: DataFrame, labels: DataFrame, column: str = "node") -> DataFrame:
@@ -173,13 +175,12 @@ def _block_links(opened: DataFrame, sets: DataFrame, near: Near, num: int, den:
     blocks = F.col("blocks")
     sizes = members.join(sets.select("node", "n"), "node").groupBy("cluster").agg(
         F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    # written before sets are fetched: as it is narrow, Spark may see that it can be broadcast
     dealt = stage(members.join(sizes, "cluster")
                   .withColumn("part", F.pmod(F.xxhash64("node"), blocks).cast("int"))
                   .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
                   .select("cluster", "node", "label", "part", F.least("part", "other").alias("i"),
                           F.greatest("part", "other").alias("j")), "dealt")
-    found = stage(_links_between(dealt.join(sets, "node").select("cluster", *SET, "label", "part", "i", "j"),
+    found = stage(_links_between(sets.join(small_side(dealt), "node").select("cluster", *SET, "label", "part", "i", "j"),
                                  near, num, den), "links")
     unstage(members, dealt)
     return found

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldnotes.llm.common import pa_schema, small_batches, stage, text_of, unstage
+from fieldnotes.llm.common import pa_schema, small_batches, small_side, stage, text_of, unstage
 from fieldnotes.llm.components import components
 from fieldnotes.llm.links import links, signatures_near
 
@@ -192,8 +192,7 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, repeats: bool, size: int) ->
                  pa.array([signature(s).astype(np.uint8).tobytes() for s in sets], pa.binary()),
                  pa.array([s.tobytes() for s in sets], pa.binary())], schema=schema)
 
-    # written first: as it is narrow, Spark may see that it can be broadcast
-    found = located(docs).join(stage(wanted, "wanted"), "loc").select("node", "text")
+    found = located(docs).join(small_side(stage(wanted, "wanted")), "loc").select("node", "text")
     return (found.dropDuplicates(["node"]) if repeats else found).mapInArrow(run, ddl)
 
 

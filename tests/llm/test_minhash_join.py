@@ -4,7 +4,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from fieldnotes.llm import links, minhash_join
+from fieldnotes.llm import common, links, minhash_join
 from fieldnotes.llm.components import components
 from tests.llm.conftest import words
 
@@ -151,3 +151,10 @@ def test_entries_are_the_keys_of_the_signature(make, spark):
     for i, t in enumerate(texts):
         sig = minhash_join.signature(minhash_join.shingles(t, 5))
         assert sorted(got[i]) == sorted(set(minhash_join.chunk_keys(sig[None]).view(np.int64).ravel().tolist()))
+
+
+def test_joins_without_broadcast_give_the_same(make, monkeypatch):
+    monkeypatch.setattr(common, "MOST_SENT", 0)
+    rows = corpus(6, 20)
+    got = minhash_join.near_duplicates(make(rows), 3, 85, 100).collect()
+    assert sorted(map(tuple, got)) == brute(rows, 3, 85, 100)
