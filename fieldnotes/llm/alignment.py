@@ -130,7 +130,8 @@ class Tokenizers:
             if chunk in self._older:
                 self._cache[chunk] = self._older[chunk]
         new = list(missing.difference(self._older))
-        for chunk, ids in zip(new, self.b.encode(new)):
+        # by default the library starts threads for every call, which cost more than a text's chunks
+        for chunk, ids in zip(new, self.b.encode(new, num_threads=1)):
             self._cache[chunk] = array("I", ids).tobytes()
             if self._spelled(ids) != b" " + chunk.encode("utf-8", "surrogatepass"):
                 self._odd.add(chunk)

@@ -118,3 +118,19 @@ def test_pieces_are_the_library_s(text):
         assert t.ids_b(text).tolist() == t.b.encode(text)
     if text:
         assert t.ids_a(text).tolist() == t.encode_a.tokenizer.encode(" " + text, add_special_tokens=False).ids
+
+
+def test_pieces_are_learned_without_threads_for_each_call():
+    class Counted:
+        def __init__(self, real):
+            self.real, self.threads = real, []
+
+        def encode(self, texts, **options):
+            self.threads.append(options.get("num_threads"))
+            return self.real.encode(texts, **options)
+
+    t = alignment.Tokenizers(A, B)
+    want = [t.b.encode(text) for text in ("some words, Straße 12", "other words déjà-vu")]
+    t.b = Counted(t.b)
+    got = [t.ids_b(text).tolist() for text in ("some words, Straße 12", "other words déjà-vu")]
+    assert got == want and t.b.threads == [1, 1]
