@@ -232,11 +232,15 @@ def keep_one(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> D
     """The rows of ``docs``, unchanged, of which one stays for each group of
     near duplicates: the one with the smallest doc_id. Where rows repeat that
     doc_id, one stays for each different text."""
-    kept = stage(near_duplicates(docs, size, num, den).where("kept")
-                 .groupBy(F.col("doc_id").alias("_kept")).agg(F.count(F.lit(1)).alias("_n")), "kept")
-    rows = docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept["_kept"]), "left_semi")
-    if kept.where("_n > 1 AND _kept IS NOT NULL").isEmpty():
+    each = stage(near_duplicates(docs, size, num, den).groupBy(F.col("doc_id").alias("_id"))
+                 .agg(F.count_if("kept").alias("_n")).where("_n != 1"), "not-once")
+    key = docs["doc_id"].cast("long")
+    # most rows stay: ids of the others are fewer, and texts need not be shuffled to them
+    gone = small_side(each.where("_n = 0").select("_id"))
+    rows = docs.join(gone, key.eqNullSafe(gone["_id"]), "left_anti")
+    again = each.where("_n > 1 AND _id IS NOT NULL").select("_id")
+    if again.isEmpty():
         return rows
-    alone = docs.join(kept.where("_n = 1 OR _kept IS NULL"), docs["doc_id"].cast("long").eqNullSafe(F.col("_kept")), "left_semi")
-    again = docs.join(kept.where("_n > 1 AND _kept IS NOT NULL"), docs["doc_id"].cast("long") == F.col("_kept"), "left_semi")
-    return alone.unionByName(again.dropDuplicates(["doc_id", "text"]))
+    again = small_side(again)
+    return rows.join(again, key == again["_id"], "left_anti").unionByName(
+        rows.join(again, key == again["_id"], "left_semi").dropDuplicates(["doc_id", "text"]))
