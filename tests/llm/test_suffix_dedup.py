@@ -1,4 +1,5 @@
 import hashlib
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -101,6 +102,23 @@ def test_ranks_find_equal_suffixes(seed):
         assert got[i].tolist() == [seen[bucket[i], b[s:s + L], s - before[i]] > 1 for s in range(starts[i])]
 
 
+def test_memory_of_sorting_a_bucket():
+    """A few numbers for each byte: two tasks with the largest buckets share an executor."""
+    rng = np.random.default_rng(3)
+    bodies = [rng.integers(0, 4, 120 + L - 1, dtype=np.uint8).tobytes() for _ in range(2000)]
+    bodies[1::2] = bodies[::2]
+    args = bodies, np.zeros(2000, np.int64), np.full(2000, 60), np.full(2000, 120)
+    suffix_dedup.repeated_starts(*args)
+    tracemalloc.start()
+    try:
+        found = suffix_dedup.repeated_starts(*args)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert all(f.all() for f in found)
+    assert peak < 60 * sum(map(len, bodies))
+
+
 def test_cover_is_a_difference_cover():
     p = suffix_dedup.PERIOD
     assert {(a - b) % p for a in suffix_dedup.COVER for b in suffix_dedup.COVER} == set(range(p))
